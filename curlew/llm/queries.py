@@ -15,8 +15,20 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.secret_scan import secret_spans
+
+    return secret_spans(_table(spark, sf_dir, "documents")).drop("found")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op6_suffix_array_dedup, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
