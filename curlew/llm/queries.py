@@ -27,9 +27,36 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.quality import score
+
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.mixing import replicate
+
+    return replicate(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.packing import best_fit
+
+    return best_fit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op6_suffix_array_dedup, op9_secret_scan)}
+    found = (op1_ngram_jaccard_join, op2_mixing, op3_quality_classifier, op5_best_fit_packing, op6_suffix_array_dedup, op9_secret_scan, op10_toxicity)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from curlew.llm import mixing
+
+    return {"op2_mixing": mixing.oracle()}
