@@ -51,12 +51,24 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    found = (op1_ngram_jaccard_join, op2_mixing, op3_quality_classifier, op5_best_fit_packing, op6_suffix_array_dedup, op9_secret_scan, op10_toxicity)
+    found = (op1_ngram_jaccard_join, op2_mixing, op3_quality_classifier, op4_embedding_near_dedup, op5_best_fit_packing, op6_suffix_array_dedup, op8_exact_top_k, op9_secret_scan, op10_toxicity)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    from curlew.llm import mixing
+    from curlew.llm import embedding_dedup, mixing, topk
 
-    return {"op2_mixing": mixing.oracle()}
+    return {"op2_mixing": mixing.oracle(), "op4_embedding_near_dedup": embedding_dedup.ORACLE, "op8_exact_top_k": topk.ORACLE}
