@@ -1,15 +1,67 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+Every stage works on all that its predecessor kept and returns the columns of documents; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from curlew.llm import mixing, ngram_join, packing, quality, secret_scan
+from curlew.llm.workspace import Workspace
+
+LEAST_TAIL = 0.5
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def rate_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of a good grade is under LEAST_TAIL go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rest = tuple(c for c in COLUMNS if c != "doc_id")
+    return quality.score(docs, labels, keep=rest).filter(F.col("tail_probability") >= LEAST_TAIL).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that are linked by shared shingles, the one with the smallest id stays."""
+    groups = ngram_join.near_duplicates(docs)
+    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every finding of the secret scan is replaced by its kind in brackets; n_chars follows."""
+    return secret_scan.redact(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out so that sources get their target weights, and shuffled."""
+    return mixing.replicate(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in bins; copies of a document are a duplicate cluster and never share a bin."""
+    return packing.best_fit(docs, cluster_col="doc_id")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", rate_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("secret scans", hide_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack),
+]
 
-STAGES = []
+#: SQL can express neither the classifier nor the packing.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the table documents."""
+    ws = Workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = ws.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -63,8 +63,15 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curlew.llm.pii import pseudonymise
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, key=spark.conf.get("spark.curlew.pii.key", "an example key"))
+
+
 def queries() -> dict:
-    found = (op1_ngram_jaccard_join, op2_mixing, op3_quality_classifier, op4_embedding_near_dedup, op5_best_fit_packing, op6_suffix_array_dedup, op8_exact_top_k, op9_secret_scan, op10_toxicity)
+    found = (op1_ngram_jaccard_join, op2_mixing, op3_quality_classifier, op4_embedding_near_dedup, op5_best_fit_packing, op6_suffix_array_dedup, op7_pii, op8_exact_top_k, op9_secret_scan, op10_toxicity)
     return {f.__name__: f for f in found}
 
 
