@@ -80,7 +80,7 @@ def action_violations(row: Column) -> Column:
     memory = args["memory"]
     all_dims = F.array_union(dims, F.coalesce(memory["dimensions"]["id"], empty))
     all_refs = F.array_union(refs, F.coalesce(memory["entries"]["id"], empty))
-    used = F.flatten(F.transform(F.coalesce(memory["entries"], F.array().cast("array<struct<coordinates:array<struct<dimension:string>>>>")), lambda e: F.transform(e["coordinates"], lambda c: c["dimension"])))
+    used = F.flatten(F.transform(memory["entries"], lambda e: F.transform(e["coordinates"], lambda c: c["dimension"])))
     bad = first_outside(used, all_dims)
     coordinates = F.when(ingest, violation(bad.isNotNull(), "unknown_dimension", "ingest.memory.entries[].coordinates[].dimension", F.concat(F.lit("dimension '"), bad, F.lit("' is not declared or visible"))))
 
@@ -110,10 +110,30 @@ def trajectory_problem(row: Column) -> Column:
     )
 
 
+def instant(text: Column) -> Column:
+    """A time's text with its zone resolved, so that equal instants are equal; other texts stay."""
+    return F.coalesce(F.try_to_timestamp(text).cast("string"), text)
+
+
 def canonical_action(action: Column) -> Column:
-    """The action with equal meanings made equal: absent windows 0, absent dry_run false, aliases resolved."""
+    """The action as JSON with equal meanings made equal: absent windows 0, absent dry_run false, times by instant, keys sorted.
+
+    Lists keep their order. The JSON goes through VARIANT, whose objects have sorted keys, since maps can't be compared.
+    """
     args = action["arguments"]
-    return action.withField("arguments", args.withField("before_entries", F.coalesce(args["before_entries"], F.lit(0))).withField("after_entries", F.coalesce(args["after_entries"], F.lit(0))).withField("dry_run", F.coalesce(args["dry_run"], F.lit(False))))
+    memory, source = args["memory"], args["provenance"]
+    times = ("observed_at", "occurred_at", "ingested_at", "valid_from", "valid_until")
+
+    def coordinate(c: Column) -> Column:
+        for t in times:
+            c = c.withField(t, instant(c[t]))
+        return c
+
+    memory = memory.withField("entries", F.transform(memory["entries"], lambda e: e.withField("coordinates", F.transform(e["coordinates"], coordinate))))
+    memory = memory.withField("evidence", F.transform(memory["evidence"], lambda e: e.withField("time", instant(e["time"]))))
+    args = args.withField("before_entries", F.coalesce(args["before_entries"], F.lit(0))).withField("after_entries", F.coalesce(args["after_entries"], F.lit(0)))
+    args = args.withField("dry_run", F.coalesce(args["dry_run"], F.lit(False))).withField("memory", memory).withField("provenance", source.withField("observed_at", instant(source["observed_at"])))
+    return F.to_json(F.to_variant_object(action.withField("arguments", args)))
 
 
 def outcome_columns(truth: Column, prediction: Column, violations: Column) -> dict[str, Column]:

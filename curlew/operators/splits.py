@@ -1,7 +1,7 @@
 """Deterministic splits: stable shuffles, row and group ratios, tails, and capability cover.
 
-The row and group splits rank by a hashed key. Ranks of all rows or groups need a global order; it is taken by a range
-partitioning and per-partition counts, so that no task holds all of them.
+Ranks of all rows or groups need a global order. It is taken in buckets that follow the order: sums within each bucket, and
+the sums of the buckets before it, so that no task holds all rows. A row's bucket depends on the row alone.
 """
 
 from __future__ import annotations
@@ -18,15 +18,26 @@ def half_even(x: float) -> int:
     return round(x)
 
 
-def global_sums(df: DataFrame, order: list, value: Column, name: str) -> DataFrame:
-    """df with the running sum of value over a total order, rows before included. Partitions are ranges of the order; the
-    driver sees one sum for each of them."""
-    ranged = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    own = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    inner = ranged.withColumn("__run", F.sum(value).over(own))
-    ends = inner.groupBy("__part").agg(F.sum(value).alias("__sum"))
-    before = ends.withColumn("__before", F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return inner.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn(name, F.col("__run") + F.col("__before")).drop("__part", "__run", "__before")
+def global_sums(df: DataFrame, order: list, value: Column, name: str, bucket: Column) -> DataFrame:
+    """df with the running sum of value over a total order, rows before included. bucket never falls in that order and has a
+    bounded number of values."""
+    marked = df.withColumn("__bucket", bucket)
+    own = Window.partitionBy("__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = marked.groupBy("__bucket").agg(F.sum(value).alias("__sum"))
+    before = sums.select("__bucket", F.coalesce(F.sum("__sum").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return marked.withColumn("__run", F.sum(value).over(own)).join(F.broadcast(before), "__bucket").withColumn(name, F.col("__run") + F.col("__before")).drop("__bucket", "__run", "__before")
+
+
+def range_bucket(df: DataFrame, column: str, parts: int = 256) -> Column:
+    """A bucket by about equally many rows of a number or time column; nulls come first."""
+    number = F.col(column).cast("timestamp").cast("double") if df.schema[column].dataType.simpleString().startswith(("timestamp", "date")) else F.col(column).cast("double")
+    cuts = df.agg(F.percentile_approx(number, [x / parts for x in range(1, parts)], 10_000).alias("c")).first()["c"] or []
+    return F.when(number.isNull(), -1).otherwise(F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))).cast("array<double>"), lambda c: c < number)))
+
+
+def key_bucket() -> Column:
+    """The first 12 bits of a shuffle key's hash."""
+    return F.substr(F.col("__key.hash"), F.lit(1), F.lit(3))
 
 
 def eval_size(n: int, ratio: float) -> int:
@@ -39,7 +50,7 @@ def row_split(df: DataFrame, payload: Column, ratio: float, seed: int) -> DataFr
     """df with split: the first rows of the stable shuffle are eval. payload is a row's canonical JSON."""
     size = eval_size(df.count(), ratio)
     keyed = df.withColumn("__key", stable_shuffle_key(payload, seed))
-    ranked = global_sums(keyed, ["__key"], F.lit(1), "__rank")
+    ranked = global_sums(keyed, ["__key"], F.lit(1), "__rank", key_bucket())
     return ranked.withColumn("split", F.when(F.col("__rank") <= size, "eval").otherwise("train")).drop("__key", "__rank")
 
 
@@ -49,17 +60,17 @@ def group_ratio_split(df: DataFrame, group: str, payload: Column, ratio: float,
     totals = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("groups")).first()
     wanted = eval_size(int(totals["rows"]), ratio)
     keyed = groups.withColumn("__key", stable_shuffle_key(payload, seed))
-    summed = global_sums(global_sums(keyed, ["__key"], F.col("n"), "__rows"), ["__key"], F.lit(1), "__place")
+    summed = global_sums(global_sums(keyed, ["__key"], F.col("n"), "__rows", key_bucket()), ["__key"], F.lit(1), "__place", key_bucket())
     chosen = (F.col("__rows") - F.col("n") < wanted) & (F.col("__place") < max(1, totals["groups"]))
     return summed.withColumn("split", F.when(chosen, "eval").otherwise("train")).drop("__key", "__rows", "__place")
 
 
 def tail_split(df: DataFrame, order: list, held: int) -> DataFrame:
-    """df with split: the last `held` rows are eval. Holding all rows is an error."""
+    """df with split: the last `held` rows are eval. Holding all rows is an error. The first column of order is a number or a time."""
     n = df.count()
     if held >= n:
         raise ValueError(f"a tail of {held} leaves nothing of {n} rows")
-    ranked = global_sums(df, order, F.lit(1), "__rank")
+    ranked = global_sums(df, order, F.lit(1), "__rank", range_bucket(df, order[0]))
     return ranked.withColumn("split", F.when(F.col("__rank") > n - held, "eval").otherwise("train")).drop("__rank")
 
 

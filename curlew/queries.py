@@ -389,7 +389,7 @@ def coverage_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Truncated lists with the overflow
-@query("""WITH o AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber) AS p FROM lineitem GROUP BY 1) SELECT l_orderkey, array_to_string(p[1:3], ',') AS kept, CASE WHEN len(p) > 3 THEN len(p) - 3 END AS truncated FROM o""")
+@query("""WITH o AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p FROM lineitem GROUP BY 1) SELECT l_orderkey, array_to_string(p[1:3], ',') AS kept, CASE WHEN len(p) > 3 THEN len(p) - 3 END AS truncated FROM o""")
 def truncate_and_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("p"))
     return o.select("l_orderkey", F.array_join(F.transform(F.slice("p", 1, 3), lambda z: z["l_partkey"]), ",").alias("kept"), F.when(F.size("p") > 3, F.size("p") - 3).alias("truncated"))
@@ -473,4 +473,4 @@ def split_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT conv_id, turn, row_number() OVER (ORDER BY length(text), conv_id, turn) AS place FROM conversations")
 def sort_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("n"))
-    return splits.global_sums(rows, ["n", "conv_id", "turn"], F.lit(1), "place").select("conv_id", "turn", "place")
+    return splits.global_sums(rows, ["n", "conv_id", "turn"], F.lit(1), "place", splits.range_bucket(rows, "n")).select("conv_id", "turn", "place")
