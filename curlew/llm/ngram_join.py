@@ -5,12 +5,14 @@ of coordinate minima bounds the overlap of two sets, and of a set with every set
 bound are verified on the whole sets.
 
 How the trees are dealt to tasks. One tree over all documents can't be split without reading most of it for each query, so
-each tree holds documents that have a rare shingle in common. If shingles are put in one order for all documents, two linked
+each tree holds documents that have rare shingles in common. If shingles are put in one order for all documents, two linked
 sets share one among the first n - ceil(n * num / den) + 1 of each, so nothing is lost. The order is by counts over all
-documents in a fixed number of buckets, so that passages which many documents share come last.
+documents in a fixed number of buckets, so that passages which many documents share come last. A tenth of the set more is
+dealt, so that a set has to share about a fourteenth of its shingles there to be linked with any: what only quotes a common
+passage drops out before the trees.
 
 Groups of copies. Exact copies of a set link to their first document and go no further. In a group with a common rare
-shingle each member is first compared with the group's first member only; what is linked is then one component, and the trees
+shingle each member is first compared with one group's first member only; what is linked is then one component, and the trees
 look for pairs between components. A group of near copies therefore costs as many comparisons as it has members.
 Shingles that a large share of the documents has are counted beforehand and dealt to several tasks (salted).
 
@@ -23,16 +25,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curlew.llm import rtree, textbytes
 from curlew.llm.components import connected_components
 from curlew.llm.workspace import Workspace
 
-BUCKETS = 1 << 18
-GROUPS = 128
+BUCKETS = 1 << 21
 BLOCK = 512
+MORE = 10
+FEW_TARGETS = 50_000
 
 
 def _first_of_sets(h: np.ndarray, bounds: np.ndarray, seen: set[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,23 +53,24 @@ def _first_of_sets(h: np.ndarray, bounds: np.ndarray, seen: set[bytes]) -> tuple
     return a.view(np.int64), b.view(np.int64), new
 
 
-def _describe(k: int, groups: int, share: float):
-    """Task: a row for each document with its set's size, identity and count vector; at the end the counts per bucket, and the
-    shingles that more than `share` of the task's documents have."""
+def _describe(k: int, share: float):
+    """Task: a row for each document with its set's size, identity and count vector; at the end the counts of the buckets that are
+    fuller than by chance, and the shingles that more than `share` of the task's documents have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, often, docs = np.zeros(BUCKETS, np.int64), {}, 0
+        buckets, often, docs, total = np.zeros(BUCKETS, np.int64), {}, 0, 0
         for batch in batches:
             ids = batch.column(0)
             recent, at = [], 0
             for i, j, h, r, bounds in textbytes.shingle_sets(batch.column(1), k):
                 n = np.diff(bounds)
                 a, b, _ = _first_of_sets(h, bounds, set())
-                vectors = rtree.counts(h, r, j - i, groups)
+                vectors = rtree.counts(h, bounds)
                 buckets += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
                 recent.append(h)
+                total += len(h)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(j - i, np.int8)), ids.slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(a), pa.array(b), pa.array([v.tobytes() for v in vectors], pa.binary())],
+                    [pa.array(np.zeros(j - i, np.int8)), ids.slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(a), pa.array(b), pa.array(vectors, pa.binary())],
                     names=["kind", "doc", "n", "a", "b", "vec"],
                 )
                 at += j - i
@@ -76,7 +80,9 @@ def _describe(k: int, groups: int, share: float):
                 # a shingle above the share over the task is above it in one of its batches
                 for x, y in zip(h[c >= max(8, share * at)].tolist(), c[c >= max(8, share * at)].tolist(), strict=True):
                     often[x] = often.get(x, 0) + y
-        full = np.flatnonzero(buckets)
+        # what chance puts into a bucket of the task tells nothing
+        usual = total / BUCKETS
+        full = np.flatnonzero(buckets > usual + 4 * usual**0.5 + 2)
         hot = np.array(list(often), np.uint64)
         for kind, key, count in ((1, full, buckets[full]), (2, hot.view(np.int64), np.array(list(often.values()), np.int64))):
             m = len(key)
@@ -105,7 +111,7 @@ def _prefixes(k: int, num: int, den: int, level: np.ndarray, hot: np.ndarray, sa
             for i, j, h, r, bounds in textbytes.shingle_sets(batch.column(1), k):
                 _, _, new = _first_of_sets(h, bounds, seen)
                 n = np.diff(bounds)
-                length = np.where(new & known[i:j], n - (n * num + den - 1) // den + 1, 0)
+                length = np.where(new & known[i:j], n - (n * num + den - 1) // den + np.maximum(1, n // MORE), 0)
                 order = np.lexsort((h, level[(h & np.uint64(BUCKETS - 1)).astype(np.int64)], r))
                 rank = np.arange(len(h)) - bounds[r]
                 take = order[rank < length[r]]
@@ -120,28 +126,23 @@ def _prefixes(k: int, num: int, den: int, level: np.ndarray, hot: np.ndarray, sa
     return run
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (h, salt, doc) -> the rows of groups of two or more, with the group's first document. Of a salted group every row stays."""
-    held: tuple | None = None  # the last group's (h, salt, first), and its first row if that waits for a second
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (h, salt, doc) -> (h, doc) of the groups of two or more. Of a salted group every row stays."""
+    held: tuple | None = None  # the last row's group, and its document if that waits for a second one
     for batch in batches:
         h, salt, doc = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(3))
         if not len(h):
             continue
-        wait = held is not None and held[3]
+        wait = held is not None and held[2] is not None
         if wait:
             h, salt, doc = np.concatenate([[held[0]], h]), np.concatenate([[held[1]], salt]), np.concatenate([[held[2]], doc])
         begins = np.ones(len(h), bool)
         begins[1:] = (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])
         goes_on = not wait and held is not None and held[0] == h[0] and held[1] == salt[0]
-        first = doc[np.flatnonzero(begins)][np.cumsum(begins) - 1]
         group = np.cumsum(begins)
-        if goes_on:
-            first = np.where(group == 1, held[2], first)
-        size = np.bincount(group)[group]
-        keep = (size > 1) | (salt > 0) | ((group == 1) & goes_on)
-        last_alone = not keep[-1]
-        held = (h[-1], salt[-1], first[-1], last_alone)
-        yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(salt[keep].astype(np.int32)), pa.array(first[keep]), pa.array(doc[keep])], names=["h", "salt", "center", "doc"])
+        keep = (np.bincount(group)[group] > 1) | (salt > 0) | ((group == 1) & goes_on)
+        held = (h[-1], salt[-1], None if keep[-1] else doc[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(doc[keep])], names=["h", "doc"])
 
 
 def _sets(k: int):
@@ -198,7 +199,7 @@ def _verify(num: int, den: int):
     return run
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _linked(ws: Workspace, docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """pairs (u, v) of documents -> those whose sets are similar enough. Documents with many pairs are dealt in several parts."""
     many = pairs.groupBy("v").agg(F.count("*").alias("m")).select("v", F.ceil(F.col("m") / F.lit(4 * BLOCK)).cast("int").alias("parts"))
     dealt = pairs.join(many, "v").select("u", "v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("salt"))
@@ -206,28 +207,61 @@ def _linked(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> Da
         dealt.select("v", "salt").distinct().select(F.col("v").alias("doc"), F.struct(F.col("v").alias("y"), "salt", F.lit(None).cast("long").alias("x")).alias("to"))
     )
     # a document's targets are bounded by the parts above on one side, and by a group's components on the other
-    targets = sides.groupBy("doc").agg(F.collect_list("to").alias("targets"))
+    targets = ws.write(sides.groupBy("doc").agg(F.collect_list("to").alias("targets")), "targets")
+    # a checked size: beyond it the texts are shuffled
+    if sides.count() <= FEW_TARGETS:
+        targets = F.broadcast(targets)
     rows = docs.join(targets, "doc").select("text", "targets").mapInArrow(_sets(k), "y long, salt int, x long, set binary")
     return rows.repartition("y", "salt").sortWithinPartitions("y", "salt", F.asc_nulls_first("x")).mapInArrow(_verify(num, den), "u long, v long").distinct()
 
 
-def _tree_pairs(num: int, den: int, groups: int):
-    """Task: the members of one tree in sorted runs of (h, i, j); side tells blocks i and j apart. Emits pairs that pass the bound."""
+def _bounded(num: int, den: int):
+    """Task: rows (u, v, n and vector of each) -> the pairs that pass the bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_u, n_v = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            vec_u, vec_v = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            keep = [rtree.may_link(a, b, m, n, num, den) for a, b, m, n in zip(vec_u, vec_v, n_u, n_v, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _pairs_batch(out: list[tuple[int, int]], unfinished: int | None = None) -> pa.RecordBatch:
+    u, v, h = [o[0] for o in out], [o[1] for o in out], [None] * len(out)
+    if unfinished is not None:
+        u, v, h = [*u, None], [*v, None], [*h, unfinished]
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(h, pa.int64())], names=["u", "v", "h"])
+
+
+def _tree_pairs(num: int, den: int, whole: bool):
+    """Task: the members of one tree in sorted runs of (h, i, j); side tells blocks i and j apart. Emits pairs of different
+    components that pass the bound; unless whole, only the best ones that would join all that such pairs can join, and the
+    tree's h if there are others."""
 
     def pairs(run: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(run)
         doc, comp, n = (table.column(c).to_numpy() for c in ("doc", "comp", "n"))
         side = table.column("side").to_numpy()
-        points = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.uint16).reshape(len(doc), groups)
-        out: list[tuple[int, int]] = []
         two = side.max() != side.min()
-        for i, js in rtree.join(points, n, comp, num, den):
-            js = js[side[js] != side[i]] if two else js
-            out += [(max(doc[i], doc[j]), min(doc[i], doc[j])) for j in js]
-            if len(out) > 1 << 16:
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["u", "v"])
+        out: list = []
+        for i, js, bounds in rtree.join(table.column("vec").to_pylist(), n, comp, num, den):
+            if two:
+                js, bounds = js[side[js] != side[i]], bounds[side[js] != side[i]]
+            if whole:
+                out += [(max(doc[i], doc[j]), min(doc[i], doc[j])) for j in js]
+            else:
+                out += [(b, i, j) for b, j in zip(bounds.tolist(), js.tolist(), strict=True)]
+            if whole and len(out) > 1 << 16:
+                yield _pairs_batch(out)
                 out = []
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["u", "v"])
+        if not whole:
+            tree = rtree.forest([(b, comp[i], comp[j], i, j) for b, i, j in out])
+            rest = len(out) - len(tree)
+            yield _pairs_batch([(max(doc[i], doc[j]), min(doc[i], doc[j])) for _, _, _, i, j in tree], int(table.column("h")[0].as_py()) if rest else None)
+        else:
+            yield _pairs_batch(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -248,7 +282,7 @@ def _tree_pairs(num: int, den: int, groups: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4, groups: int = GROUPS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs: the size of the set, and the smallest id reachable by links.
 
     Documents without words have an empty set, link with nothing and are their own component. Null texts count as empty; rows
@@ -259,7 +293,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     share = 0.005
 
-    facts = ws.write(docs.mapInArrow(_describe(k, groups, share), "kind byte, doc long, n long, a long, b long, vec binary"), "facts")
+    facts = ws.write(docs.mapInArrow(_describe(k, share), "kind byte, doc long, n long, a long, b long, vec binary"), "facts")
     about = facts.filter("kind = 0")
     total = facts.filter("kind = 3").agg(F.sum("n")).first()[0] or 0
     level = np.zeros(BUCKETS, np.uint8)
@@ -276,33 +310,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = valid.groupBy("a", "b").agg(F.min("doc").alias("v"))
     copies = valid.join(first, ["a", "b"]).filter("doc <> v").select(F.col("doc").alias("u"), "v")
 
+    points = about.filter("doc is not null").select("doc", "n", "vec")
     dealt = docs.mapInArrow(_prefixes(k, num, den, level, hot, salts), "h long, salt int, doc long")
-    stars = ws.write(dealt.repartition("h", "salt").sortWithinPartitions("h", "salt", "doc").mapInArrow(_stars, "h long, salt int, center long, doc long"), "stars")
-    # of the centers of a salted shingle's parts, the first is every part's center
-    tops = stars.filter("salt > 0").groupBy("h").agg(F.min("center").alias("top"))
-    inner = stars.select("h", "doc", "center").filter("doc <> center")
-    outer = stars.filter("salt > 0").select("h", "center").distinct().join(tops, "h").filter("center <> top").select("h", F.col("center").alias("doc"), F.col("top").alias("center"))
-
-    # each document against the center that it shares most rare shingles with, copies aside
-    shared = inner.union(outer).groupBy("doc", "center").agg(F.count("*").alias("c"))
-    best = shared.groupBy("doc").agg(F.max_by("center", F.struct("c", -F.col("center"))).alias("center"))
+    members = ws.write(dealt.repartition("h", "salt").sortWithinPartitions("h", "salt", "doc").mapInArrow(_shared, "h long, doc long"), "members")
+    # linked sets of m and n shingles share the first min(m // MORE, n // MORE) or more of what is dealt, and one at least
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * num / den) / MORE))
+    for _ in range(2):
+        own = members.withColumn("c", F.count("*").over(Window.partitionBy("doc"))).join(points.select("doc", "n"), "doc").filter(F.col("c") >= least).select("h", "doc")
+        groups = own.groupBy("h").agg(F.min("doc").alias("center"), F.count("*").alias("m")).filter("m > 1")
+        members = ws.write(own.join(groups, "h").select("h", "doc", "center"), "members")
+
+    # groups with the same first document make one tree, in which each of their members has one place
+    seats = ws.write(members.groupBy("center", "doc").agg(F.count("*").alias("c")), "seats")
+
+    # each document against the first of the groups that it shares most rare shingles with, copies aside
+    best = seats.filter("doc <> center").groupBy("doc").agg(F.max_by("center", F.struct("c", -F.col("center"))).alias("center"))
     checked = ws.write(best.select(F.col("doc").alias("u"), F.col("center").alias("v")).join(copies, ["u", "v"], "left_anti"), "first-pairs")
-    links = ws.write(_linked(docs, checked, k, num, den).union(copies), "links")
+    near = checked.join(points.toDF("u", "nu", "wu"), "u").join(points.toDF("v", "nv", "wv"), "v").select("u", "v", "nu", "nv", "wu", "wv").mapInArrow(_bounded(num, den), "u long, v long")
+    near = ws.write(near.distinct(), "first-near")
+    links = ws.write(_linked(ws, docs, near, k, num, den).union(copies), "links")
     known = connected_components(ws, links)
 
-    # trees over the groups in which more than one component is left; groups with the same members need one tree
-    members = stars.select("h", "doc").join(known.withColumnRenamed("node", "doc"), "doc", "left").select("h", "doc", F.coalesce("component", "doc").alias("comp"))
-    left = members.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"), F.expr("bit_xor(xxhash64(doc))").alias("x"), F.min("doc").alias("d")).filter("low <> high")
-    trees = left.groupBy("x", "m", "d").agg(F.min("h").alias("h")).select("h", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    seat = members.join(trees, "h").withColumn("b", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    seat = seat.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    seat = seat.select("h", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), F.col("b").alias("side"), "doc", "comp")
-    points = about.filter("doc is not null").select("doc", "n", "vec")
-    found = seat.join(points, "doc").select("h", "i", "j", "side", "doc", "comp", "n", "vec").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-    pairs = ws.write(found.mapInArrow(_tree_pairs(num, den, groups), "u long, v long").distinct().join(checked, ["u", "v"], "left_anti"), "tree-pairs")
-    more = ws.write(_linked(docs, pairs, k, num, den).union(links), "links")
-    component = connected_components(ws, more)
+    # trees in which more than one component is left: first the pairs that may join most, then all others
+    rows = seats
+    for whole in (False, True):
+        placed = rows.select("center", "doc").join(known.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("center").alias("h"), "doc", F.coalesce("component", "doc").alias("comp"))
+        trees = placed.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("low <> high").select("h", "blocks")
+        seat = placed.join(trees, "h").withColumn("b", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+        seat = seat.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        seat = seat.select("h", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), F.col("b").alias("side"), "doc", "comp")
+        found = seat.join(points, "doc").select("h", "i", "j", "side", "doc", "comp", "n", "vec").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+        found = ws.write(found.mapInArrow(_tree_pairs(num, den, whole), "u long, v long, h long").distinct(), "tree-pairs")
+        rows = seats.join(found.filter("h is not null").select(F.col("h").alias("center")), "center", "left_semi")
+        pairs = ws.write(found.filter("h is null").select("u", "v").join(checked, ["u", "v"], "left_anti"), "new-pairs")
+        checked = checked.union(pairs)
+        new = ws.write(_linked(ws, docs, pairs, k, num, den), "new-links")
+        if new.isEmpty():
+            continue
+        links = new.union(links)
+        known = connected_components(ws, links)
 
+    component = known
     out = about.join(component, about["doc"] == component["node"], "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
