@@ -18,7 +18,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
@@ -138,18 +138,20 @@ def best_fit(
 ) -> DataFrame:
     """(doc_id, copy, piece, piece_start, n_tokens, shard, bin, bin_start) with a row for every piece of every row of docs.
 
-    Tokens are the words between white space; piece_start and bin_start are counted in tokens. copy numbers rows of one id
-    (from 1, in no particular order). Rows with the same cluster_col, or else with the same text up to white space and case,
+    Tokens are the words between white space; piece_start and bin_start are counted in tokens. copy numbers the rows of one id
+    from 1, and equal rows of a null id. Rows with the same cluster_col, or else with the same text up to white space and case,
     are a duplicate cluster. Documents without words have one piece of no tokens, and no bin. Null ids are kept; null sources
     conflict with none.
     """
     words = F.filter(F.split(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     cluster = F.xxhash64(F.lower(F.array_join(words, " "))) if cluster_col is None else F.xxhash64(F.col(f"`{cluster_col}`"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), F.size(words).alias("size"), cluster.alias("cluster"))
-    # rows of one id share all else or differ; the copies of a hot id are spread by their content, then by chance that doesn't matter
+    # equal rows are counted before they are numbered, so that an id that is repeated often stays one row until then
     same = F.xxhash64("doc_id", "source", "size", "cluster")
     grouped = rows.groupBy("doc_id", "source", "size", "cluster").agg(F.count("*").cast("int").alias("n"))
-    copies = grouped.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    before = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), same)).orderBy("source", "size", "cluster").rowsBetween(Window.unboundedPreceding, -1)
+    grouped = grouped.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int"))
+    copies = grouped.withColumn("copy", F.explode(F.sequence(F.col("first") + 1, F.col("first") + F.col("n"))))
     pieces = copies.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / capacity).cast("int") - 1))))
     pieces = pieces.select("doc_id", "copy", "source", "cluster", "piece", (F.col("piece") * capacity).alias("piece_start"), F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).cast("int").alias("n_tokens"), same.alias("same"))
     total = docs.count()
