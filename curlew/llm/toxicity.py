@@ -9,9 +9,10 @@ A document's evidence is its log-likelihood under the toxic model less that unde
 the whole text, and of its most telling spans of a few lengths. A logistic map, fitted on a fold that isn't counted, turns
 these into a score.
 
-Sizes. Counting is a shuffle of the distinct word pairs of each task. What the driver gathers is bounded: the word levels are
-tables of 2**20 hash buckets, and pairs are kept from a fixed share of a class's pairs up (2**-20), which bounds their number
-by arithmetic; all others back off. The logistic map is fitted on at most `fit_rows` documents.
+Sizes. Counting is a shuffle of the distinct word pairs of each task. What the driver gathers is bounded: the shared level is
+a table of hash buckets; words and pairs have counts of their own from a fixed share of a class's contexts up (2**-20), which
+bounds their number by arithmetic, and all others back off to the shared level. The logistic map is fitted on at most
+`fit_rows` documents.
 """
 
 from __future__ import annotations
@@ -20,21 +21,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curlew.llm import textbytes
 from curlew.llm.workspace import Workspace
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
+LEAST_SHARE = 2.0**-20
 WORD_DISCOUNT = 3.0
 PAIR_DISCOUNT = 6.0
 SPANS = (1, 4, 16)
 FIT_ROWS = 20000
 LABELS_FEW = 2_000_000
 
-PAIR = "g long, v int, w int, c0 int, c1 int"
-COUNT = "kind byte, key long, v int, c0 long, c1 long"
+PAIR = "v long, w long, c long"
+COUNT = "kind byte, v long, w long, s long, c0 long, c1 long"
 
 
 def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -44,121 +46,120 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield i, j, words, rows
 
 
-def _pairs(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every word but a row's first: the pair's hash, whether it has one, and the buckets of both words (all words alike)."""
-    bucket = (words & np.uint64(BUCKETS - 1)).astype(np.int32)
-    before = np.zeros(len(words), np.uint64)
-    follows = np.zeros(len(words), bool)
-    if len(words):
-        before[1:] = words[:-1]
-        follows[1:] = rows[1:] == rows[:-1]
-    left = np.zeros(len(words), np.int32)
-    left[1:] = bucket[:-1]
-    return textbytes.mix(words * np.uint64(textbytes.BASE) + before), follows, left, bucket
+def _pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return textbytes.mix(w * np.uint64(textbytes.BASE) + v)
+
+
+def _distinct(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Pairs once each, their neighbours' bits joined."""
+    v, w, c = (np.concatenate(x) for x in zip(*held, strict=True))
+    if not len(v):
+        return v, w, c
+    key = _pair_key(v, w)
+    order = np.argsort(key)
+    key = key[order]
+    firsts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return v[order][firsts], w[order][firsts], np.bitwise_or.reduceat(c[order], firsts)
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: (text, class) -> the task's distinct word pairs with a sketch of their left neighbours in each class."""
+    """Task: (text, class) -> the task's distinct word pairs with a sketch of their left neighbours: 32 bits for each class."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for i, j, words, rows in _words(batch.column(0)):
-            g, follows, left, bucket = _pairs(words, rows)
-            at = np.flatnonzero(follows)
-            neighbour = np.where(follows[at - 1], words[at - 2], np.uint64(0))
-            bit = np.uint32(1) << ((textbytes.mix(neighbour + np.uint64(7)) >> np.uint64(9)) & np.uint64(31)).astype(np.uint32)
-            is_toxic = toxic[i:j][rows[at]] == 1
-            held.append((g[at], left[at], bucket[at], np.where(is_toxic, 0, bit).astype(np.uint32), np.where(is_toxic, bit, 0).astype(np.uint32)))
+            at = np.flatnonzero(rows[1:] == rows[:-1]) + 1
+            has_left = (at > 1) & (rows[at - 2] == rows[at])
+            neighbour = np.where(has_left, words[at - 2], np.uint64(0))
+            bit = (textbytes.mix(neighbour + np.uint64(7)) >> np.uint64(9)) & np.uint64(31)
+            bit += np.where(toxic[i:j][rows[at]] == 1, np.uint64(32), np.uint64(0))
+            held.append((words[at - 1], words[at], np.uint64(1) << bit))
             size += len(at)
-            if size > 4 << 20:
+            if size > 3 << 20:
                 held = [_distinct(held)]
-                if len(held[0][0]) > 2 << 20:
+                size = len(held[0][0])
+                if size > 2 << 20:
                     yield from _pair_rows(held.pop())
-                size = sum(len(x[0]) for x in held)
+                    size = 0
     if held:
         yield from _pair_rows(_distinct(held))
 
 
-def _distinct(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    g, v, w, c0, c1 = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = np.argsort(g)
-    g = g[order]
-    firsts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-    if not len(g):
-        return g, v, w, c0, c1
-    return g[firsts], v[order][firsts], w[order][firsts], np.bitwise_or.reduceat(c0[order], firsts), np.bitwise_or.reduceat(c1[order], firsts)
-
-
 def _pair_rows(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-    g, v, w, c0, c1 = found
-    for a in range(0, len(g), 1 << 17):
-        s = slice(a, a + (1 << 17))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(g[s].view(np.int64)), pa.array(v[s]), pa.array(w[s]), pa.array(c0[s].view(np.int32)), pa.array(c1[s].view(np.int32))], names=["g", "v", "w", "c0", "c1"]
-        )
+    for a in range(0, len(found[0]), 1 << 17):
+        yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 17)].view(np.int64)) for x in found], names=["v", "w", "c"])
 
 
 def _meet_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: all rows of its pairs -> kind 0, per word the pairs it ends (in class 0, in class 1, key = bucket); kind 1, per pair seen
-    with two neighbours or more, its counts; kind 2, per first word, its counts; kind 3, all of them."""
-    held, size = [], 0
-    words, firsts, total = np.zeros((3, BUCKETS), np.int64), np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
+    """Task: all rows of its pairs -> kind 0, per second word the pairs it ends (s in all, c0 and c1 by class); kind 1, per pair
+    that isn't discounted to nothing, its counts; kind 2, per first word, its counts; kind 3, the sum of the counts."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
     for batch in batches:
-        g, v, w, c0, c1 = (batch.column(x).to_numpy() for x in range(5))
-        held.append((g.view(np.uint64), v, w, c0.view(np.uint32), c1.view(np.uint32)))
-        size += len(g)
-        if size > 8 << 20:
+        held.append(tuple(batch.column(x).to_numpy().view(np.uint64) for x in range(3)))
+        size += batch.num_rows
+        if size > 6 << 20:
             held = [_distinct(held)]
             size = len(held[0][0])
     if not held:
         return
-    g, v, w, c0, c1 = _distinct(held)
-    n0, n1 = np.bitwise_count(c0).astype(np.int64), np.bitwise_count(c1).astype(np.int64)
-    words[0] += np.bincount(w[n0 > 0], minlength=BUCKETS)
-    words[1] += np.bincount(w[n1 > 0], minlength=BUCKETS)
-    words[2] += np.bincount(w, minlength=BUCKETS)
-    for c, n in enumerate((n0, n1)):
-        firsts[c] += np.bincount(v, n, minlength=BUCKETS).astype(np.int64)
-        total[c] = n.sum()
-    at = np.flatnonzero(words[2])
-    yield _counts(0, at, words[2][at].astype(np.int32), words[0][at], words[1][at])
-    at = np.flatnonzero(firsts[0] + firsts[1])
-    yield _counts(2, at, np.zeros(len(at), np.int32), firsts[0][at], firsts[1][at])
-    yield _counts(3, np.zeros(1, np.int64), np.zeros(1, np.int32), total[:1], total[1:])
-    at = np.flatnonzero(np.maximum(n0, n1) > PAIR_DISCOUNT)  # others are discounted to nothing
-    for a in range(0, len(at), 1 << 17):
-        x = at[a : a + (1 << 17)]
-        yield _counts(1, g[x].view(np.int64), v[x], n0[x], n1[x])
-
-
-def _counts(kind: int, key: np.ndarray, v: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), pa.array(key.astype(np.int64)), pa.array(v), pa.array(c0), pa.array(c1)], names=["kind", "key", "v", "c0", "c1"])
+    v, w, c = _distinct(held)
+    n0, n1 = np.bitwise_count(c & np.uint64(0xFFFFFFFF)).astype(np.int64), np.bitwise_count(c >> np.uint64(32)).astype(np.int64)
+    for kind, key, counts in ((0, w, (np.ones(len(w), np.int64), (n0 > 0).astype(np.int64), (n1 > 0).astype(np.int64))), (2, v, (np.zeros(len(v), np.int64), n0, n1))):
+        order = np.argsort(key)
+        firsts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
+        sums = [np.add.reduceat(x[order], firsts) if len(firsts) else x for x in counts]
+        yield from _counts(kind, key[order][firsts], key[order][firsts], *sums)
+    at = np.flatnonzero(np.maximum(n0, n1) > PAIR_DISCOUNT)
+    yield from _counts(1, v[at], w[at], np.zeros(len(at), np.int64), n0[at], n1[at])
+    one = np.zeros(1, np.uint64)
+    yield from _counts(3, one, one, np.zeros(1, np.int64), np.array([n0.sum()]), np.array([n1.sum()]))
+
+
+def _counts(kind: int, v: np.ndarray, w: np.ndarray, s: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(v), 1 << 17):
+        x = slice(a, a + (1 << 17))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(v[x]), kind, np.int8)), pa.array(v[x].view(np.int64)), pa.array(w[x].view(np.int64)), *(pa.array(y[x].astype(np.int64)) for y in (s, c0, c1))], names=["kind", "v", "w", "s", "c0", "c1"]
+        )
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ascending keys, and whether the wanted value is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
 
 class Model:
-    """log P(word | class) of both classes by bucket, and the pairs that are kept."""
-
-    def __init__(self, words: np.ndarray, pair_keys: np.ndarray, pair_firsts: np.ndarray, pair_counts: np.ndarray, firsts: np.ndarray):
-        """words: (shared, class 0, class 1) x BUCKETS; pair_counts, firsts: the two classes' rows."""
-        shared = (words[0] + 0.5) / (words[0].sum() + 0.5 * BUCKETS)
-        self.word = []
-        for c in (1, 2):
-            total = max(1.0, words[c].sum())
-            cut = np.minimum(words[c], WORD_DISCOUNT)
-            left = cut.sum() / total if words[c].any() else 1.0
-            self.word.append(((words[c] - cut) / total + left * shared).astype(np.float64))
-        order = np.argsort(pair_keys)
-        self.keys = pair_keys[order]
-        v = pair_firsts[order]
+    """The shared level by bucket; words and pairs with counts of their own, by hash."""
+
+    def __init__(self, shared: np.ndarray, words: tuple[np.ndarray, ...], word_totals: tuple[float, float], pairs: tuple[np.ndarray, ...], firsts: tuple[np.ndarray, ...]):
+        """shared: counts by bucket. words: hashes and their counts in both classes; pairs: hashes of first and second words and
+        counts; firsts: hashes of first words and their counts."""
+        self.shared = ((shared + 0.5) / (shared.sum() + 0.5 * len(shared))).astype(np.float32)
+        order = np.argsort(words[0])
+        self.words = words[0][order]
+        self.own, self.rest = [], []
+        for c in (0, 1):
+            total = max(1.0, word_totals[c])
+            own = np.maximum(0.0, words[1 + c][order] - WORD_DISCOUNT) / total
+            self.own.append(own)
+            self.rest.append(max(1e-9, 1 - own.sum()))  # what the discounts and the words without counts of their own leave
+        first_order = np.argsort(firsts[0])
+        self.firsts = firsts[0][first_order]
+        keys = _pair_key(pairs[0], pairs[1])
+        pair_order = np.argsort(keys)
+        self.pairs = keys[pair_order]
+        place, _ = _find(self.firsts, pairs[0][pair_order])
         self.pair, self.left = [], []
         for c in (0, 1):
-            kept = np.maximum(0.0, pair_counts[c][order] - PAIR_DISCOUNT)
-            mass = np.bincount(v, kept, minlength=BUCKETS)
-            total = np.maximum(firsts[c], 1)
-            self.pair.append(kept / total[v])
-            self.left.append((1 - mass / total).astype(np.float32))
-        self.ratio = (np.log(self.word[1]) - np.log(self.word[0])).astype(np.float32)
+            total = np.maximum(firsts[1 + c][first_order], 1)
+            own = np.maximum(0.0, pairs[2 + c][pair_order] - PAIR_DISCOUNT) / total[place] if len(place) else np.zeros(0)
+            self.pair.append(own)
+            self.left.append(1 - np.bincount(place, own, minlength=len(total)) if len(total) else np.zeros(0))
 
     @classmethod
     def of(cls, state: dict) -> Model:
@@ -169,18 +170,19 @@ class Model:
 
     def evidence(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of every word after its neighbour."""
-        g, follows, left, bucket = _pairs(words, rows)
-        out = self.ratio[bucket].astype(np.float64)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, g), len(self.keys) - 1)
-            seen = follows & (self.keys[at] == g)
-            changed = np.flatnonzero(follows & ((self.left[0][left] != 1) | (self.left[1][left] != 1)))
-            p = []
+        shared = self.shared[(words & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.float64)
+        at, known = _find(self.words, words)
+        p = [self.rest[c] * shared for c in (0, 1)]
+        for c in (0, 1):
+            p[c][known] += self.own[c][at[known]]
+        if len(self.firsts) and len(words) > 1:
+            second = np.flatnonzero(rows[1:] == rows[:-1]) + 1
+            place, has = _find(self.firsts, words[second - 1])
+            second, place = second[has], place[has]
+            found, seen = _find(self.pairs, _pair_key(words[second - 1], words[second]))
             for c in (0, 1):
-                own = np.where(seen[changed], self.pair[c][at[changed]], 0.0)
-                p.append(own + self.left[c][left[changed]] * self.word[c][bucket[changed]])
-            out[changed] = np.log(p[1]) - np.log(p[0])
-        return out
+                p[c][second] = np.where(seen, self.pair[c][found], 0.0) + self.left[c][place] * p[c][second]
+        return np.log(p[1]) - np.log(p[0])
 
     def features(self, column: pa.Array) -> np.ndarray:
         """Per row: the evidence by length of the whole text, and of the best span of each length in SPANS (or the text, if shorter)."""
@@ -230,21 +232,27 @@ def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT
     lookup = F.broadcast(known) if n <= LABELS_FEW else known
     marked = docs.filter("part <> 0").join(lookup, "doc")
     pairs = marked.filter("part <> 4").select("text", "toxic").mapInArrow(_count_pairs, PAIR)
-    counts = ws.write(pairs.repartition("g").mapInArrow(_meet_pairs, COUNT), "counts")
-    totals = counts.filter("kind = 3").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
-    if not totals or not totals["c0"] or not totals["c1"]:
+    counts = ws.write(pairs.repartition("v", "w").mapInArrow(_meet_pairs, COUNT), "counts")
+    pair_totals = counts.filter("kind = 3").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
+    by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1"))), "words")
+    totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
+    if not totals["c0"] or not totals["c1"]:
         return None
-    least = [totals["c0"] / BUCKETS, totals["c1"] / BUCKETS]  # at most BUCKETS pairs have that share of either class
-
-    words, firsts = np.zeros((3, BUCKETS)), np.zeros((2, BUCKETS))
-    found = counts.filter("kind = 0").groupBy("key").agg(F.sum("v").alias("s"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas()
-    for row, name in enumerate(("s", "c0", "c1")):
-        words[row][found["key"].to_numpy(np.int64)] = found[name].to_numpy(float)
-    found = counts.filter("kind = 2").groupBy("key").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas()
-    for row, name in enumerate(("c0", "c1")):
-        firsts[row][found["key"].to_numpy(np.int64)] = found[name].to_numpy(float)
-    kept = counts.filter("kind = 1").filter((F.col("c0") >= F.lit(least[0])) | (F.col("c1") >= F.lit(least[1]))).select("key", "v", "c0", "c1").toPandas()
-    model = Model(words, kept["key"].to_numpy(np.int64).view(np.uint64), kept["v"].to_numpy(np.int64), kept[["c0", "c1"]].to_numpy(float).T, firsts)
+
+    def frequent(of) -> Column:
+        """At most 1 / LEAST_SHARE keys have that share of either class."""
+        return (F.col("c0") >= F.lit(of["c0"] * LEAST_SHARE)) | (F.col("c1") >= F.lit(of["c1"] * LEAST_SHARE))
+
+    shared = np.zeros(BUCKETS)
+    buckets = by_word.groupBy(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.sum("s").alias("s")).toPandas()
+    shared[buckets["b"].to_numpy(np.int64)] = buckets["s"].to_numpy(float)
+    known_words = by_word.filter(F.greatest("c0", "c1") > WORD_DISCOUNT).filter(frequent(totals)).select("w", "c0", "c1").toPandas()
+    kept = counts.filter("kind = 1").filter(frequent(pair_totals)).select("v", "w", "c0", "c1")
+    first_words = counts.filter("kind = 2").join(kept.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas()
+    kept = kept.toPandas()
+    hashes = lambda frame, name: frame[name].to_numpy(np.int64).view(np.uint64)
+    numbers = lambda frame: tuple(frame[c].to_numpy(float) for c in ("c0", "c1"))
+    model = Model(shared, (hashes(known_words, "w"), *numbers(known_words)), (totals["c0"], totals["c1"]), (hashes(kept, "v"), hashes(kept, "w"), *numbers(kept)), (hashes(first_words, "v"), *numbers(first_words)))
     shipped = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
