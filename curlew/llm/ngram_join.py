@@ -355,3 +355,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
     return out
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+),
+s AS (
+    SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
+),
+n AS (SELECT doc_id, len(sh) AS n FROM s),
+g AS (SELECT doc_id, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.v FROM reach r JOIN l ON l.u = r.c),
+least AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id FROM n JOIN least USING (doc_id)
+"""

@@ -76,6 +76,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from curlew.llm import embedding_dedup, mixing, topk
+    from curlew.llm import embedding_dedup, mixing, ngram_join, topk
 
-    return {"op2_mixing": mixing.oracle(), "op4_embedding_near_dedup": embedding_dedup.ORACLE, "op8_exact_top_k": topk.ORACLE}
+    return {"op1_ngram_jaccard_join": ngram_join.ORACLE, "op2_mixing": mixing.oracle(), "op4_embedding_near_dedup": embedding_dedup.ORACLE, "op8_exact_top_k": topk.ORACLE}
