@@ -198,3 +198,34 @@ def operator_state(state: dict) -> dict:
         if kept:
             out["primary_candidate"] = kept
     return out
+
+
+def with_request_hints(trajectory: dict) -> dict:
+    """The trajectory with its target action's wishes in the visible state, and the marker that lets them pass the clean check.
+
+    An aid for smoke runs, never for evaluation: a model that sees them can copy the answer.
+    """
+    state, action = trajectory.get("visible_state", {}), trajectory.get("target_action")
+    out = {**trajectory, "request_hints_injected": True}
+    if not isinstance(state, dict) or not isinstance(action, dict):
+        return out
+    tool, args = action.get("tool"), action.get("arguments")
+    hints: dict = {}
+    if action.get("kind") == "stop":
+        hints["requested_stop"] = {k: v for k, v in action.items() if k in ("answer", "evidence", "reason")}
+    elif action.get("kind") == "tool_call" and isinstance(tool, str) and isinstance(args, dict):
+        moves = {"kernel_near": "around", "kernel_goto": "at", "kernel_rewind": "from", "kernel_forward": "from"}
+        if tool in ("kernel_wake", "kernel_ask"):
+            hints["requested_" + tool.removeprefix("kernel_")] = {k: v for k, v in args.items() if k != "about"}
+        elif tool in moves:
+            if args.get(moves[tool]) is not None:
+                hints["requested_move"] = {"kind": tool, "cursor_key": moves[tool], "cursor": args[moves[tool]]}
+            if isinstance(args.get("dimensions"), dict):
+                hints["requested_scope"] = args["dimensions"]
+            if bounds := {k: args[k] for k in ("include", "limit", "window", "budget") if k in args}:
+                hints["requested_bounds"] = bounds
+        elif tool == "kernel_trace":
+            hints["requested_trace"] = dict(args)
+        elif tool == "kernel_inspect":
+            hints["inspection_request"] = dict(args)
+    return {**out, "visible_state": {**state, **hints}}

@@ -91,14 +91,13 @@ def read_predictions(spark: SparkSession, paths: str | Sequence[str]) -> tuple[D
 
     Lines that aren't JSON objects and bad step ids are errors; an action that can't be typed makes its line a violation.
     """
-    rows = lines(spark, paths)
-    v = responses.variant(F.col("raw"))
+    v = F.col("__v")
+    rows = lines(spark, paths).withColumn("__v", responses.variant(F.col("raw")))
     rows = must(rows, v.isNull() | (shapes.kind(v) != "object"), "not a JSON object")
-    rows = rows.withColumn("step_id", responses.string_at(v, "$.step_id"))
-    rows = must(rows, F.coalesce(F.length(F.trim("step_id")), F.lit(0)) == 0, "bad step_id")
-    rows = rows.withColumn("step_id", responses.string_at(v, "$.step_id"))
-    action = F.try_variant_get(v, "$.action", "variant")
-    rows = rows.withColumn("message", mapping_problem(action)).withColumn("action", F.when(F.col("message").isNull(), typed_action(F.to_json(action))))
+    rows = must(rows, F.coalesce(F.length(F.trim(responses.string_at(v, "$.step_id"))), F.lit(0)) == 0, "bad step_id")
+    # from the checked line on, each step is a column, so that none is computed twice
+    rows = rows.withColumn("__v", responses.variant(F.col("raw"))).withColumns({"step_id": responses.string_at(v, "$.step_id"), "__a": F.try_variant_get(v, "$.action", "variant")})
+    rows = rows.withColumn("message", mapping_problem(F.col("__a"))).withColumn("action", F.when(F.col("message").isNull(), typed_action(F.to_json("__a"))))
     return rows.filter("message is null").select("line_no", "step_id", "action"), rows.filter("message is not null").select("line_no", "step_id", "message")
 
 
@@ -150,3 +149,28 @@ def read_pack(spark: SparkSession, path: str, prefix: str = "scenario:") -> Data
 def group_values(listed: str, lines_of_file: Sequence[str] = ()) -> list[str]:
     """Sorted different values of a comma list and of a file's lines; blank ones and comments are left out."""
     return sorted({v for v in (x.strip() for x in [*listed.split(","), *lines_of_file]) if v and not v.startswith("#")})
+
+
+def read_calibration(spark: SparkSession, path: str) -> DataFrame:
+    """Calibration cases: (line_no, case_id, domain_theme, category, subject, accepted); one to three accepted actions each."""
+    rows = lines(spark, path)
+    v = responses.variant(F.col("raw"))
+    accepted = F.try_variant_get(v, "$.accepted_actions", "array<variant>")
+    rows = must(rows, responses.string_at(v, "$.case_id").isNull() | ~F.coalesce(F.size(accepted).between(1, 3), F.lit(False)), "not a calibration case")
+    return rows.select("line_no", *(responses.string_at(v, f"$.{n}").alias(n) for n in ("case_id", "domain_theme", "category")), F.to_json(F.try_variant_get(v, "$.subject", "variant")).alias("subject"), F.transform(accepted, lambda a: F.to_json(a)).alias("accepted"))
+
+
+def read_sft(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Training rows (line_no, step_id, messages); a line without messages is an error."""
+    rows = lines(spark, paths)
+    parsed = F.from_json("raw", "id string, step_id string, messages array<struct<role:string,content:string>>")
+    rows = must(rows, parsed["messages"].isNull(), "no messages")
+    return rows.select("line_no", F.coalesce(parsed["step_id"], parsed["id"]).alias("step_id"), parsed["messages"].alias("messages"))
+
+
+def read_session_scenarios(spark: SparkSession, path: str, modes: Sequence[str] = (), tools: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+    """Scenarios for sessions: the mode filter, the tool filter (a null tool goes), and only then the limit."""
+    from curlew.operators.filters import included
+
+    rows = read_scenarios(spark, path).filter(included(F.col("mode"), modes) & included(F.col("target"), tools))
+    return rows if limit is None else rows.orderBy("line_no").limit(limit)
