@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curlew.operators.splits import rank_within
+
 
 def cap_duplicates(df: DataFrame, digest: str, order: str, most: int) -> DataFrame:
-    """df with duplicate_index, the row's number among those of its digest, and kept."""
-    return df.withColumn("duplicate_index", F.row_number().over(Window.partitionBy(digest).orderBy(order))).withColumn("kept", F.col("duplicate_index") <= most)
+    """df with duplicate_index, the row's number among those of its digest, and kept. A digest may have any share of the rows."""
+    return rank_within(df, digest, order, "duplicate_index").withColumn("kept", F.col("duplicate_index") <= most)
 
 
 def duplicate_summary(df: DataFrame, digest: str) -> DataFrame:
@@ -21,9 +23,12 @@ def duplicate_summary(df: DataFrame, digest: str) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Keys that occur again, with their first and second positions."""
-    ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("__n <= 2")
-    return ranked.groupBy(key).agg(F.min(order).alias("first_position"), F.max(order).alias("second_position"), F.count("*").alias("__n")).filter("__n = 2").drop("__n")
+    """Keys that occur again, with their first and second positions. The two least positions are kept by grouped minima, which are
+    combined before the shuffle."""
+    first = df.groupBy(key).agg(F.min(order).alias("first_position"), F.count("*").alias("__n")).filter("__n > 1").select(key, "first_position")
+    rest = df.select(key, order).join(first, key).filter(F.col(order) > F.col("first_position"))
+    second = rest.groupBy(key, "first_position").agg(F.min(order).alias("second_position"))
+    return first.join(second.select(key, "second_position"), key, "left").select(key, "first_position", F.coalesce("second_position", "first_position").alias("second_position"))
 
 
 def overlap_count(train: DataFrame, other: DataFrame, digest: str) -> DataFrame:

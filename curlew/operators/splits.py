@@ -35,6 +35,18 @@ def range_bucket(df: DataFrame, column: str, parts: int = 256) -> Column:
     return F.when(number.isNull(), -1).otherwise(F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))).cast("array<double>"), lambda c: c < number)))
 
 
+def rank_within(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """df with the row's number among those of its key, in an order by a number or time column. A key is ranked in buckets of the
+    order, so that one with a large share of the rows is dealt to many tasks. Nulls are a key of their own."""
+    marked = df.withColumn("__bucket", range_bucket(df, order))
+    counts = marked.groupBy(key, "__bucket").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(key).alias("__key"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    own = marked.withColumn("__own", F.row_number().over(Window.partitionBy(key, "__bucket").orderBy(order)))
+    both = own.join(before, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__bucket") == F.col("__b")))
+    return both.withColumn(name, F.col("__own") + F.col("__before")).drop("__bucket", "__own", "__key", "__b", "__before")
+
+
 def key_bucket() -> Column:
     """The first 12 bits of a shuffle key's hash."""
     return F.substr(F.col("__key.hash"), F.lit(1), F.lit(3))
