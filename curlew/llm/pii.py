@@ -41,22 +41,32 @@ CANDIDATE = "|".join(PATTERNS.values())
 FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1900-01-01", 150, 487  # 73050 days; the last of them is 2100-01-01
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def feistel(symbols: Column, moduli: Column, key: str, rounds: int = ROUNDS) -> Column:
     """A keyed permutation of the arrays symbols with 0 <= symbols[i] < moduli[i]. At least two symbols are needed."""
-    half = (F.size(symbols) / 2).cast("int")
 
-    def one(state: Column, r: Column) -> Column:
-        left = r % 2 == 0
-        other = F.when(left, F.slice(state, half + 1, F.size(state))).otherwise(F.slice(state, 1, half))
-        digest = F.sha2(F.concat_ws(":", F.lit(key), r.cast("string"), F.size(state).cast("string"), F.array_join(F.transform(other, lambda x: x.cast("string")), ".")), 512)
+    def numbers(state: Column, r: Column, half: Column) -> Column:
+        other = F.when(r % 2 == 0, F.slice(state, half + 1, F.size(state))).otherwise(F.slice(state, 1, half))
+        said = F.concat_ws(":", F.lit(key), r.cast("string"), F.size(state).cast("string"), F.array_join(F.transform(other, lambda x: x.cast("string")), "."))
         # sixteen numbers of 32 bits a digest; longer halves use them again
-        stream = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.conv(F.substr(digest, i * 8 + 1, F.lit(8)), 16, 10).cast("long"))
-        return F.transform(
-            F.arrays_zip(state.alias("s"), moduli.alias("m"), F.sequence(F.lit(0), F.size(state) - 1).alias("i")),
-            lambda z: F.when((z["i"] < half) == left, F.pmod(z["s"] + F.element_at(stream, (z["i"] % 16 + 1).cast("int")), z["m"])).otherwise(z["s"]),
-        )
+        return let(F.sha2(said, 512), lambda digest: F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.conv(F.substr(digest, i * 8 + 1, F.lit(8)), 16, 10).cast("long")))
+
+    def permuted(m: Column) -> Column:
+        half = (F.size(m) / 2).cast("int")
+
+        def one(state: Column, r: Column) -> Column:
+            def shifted(stream: Column) -> Column:
+                return F.transform(state, lambda s, i: F.when((i < half) == (r % 2 == 0), F.pmod(s + F.element_at(stream, (i % 16 + 1).cast("int")), F.element_at(m, i + 1))).otherwise(s))
+
+            return let(numbers(state, r, half), shifted)
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), symbols, one)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), symbols, one)
+    return let(moduli, permuted)
 
 
 def _digits(text: Column) -> Column:
@@ -70,14 +80,14 @@ def _tens(n: Column) -> Column:
 def _put(chars: Column, kept: Callable[[Column], Column], symbols: Column) -> Column:
     """The characters with those for which kept is false replaced, in turn, by the symbols (strings)."""
     start = F.struct(F.lit("").alias("text"), F.lit(1).alias("at"))
-    return F.aggregate(
-        chars,
-        start,
-        lambda s, c: F.struct(
-            F.concat(s["text"], F.when(kept(c), c).otherwise(F.element_at(symbols, F.least(s["at"], F.size(symbols))))).alias("text"), F.when(kept(c), s["at"]).otherwise(s["at"] + 1).alias("at")
-        ),
-        lambda s: s["text"],
-    )
+
+    def spelled(own: Column) -> Column:
+        def step(s: Column, c: Column) -> Column:
+            return F.struct(F.concat(s["text"], F.when(kept(c), c).otherwise(F.element_at(own, s["at"]))).alias("text"), F.when(kept(c), s["at"]).otherwise(s["at"] + 1).alias("at"))
+
+        return F.aggregate(chars, start, step, lambda s: s["text"])
+
+    return let(symbols, spelled)
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -87,24 +97,29 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    n = F.size(digits)
-    body = feistel(F.slice(digits, 1, n - 1), _tens(n - 1), f"{key}:card")
-    check = F.pmod(-luhn_sum(F.concat(body, F.array(F.lit(0).cast("long")))), F.lit(10))
-    new = F.transform(F.concat(body, F.array(check)), lambda d: d.cast("string"))
-    return F.when(luhn_sum(digits) % 10 == 0, _put(F.split(m, ""), lambda c: ~c.rlike("[0-9]"), new))
+    def checked(body: Column) -> Column:
+        check = F.pmod(-luhn_sum(F.concat(body, F.array(F.lit(0).cast("long")))), F.lit(10))
+        return F.transform(F.concat(body, F.array(check)), lambda d: d.cast("string"))
+
+    def card(digits: Column) -> Column:
+        n = F.size(digits)
+        new = let(feistel(F.slice(digits, 1, n - 1), _tens(n - 1), f"{key}:card"), checked)
+        return F.when(luhn_sum(digits) % 10 == 0, _put(F.split(m, ""), lambda c: ~c.rlike("[0-9]"), new))
+
+    return let(_digits(m), card)
 
 
 def _ip(m: Column, key: str) -> Column:
-    octets = F.transform(F.split(m, r"\."), lambda c: c.cast("long"))
-    new = feistel(octets, F.array_repeat(F.lit(256).cast("long"), 4), f"{key}:ip")
-    fine = F.forall(octets, lambda x: x < 256) & ~m.rlike(r"(^|\.)0[0-9]")
-    return F.when(fine, F.array_join(F.transform(new, lambda x: x.cast("string")), "."))
+    def address(octets: Column) -> Column:
+        new = feistel(octets, F.array_repeat(F.lit(256).cast("long"), 4), f"{key}:ip")
+        fine = F.forall(octets, lambda x: x < 256) & ~m.rlike(r"(^|\.)0[0-9]")
+        return F.when(fine, F.array_join(F.transform(new, lambda x: x.cast("string")), "."))
+
+    return let(F.transform(F.split(m, r"\."), lambda c: c.cast("long")), address)
 
 
 def _date(m: Column, key: str) -> Column:
     mark = F.when(m.rlike("^[0-9]{4}"), F.lit("-")).otherwise(F.substr(m, F.lit(3), F.lit(1)))
-    style = F.when(mark == "-", F.lit("yyyy-MM-dd")).when(mark == "/", F.lit("dd/MM/yyyy")).otherwise(F.lit("dd.MM.yyyy"))
     iso = F.when(mark == "-", m).otherwise(F.concat_ws("-", F.substr(m, F.lit(7), F.lit(4)), F.substr(m, F.lit(4), F.lit(2)), F.substr(m, F.lit(1), F.lit(2))))
     day = F.try_to_date(iso, "yyyy-MM-dd")
     number = F.datediff(day, F.to_date(F.lit(FIRST_DAY))).cast("long")
@@ -112,14 +127,17 @@ def _date(m: Column, key: str) -> Column:
 
     def once(x: Column) -> Column:
         new = feistel(F.array(F.floor(x / DAYS_LOW).cast("long"), x % DAYS_LOW), moduli, f"{key}:date")
-        return F.element_at(new, 1) * DAYS_LOW + F.element_at(new, 2)
+        return let(new, lambda n: F.element_at(n, 1) * DAYS_LOW + F.element_at(n, 2))
 
     # one number of the network's domain lies past the last day: a day that it stands for takes its image instead
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(2)), number, lambda x, i: F.when((i == 1) | (x == DAYS_HIGH * DAYS_LOW - 1), once(x)).otherwise(x))
-    new = F.date_add(F.to_date(F.lit(FIRST_DAY)), walked.cast("int"))
-    out = F.date_format(new, "yyyy-MM-dd")
-    swapped = F.concat(F.substr(out, F.lit(9), F.lit(2)), mark, F.substr(out, F.lit(6), F.lit(2)), mark, F.substr(out, F.lit(1), F.lit(4)))
-    return F.when(day.isNotNull() & style.isNotNull(), F.when(mark == "-", out).otherwise(swapped))
+    new = F.date_format(F.date_add(F.to_date(F.lit(FIRST_DAY)), walked.cast("int")), "yyyy-MM-dd")
+
+    def written(out: Column) -> Column:
+        swapped = F.concat(F.substr(out, F.lit(9), F.lit(2)), mark, F.substr(out, F.lit(6), F.lit(2)), mark, F.substr(out, F.lit(1), F.lit(4)))
+        return F.when(mark == "-", out).otherwise(swapped)
+
+    return F.when(day.isNotNull(), let(new, written))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -127,32 +145,40 @@ def _ssn(m: Column, key: str) -> Column:
     fine = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
     symbols = F.array(F.when(area > 666, area - 2).otherwise(area - 1), group - 1, serial - 1)
     new = feistel(symbols, F.array(*(F.lit(x).cast("long") for x in (898, 99, 9999))), f"{key}:ssn")
-    high = F.element_at(new, 1) + 1
-    parts = (F.lpad(F.when(high >= 666, high + 1).otherwise(high).cast("string"), 3, "0"), F.lpad((F.element_at(new, 2) + 1).cast("string"), 2, "0"), F.lpad((F.element_at(new, 3) + 1).cast("string"), 4, "0"))
-    return F.when(fine, F.concat_ws("-", *parts))
+
+    def written(n: Column) -> Column:
+        high = F.element_at(n, 1) + 1
+        parts = (F.lpad(F.when(high >= 666, high + 1).otherwise(high).cast("string"), 3, "0"), F.lpad((F.element_at(n, 2) + 1).cast("string"), 2, "0"), F.lpad((F.element_at(n, 3) + 1).cast("string"), 4, "0"))
+        return F.concat_ws("-", *parts)
+
+    return F.when(fine, let(new, written))
 
 
 def _phone(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    n = F.size(digits)
-    rest = feistel(F.slice(digits, 3, n - 2), _tens(n - 2), f"{key}:phone")
-    new = F.transform(F.concat(F.slice(digits, 1, 2), rest), lambda d: d.cast("string"))
-    return _put(F.split(m, ""), lambda c: ~c.rlike("[0-9]"), new)
+    def number(digits: Column) -> Column:
+        n = F.size(digits)
+        rest = feistel(F.slice(digits, 3, n - 2), _tens(n - 2), f"{key}:phone")
+        new = F.transform(F.concat(F.slice(digits, 1, 2), rest), lambda d: d.cast("string"))
+        return _put(F.split(m, ""), lambda c: ~c.rlike("[0-9]"), new)
 
+    return let(_digits(m), number)
 
-def _letters_and_digits(chars: Column, key: str) -> Column:
+
+def _letters_and_digits(text: Column, key: str) -> Column:
     """Lower- and upper-case letters and digits permuted within their class; at least two of them are needed, else unchanged."""
-    own = F.filter(chars, lambda c: c.rlike("[A-Za-z0-9]"))
     first = lambda c: F.when(c.rlike("[0-9]"), F.lit(48)).when(c.rlike("[A-Z]"), F.lit(65)).otherwise(F.lit(97))
-    moduli = F.transform(own, lambda c: F.when(c.rlike("[0-9]"), F.lit(10)).otherwise(F.lit(26)).cast("long"))
-    symbols = F.transform(own, lambda c: (F.ascii(c) - first(c)).cast("long"))
-    new = feistel(symbols, moduli, key)
-    spelled = F.transform(F.arrays_zip(own.alias("a"), new.alias("b")), lambda z: F.char(first(z["a"]) + z["b"]))
-    return F.when(F.size(own) > 1, _put(chars, lambda c: ~c.rlike("[A-Za-z0-9]"), spelled)).otherwise(F.array_join(chars, ""))
+
+    def moved(own: Column) -> Column:
+        moduli = F.transform(own, lambda c: F.when(c.rlike("[0-9]"), F.lit(10)).otherwise(F.lit(26)).cast("long"))
+        symbols = F.transform(own, lambda c: (F.ascii(c) - first(c)).cast("long"))
+        spelled = F.zip_with(own, feistel(symbols, moduli, key), lambda a, b: F.char(first(a) + b))
+        return F.when(F.size(own) > 1, _put(F.split(text, ""), lambda c: ~c.rlike("[A-Za-z0-9]"), spelled)).otherwise(text)
+
+    return let(F.filter(F.split(text, ""), lambda c: c.rlike("[A-Za-z0-9]")), moved)
 
 
 def _email(m: Column, key: str) -> Column:
-    return F.concat(_letters_and_digits(F.split(F.substring_index(m, "@", 1), ""), f"{key}:email"), F.lit("@"), F.substring_index(m, "@", -1))
+    return F.concat(_letters_and_digits(F.substring_index(m, "@", 1), f"{key}:email"), F.lit("@"), F.substring_index(m, "@", -1))
 
 
 def _mod97(text: Column) -> Column:
@@ -163,9 +189,11 @@ def _mod97(text: Column) -> Column:
 
 def _iban(m: Column, key: str) -> Column:
     country, body = F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(5), F.lit(64))
-    new = _letters_and_digits(F.split(body, ""), f"{key}:iban")
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(_mod97(F.concat(body, F.substr(m, F.lit(1), F.lit(4)))) == 1, F.concat(country, check, new))
+
+    def checked(new: Column) -> Column:
+        return F.concat(country, F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new)
+
+    return F.when(_mod97(F.concat(body, F.substr(m, F.lit(1), F.lit(4)))) == 1, let(_letters_and_digits(body, f"{key}:iban"), checked))
 
 
 MAKERS = {"email": _email, "card": _card, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "iban": _iban}
