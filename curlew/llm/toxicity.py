@@ -3,39 +3,42 @@
 A toxic and an ordinary model are counted over all labelled documents of the learning folds. Each interpolates three levels:
 word pairs of the class, words of the class, and a level that both classes share, which smooths rare expressions. As in
 Kneser-Ney smoothing, the lower levels count the different contexts of a word, not its occurrences, so that copies of a
-document count once; word pairs likewise count their different left neighbours (in a 32-bit sketch).
+document count once; word pairs likewise count their different left neighbours (by a 31-bit hash of the neighbour: of a
+million neighbours, one in four thousand is lost).
 
 A document's evidence is its log-likelihood under the toxic model less that under the ordinary one, divided by its length: of
 the whole text, and of its most telling spans of a few lengths. A logistic map, fitted on a fold that isn't counted, turns
 these into a score.
 
-Sizes. Counting is a shuffle of the distinct word pairs of each task. What the driver gathers is bounded: the shared level is
-a table of hash buckets; words and pairs have counts of their own from a fixed share of a class's contexts up (2**-20), which
-bounds their number by arithmetic, and all others back off to the shared level. The logistic map is fitted on at most
-`fit_rows` documents.
+Sizes. Counting is a shuffle of the distinct word pairs of each task with their neighbours. The model is a table that grows with
+the corpus: every word and pair that its discount leaves something of. Documents are dealt to chunks of bounded size; a chunk asks
+for the words and pairs it has, the join with the model answers, and the answers meet the chunk's documents. The driver gathers
+the shared level, a table of hash buckets, and a bitmap of the model's keys that spares questions without an answer (as it
+fills, more of them are asked; no answer changes). The logistic map is fitted on at most `fit_rows` documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from curlew.llm import textbytes
 from curlew.llm.workspace import Workspace
 
 BUCKETS = 1 << 18
-LEAST_SHARE = 2.0**-20
+MAP_BITS = 26
+CHUNK_BYTES = 32 << 20
 WORD_DISCOUNT = 3.0
 PAIR_DISCOUNT = 6.0
 SPANS = (1, 4, 16)
 FIT_ROWS = 20000
 LABELS_FEW = 2_000_000
 
-PAIR = "v long, w long, c long"
+PAIR = "v long, w long, u binary"
 COUNT = "kind byte, v long, w long, s long, c0 long, c1 long"
 
 
@@ -51,19 +54,25 @@ def _pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def _distinct(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Pairs once each, their neighbours' bits joined."""
-    v, w, c = (np.concatenate(x) for x in zip(*held, strict=True))
-    if not len(v):
-        return v, w, c
+    """Pairs and neighbours once each, the neighbours of a pair together."""
+    v, w, u = (np.concatenate(x) for x in zip(*held, strict=True))
     key = _pair_key(v, w)
-    order = np.argsort(key)
-    key = key[order]
-    firsts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return v[order][firsts], w[order][firsts], np.bitwise_or.reduceat(c[order], firsts)
+    order = np.lexsort((u, key))
+    key, u = key[order], u[order]
+    keep = np.ones(len(u), bool)
+    keep[1:] = (key[1:] != key[:-1]) | (u[1:] != u[:-1])
+    return v[order][keep], w[order][keep], u[keep]
+
+
+def _first_of_pairs(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Where the pairs begin in what _distinct gives."""
+    begins = np.ones(len(v), bool)
+    begins[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+    return np.flatnonzero(begins)
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: (text, class) -> the task's distinct word pairs with a sketch of their left neighbours: 32 bits for each class."""
+    """Task: (text, class) -> the task's distinct word pairs with their left neighbours: 31 bits of a hash and the class."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for batch in batches:
@@ -71,10 +80,9 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j, words, rows in _words(batch.column(0)):
             at = np.flatnonzero(rows[1:] == rows[:-1]) + 1
             has_left = (at > 1) & (rows[at - 2] == rows[at])
-            neighbour = np.where(has_left, words[at - 2], np.uint64(0))
-            bit = (textbytes.mix(neighbour + np.uint64(7)) >> np.uint64(9)) & np.uint64(31)
-            bit += np.where(toxic[i:j][rows[at]] == 1, np.uint64(32), np.uint64(0))
-            held.append((words[at - 1], words[at], np.uint64(1) << bit))
+            neighbour = textbytes.mix(np.where(has_left, words[at - 2], np.uint64(0)) + np.uint64(7)) >> np.uint64(33)
+            u = (neighbour << np.uint64(1)) | (toxic[i:j][rows[at]] == 1).astype(np.uint64)
+            held.append((words[at - 1], words[at], u.astype(np.uint32)))
             size += len(at)
             if size > 3 << 20:
                 held = [_distinct(held)]
@@ -87,34 +95,46 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pair_rows(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(found[0]), 1 << 17):
-        yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 17)].view(np.int64)) for x in found], names=["v", "w", "c"])
+    v, w, u = found
+    firsts = _first_of_pairs(v, w)
+    ends = np.append(firsts[1:], len(u))
+    for a in range(0, len(firsts), 1 << 17):
+        x = firsts[a : a + (1 << 17)]
+        begin, end = x[0], ends[a : a + (1 << 17)][-1]
+        bounds = ((np.append(x, end) - begin) * 4).astype(np.int32)
+        lists = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(u[begin:end]))])
+        yield pa.RecordBatch.from_arrays([pa.array(v[x].view(np.int64)), pa.array(w[x].view(np.int64)), lists], names=["v", "w", "u"])
 
 
 def _meet_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: all rows of its pairs -> kind 0, per second word the pairs it ends (s in all, c0 and c1 by class); kind 1, per pair
-    that isn't discounted to nothing, its counts; kind 2, per first word, its counts; kind 3, the sum of the counts."""
+    that isn't discounted to nothing, its key (s) and its counts; kind 2, per first word, its counts."""
     held: list[tuple[np.ndarray, ...]] = []
-    size = 0
+    size, limit = 0, 6 << 20
     for batch in batches:
-        held.append(tuple(batch.column(x).to_numpy().view(np.uint64) for x in range(3)))
-        size += batch.num_rows
-        if size > 6 << 20:
+        data, bounds = textbytes.text_buffer(batch.column(2))
+        n = np.diff(bounds) // 4
+        held.append((*(np.repeat(batch.column(x).to_numpy().view(np.uint64), n) for x in range(2)), np.frombuffer(data.tobytes(), np.uint32)))
+        size += len(held[-1][0])
+        if size > limit:
             held = [_distinct(held)]
             size = len(held[0][0])
+            limit = max(6 << 20, 2 * size)
     if not held:
         return
-    v, w, c = _distinct(held)
-    n0, n1 = np.bitwise_count(c & np.uint64(0xFFFFFFFF)).astype(np.int64), np.bitwise_count(c >> np.uint64(32)).astype(np.int64)
+    v, w, u = _distinct(held)
+    firsts = _first_of_pairs(v, w)
+    if not len(firsts):
+        return
+    n0, n1 = (np.add.reduceat(((u & np.uint32(1)) == c).astype(np.int64), firsts) for c in (0, 1))
+    v, w = v[firsts], w[firsts]
     for kind, key, counts in ((0, w, (np.ones(len(w), np.int64), (n0 > 0).astype(np.int64), (n1 > 0).astype(np.int64))), (2, v, (np.zeros(len(v), np.int64), n0, n1))):
         order = np.argsort(key)
-        firsts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
-        sums = [np.add.reduceat(x[order], firsts) if len(firsts) else x for x in counts]
-        yield from _counts(kind, key[order][firsts], key[order][firsts], *sums)
+        begins = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+        sums = [np.add.reduceat(x[order], begins) for x in counts]
+        yield from _counts(kind, key[order][begins], key[order][begins], *sums)
     at = np.flatnonzero(np.maximum(n0, n1) > PAIR_DISCOUNT)
-    yield from _counts(1, v[at], w[at], np.zeros(len(at), np.int64), n0[at], n1[at])
-    one = np.zeros(1, np.uint64)
-    yield from _counts(3, one, one, np.zeros(1, np.int64), np.array([n0.sum()]), np.array([n1.sum()]))
+    yield from _counts(1, v[at], w[at], _pair_key(v[at], w[at]).view(np.int64), n0[at], n1[at])
 
 
 def _counts(kind: int, v: np.ndarray, w: np.ndarray, s: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -133,55 +153,29 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-class Model:
-    """The shared level by bucket; words and pairs with counts of their own, by hash."""
-
-    def __init__(self, shared: np.ndarray, words: tuple[np.ndarray, ...], word_totals: tuple[float, float], pairs: tuple[np.ndarray, ...], firsts: tuple[np.ndarray, ...]):
-        """shared: counts by bucket. words: hashes and their counts in both classes; pairs: hashes of first and second words and
-        counts; firsts: hashes of first words and their counts."""
-        self.shared = ((shared + 0.5) / (shared.sum() + 0.5 * len(shared))).astype(np.float32)
-        order = np.argsort(words[0])
-        self.words = words[0][order]
-        self.own, self.rest = [], []
-        for c in (0, 1):
-            total = max(1.0, word_totals[c])
-            own = np.maximum(0.0, words[1 + c][order] - WORD_DISCOUNT) / total
-            self.own.append(own)
-            self.rest.append(max(1e-9, 1 - own.sum()))  # what the discounts and the words without counts of their own leave
-        first_order = np.argsort(firsts[0])
-        self.firsts = firsts[0][first_order]
-        keys = _pair_key(pairs[0], pairs[1])
-        pair_order = np.argsort(keys)
-        self.pairs = keys[pair_order]
-        place, _ = _find(self.firsts, pairs[0][pair_order])
-        self.pair, self.left = [], []
-        for c in (0, 1):
-            total = np.maximum(firsts[1 + c][first_order], 1)
-            own = np.maximum(0.0, pairs[2 + c][pair_order] - PAIR_DISCOUNT) / total[place] if len(place) else np.zeros(0)
-            self.pair.append(own)
-            self.left.append(1 - np.bincount(place, own, minlength=len(total)) if len(total) else np.zeros(0))
-
-    @classmethod
-    def of(cls, state: dict) -> Model:
-        """A model from the plain values that a broadcast carries."""
-        out = cls.__new__(cls)
-        out.__dict__.update(state)
-        return out
+class Answers:
+    """What a chunk was told of its words and pairs: keys, and per class what the discount leaves (x) and, of a word, the weight
+    of the level below after it (y)."""
+
+    def __init__(self, keys: np.ndarray, x: list[np.ndarray], y: list[np.ndarray], shared: np.ndarray, rest: list[float]):
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.x, self.y = [v[order] for v in x], [v[order] for v in y]
+        self.shared, self.rest = shared, rest
 
     def evidence(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of every word after its neighbour."""
         shared = self.shared[(words & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.float64)
-        at, known = _find(self.words, words)
         p = [self.rest[c] * shared for c in (0, 1)]
-        for c in (0, 1):
-            p[c][known] += self.own[c][at[known]]
-        if len(self.firsts) and len(words) > 1:
+        if len(self.keys):
+            at, known = _find(self.keys, words)
+            for c in (0, 1):
+                p[c][known] += self.x[c][at[known]]
             second = np.flatnonzero(rows[1:] == rows[:-1]) + 1
-            place, has = _find(self.firsts, words[second - 1])
-            second, place = second[has], place[has]
-            found, seen = _find(self.pairs, _pair_key(words[second - 1], words[second]))
+            pair, seen = _find(self.keys, _pair_key(words[second - 1], words[second]))
             for c in (0, 1):
-                p[c][second] = np.where(seen, self.pair[c][found], 0.0) + self.left[c][place] * p[c][second]
+                left = np.where(known, self.y[c][at], 1.0)[second - 1]
+                p[c][second] = np.where(seen, self.x[c][pair], 0.0) + left * p[c][second]
         return np.log(p[1]) - np.log(p[0])
 
     def features(self, column: pa.Array) -> np.ndarray:
@@ -222,6 +216,94 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float =
     return mean, scale, w
 
 
+class Model:
+    """Of every word and pair with something left: k, x0, x1 and y0, y1 as in Answers; the shared level; a bitmap of the keys."""
+
+    def __init__(self, counts: DataFrame, by_word: DataFrame, totals: Row, ws: Workspace):
+        kept = counts.filter("kind = 1")
+        over = lambda c, d: F.greatest(F.lit(0), F.col(c) - F.lit(int(d)))
+        spent = kept.groupBy("v").agg(*(F.sum(over(f"c{c}", PAIR_DISCOUNT)).alias(f"s{c}") for c in (0, 1)))
+        spent = ws.write(spent, "spent")
+        firsts = counts.filter("kind = 2").join(spent, "v").groupBy("v", "s0", "s1").agg(*(F.sum(f"c{c}").alias(f"f{c}") for c in (0, 1)))
+        share = lambda of, c: F.col(of) / F.greatest(F.lit(1), F.col(f"f{c}"))
+        after = firsts.select(F.col("v").alias("k"), *((1 - share(f"s{c}", c)).alias(f"y{c}") for c in (0, 1)))
+        own = by_word.filter(F.greatest("c0", "c1") > WORD_DISCOUNT).select(F.col("w").alias("k"), *((over(f"c{c}", WORD_DISCOUNT) / totals[f"c{c}"]).alias(f"x{c}") for c in (0, 1)))
+        words = own.join(after, "k", "full").select("k", *(F.coalesce(x, F.lit(d)).alias(x) for x, d in (("x0", 0.0), ("x1", 0.0), ("y0", 1.0), ("y1", 1.0))))
+        pairs = kept.select("v", F.col("s").alias("k"), *(over(f"c{c}", PAIR_DISCOUNT).alias(f"o{c}") for c in (0, 1)))
+        pairs = pairs.join(firsts.drop("s0", "s1"), "v").select("k", *(share(f"o{c}", c).alias(f"x{c}") for c in (0, 1)), F.lit(1.0).alias("y0"), F.lit(1.0).alias("y1"))
+        self.table = ws.write(words.unionByName(pairs).select("k", *(F.col(x).cast("float") for x in ("x0", "x1", "y0", "y1"))), "model")
+        kept_share = by_word.agg(*(F.sum(over(f"c{c}", WORD_DISCOUNT)).alias(f"c{c}") for c in (0, 1))).first()
+        # what the discounts leave
+        self.rest = [max(1e-9, 1 - kept_share[f"c{c}"] / totals[f"c{c}"]) for c in (0, 1)]
+        shared = np.zeros(BUCKETS)
+        buckets = by_word.groupBy(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.sum("s").alias("s")).toPandas()
+        shared[buckets["b"].to_numpy(np.int64)] = buckets["s"].to_numpy(float)
+        shared = ((shared + 0.5) / (shared.sum() + 0.5 * len(shared))).astype(np.float32)
+        place = F.shiftrightunsigned("k", 64 - MAP_BITS)
+        held = self.table.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(k, {64 - MAP_BITS}) & 63 as int))")).alias("bits")).toPandas()
+        bitmap = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+        bitmap[held["at"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64).view(np.uint64)
+        sc = counts.sparkSession.sparkContext
+        self.shared, self.bitmap = sc.broadcast(shared), sc.broadcast(bitmap)
+
+    def over_chunks(self, docs: DataFrame, head: list[str], finish: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+        """finish(the head columns of a chunk's rows, their features) of all chunks of docs (doc, text and others)."""
+        shared, bitmap, rest = self.shared, self.bitmap, self.rest
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        chunks = 1 + size // CHUNK_BYTES
+        parts = int(min(chunks, 1 << 20))
+        docs = docs.select(*head, "text", F.pmod(F.xxhash64("doc", "text"), F.lit(chunks)).alias("chunk")).repartition(parts, "chunk")
+        text_at, chunk_at = len(head), len(head) + 1
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def once(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+                key, chunk = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((key, chunk))
+                key, chunk = key[order], chunk[order]
+                keep = np.ones(len(key), bool)
+                keep[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
+                return key[keep], chunk[keep]
+
+            def asked(found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+                for a in range(0, len(found[0]), 1 << 17):
+                    x = slice(a, a + (1 << 17))
+                    yield pa.RecordBatch.from_arrays([pa.array(found[0][x].view(np.int64)), pa.array(found[1][x])], names=["k", "chunk"])
+
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            size = 0
+            for batch in batches:
+                chunk = batch.column(chunk_at).to_numpy()
+                for i, j, words, rows in _words(batch.column(text_at)):
+                    second = np.flatnonzero(rows[1:] == rows[:-1]) + 1
+                    key = np.concatenate([words, _pair_key(words[second - 1], words[second])])
+                    own = np.concatenate([chunk[i:j][rows], chunk[i:j][rows[second]]])
+                    place = key >> np.uint64(64 - MAP_BITS)
+                    hit = (bitmap.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                    held.append((key[hit], own[hit]))
+                    size += int(hit.sum())
+                    if size > 3 << 20:
+                        held = [once(held)]
+                        size = len(held[0][0])
+                        if size > 2 << 20:
+                            yield from asked(held.pop())
+                            size = 0
+            if held:
+                yield from asked(once(held))
+
+        def answer(rows: pa.Table, told: pa.Table) -> pa.Table:
+            column = lambda name: told.column(name).to_numpy()
+            key = column("k").view(np.uint64) if told.num_rows else np.zeros(0, np.uint64)
+            values = [column(x).astype(np.float64) if told.num_rows else np.zeros(0) for x in ("x0", "x1", "y0", "y1")]
+            # a key may come twice, from tasks that gave up a full list
+            key, first = np.unique(key, return_index=True)
+            values = [v[first] for v in values]
+            said = Answers(key, values[:2], values[2:], shared.value, rest)
+            return finish(rows, said.features(rows.column("text")))
+
+        told = docs.mapInArrow(ask, "k long, chunk long").join(self.table, "k").repartition(parts, "chunk")
+        return docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, schema)
+
+
 def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT_ROWS):
     """docs (doc, text, part) with part = crc32 mod 5, labels (doc, toxic): the model and the logistic map, or None without
     labels of both classes. Part 0 is never read, parts 1 to 3 are counted, part 4 fits the map."""
@@ -233,40 +315,22 @@ def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT
     marked = docs.filter("part <> 0").join(lookup, "doc")
     pairs = marked.filter("part <> 4").select("text", "toxic").mapInArrow(_count_pairs, PAIR)
     counts = ws.write(pairs.repartition("v", "w").mapInArrow(_meet_pairs, COUNT), "counts")
-    pair_totals = counts.filter("kind = 3").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
     by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1"))), "words")
     totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
     if not totals["c0"] or not totals["c1"]:
         return None
+    model = Model(counts, by_word, totals, ws)
 
-    def frequent(of) -> Column:
-        """At most 1 / LEAST_SHARE keys have that share of either class."""
-        return (F.col("c0") >= F.lit(of["c0"] * LEAST_SHARE)) | (F.col("c1") >= F.lit(of["c1"] * LEAST_SHARE))
-
-    shared = np.zeros(BUCKETS)
-    buckets = by_word.groupBy(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.sum("s").alias("s")).toPandas()
-    shared[buckets["b"].to_numpy(np.int64)] = buckets["s"].to_numpy(float)
-    known_words = by_word.filter(F.greatest("c0", "c1") > WORD_DISCOUNT).filter(frequent(totals)).select("w", "c0", "c1").toPandas()
-    kept = counts.filter("kind = 1").filter(frequent(pair_totals)).select("v", "w", "c0", "c1")
-    first_words = counts.filter("kind = 2").join(kept.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas()
-    kept = kept.toPandas()
-    hashes = lambda frame, name: frame[name].to_numpy(np.int64).view(np.uint64)
-    numbers = lambda frame: tuple(frame[c].to_numpy(float) for c in ("c0", "c1"))
-    model = Model(shared, (hashes(known_words, "w"), *numbers(known_words)), (totals["c0"], totals["c1"]), (hashes(kept, "v"), hashes(kept, "w"), *numbers(kept)), (hashes(first_words, "v"), *numbers(first_words)))
-    shipped = docs.sparkSession.sparkContext.broadcast(vars(model))
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.of(shipped.value)
-        for batch in batches:
-            x = model.features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
+    def measure(rows: pa.Table, x: np.ndarray) -> pa.Table:
+        return pa.table({"x": pa.array(list(x), pa.list_(pa.float64())), "toxic": rows.column("toxic")})
 
     chosen = known.filter(F.crc32(F.col("doc").cast("string")) % 5 == 4).orderBy(F.xxhash64("doc"), "doc").limit(fit_rows).select("doc", "toxic")
-    sample = docs.filter("part = 4").join(F.broadcast(chosen), "doc").select("text", F.col("toxic").cast("int"))
-    rows = sample.mapInArrow(measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
+    sample = docs.filter("part = 4").join(F.broadcast(chosen), "doc").select("doc", "text", F.col("toxic").cast("int"))
+    rows = model.over_chunks(sample, ["toxic"], measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
     if rows["toxic"].nunique() < 2:
-        return shipped, None
-    return shipped, fit_logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float))
+        return model, None
+    rows = rows.sort_values(["x", "toxic"], key=lambda c: c.map(tuple) if c.name == "x" else c)  # the fit doesn't depend on the order of tasks
+    return model, fit_logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -282,20 +346,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     docs = docs.withColumn("part", F.coalesce(F.crc32(F.col("doc").cast("string")) % 5, F.lit(1)))
     labels = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col("toxic").cast("int"))
     learned = learn(docs, labels, ws, fit_rows)
-    shipped, fit = learned or (None, None)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.of(shipped.value) if shipped else None
-        for batch in batches:
-            if model is None:
-                s = np.zeros(batch.num_rows)
-            else:
-                x = model.features(batch.column(1))
-                if fit is None:
-                    s = 1 / (1 + np.exp(-np.clip(x[:, 0], -30, 30)))
-                else:
-                    mean, scale, w = fit
-                    s = 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
-
-    return docs.select("doc", "text", held_out.alias("held_out")).mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    docs = docs.select("doc", "text", held_out.alias("held_out"))
+    if learned is None:
+        return docs.select(F.col("doc").alias("doc_id"), "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    model, fit = learned
+
+    def score(rows: pa.Table, x: np.ndarray) -> pa.Table:
+        if fit is None:
+            s = 1 / (1 + np.exp(-np.clip(x[:, 0], -30, 30)))
+        else:
+            mean, scale, w = fit
+            s = 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -30, 30)))
+        return pa.table({"doc_id": rows.column("doc"), "held_out": rows.column("held_out"), "score": pa.array(s), "predicted": pa.array((s >= 0.5).astype(np.int32))})
+
+    return model.over_chunks(docs, ["doc", "held_out"], score, "doc_id long, held_out boolean, score double, predicted int")

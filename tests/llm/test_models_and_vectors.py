@@ -4,6 +4,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +189,66 @@ def test_toxicity(spark, rated, docs, no_docs):
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0} and toxicity.toxicity(no_docs, labels.limit(0)).count() == 0
 
 
+def test_toxicity_counts_do_not_saturate(spark):
+    """A pair after 200 different words has 200 contexts, however the documents are split."""
+    rows = [(f"left{i} vile pair", i % 2) for i in range(400)]
+    pairs = spark.createDataFrame(rows, "text string, toxic int").repartition(5).mapInArrow(toxicity._count_pairs, toxicity.PAIR)
+    counts = pairs.repartition("v", "w").mapInArrow(toxicity._meet_pairs, toxicity.COUNT).filter("kind = 1").collect()
+    assert [(r["c0"], r["c1"]) for r in counts] == [(200, 200)]
+
+
+def test_toxicity_model_is_the_plain_sum(spark):
+    """Evidence by chunks and joins = the formula over plain dictionaries."""
+    from collections import defaultdict
+
+    from curlew.llm.workspace import Workspace
+
+    rng = np.random.default_rng(3)
+    few = [f"word{i}" for i in range(14)]
+    rows = [(i, t + " " + " ".join(rng.choice(few, 30).tolist()), x) for i, t, _, x in labelled(300)]
+    docs = spark.createDataFrame(rows, "doc long, text string, toxic int").repartition(4).cache()
+    ws = Workspace(spark, "toxicity-test")
+    counts = ws.write(docs.select("text", "toxic").mapInArrow(toxicity._count_pairs, toxicity.PAIR).repartition("v", "w").mapInArrow(toxicity._meet_pairs, toxicity.COUNT))
+    by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1"))))
+    totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
+    model = toxicity.Model(counts, by_word, totals, ws)
+    told = lambda head, x: pa.table({"doc": head.column("doc"), "e": pa.array(x[:, 0])})
+    got = {r["doc"]: r["e"] for r in model.over_chunks(docs, ["doc"], told, "doc long, e double").collect()}
+
+    contexts = [defaultdict(set), defaultdict(set)]
+    for _, t, x in rows:
+        words = [None, *t.split()]
+        for u, v, w in zip(words, words[1:], words[2:], strict=False):
+            contexts[x][v, w].add(u)
+    ends = [defaultdict(set), defaultdict(set)]
+    first = [defaultdict(int), defaultdict(int)]
+    for c in (0, 1):
+        for (v, w), us in contexts[c].items():
+            ends[c][w].add(v)
+            first[c][v] += len(us)
+    assert max(len(us) for us in contexts[0].values()) > toxicity.PAIR_DISCOUNT
+    spent = [defaultdict(float), defaultdict(float)]
+    for c in (0, 1):
+        for (v, _), us in contexts[c].items():
+            spent[c][v] += max(0, len(us) - toxicity.PAIR_DISCOUNT)
+    total = [sum(map(len, ends[c].values())) for c in (0, 1)]
+    rest = [1 - sum(max(0, len(x) - toxicity.WORD_DISCOUNT) for x in ends[c].values()) / total[c] for c in (0, 1)]
+    shared = model.shared.value
+    for i, t, _ in rows:
+        words, said = t.split(), []
+        data = np.frombuffer(t.encode(), np.uint8)
+        hashes, _ = toxicity.textbytes.word_hashes(data, np.array([0, len(data)]))
+        for at, w in enumerate(words):
+            p = [max(0, len(ends[c][w]) - toxicity.WORD_DISCOUNT) / total[c] + rest[c] * float(shared[int(hashes[at]) & (toxicity.BUCKETS - 1)]) for c in (0, 1)]
+            if at:
+                v = words[at - 1]
+                for c in (0, 1):
+                    n = max(1, first[c][v])
+                    p[c] = max(0, len(contexts[c][v, w]) - toxicity.PAIR_DISCOUNT) / n + (1 - spent[c][v] / n) * p[c]
+            said.append(math.log(p[1] / p[0]))
+        assert abs(np.mean(said) - got[i]) < 1e-4
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path, docs):
     import corpus_pipeline as p
 
