@@ -3,12 +3,12 @@
 A toxic and an ordinary model are counted over all labelled documents of the learning folds. Each interpolates three levels:
 word pairs of the class, words of the class, and a level that both classes share, which smooths rare expressions. As in
 Kneser-Ney smoothing, the lower levels count the different contexts of a word, not its occurrences, so that copies of a
-document count once; word pairs likewise count their different left neighbours (by a 31-bit hash of the neighbour: of a
-million neighbours, one in four thousand is lost).
+document count once; word pairs likewise count their different left neighbours (by a 30-bit hash of the neighbour: of a
+million neighbours, one in two thousand is lost).
 
 A document's evidence is its log-likelihood under the toxic model less that under the ordinary one, divided by its length: of
-the whole text, and of its most telling spans of a few lengths. A logistic map, fitted on a fold that isn't counted, turns
-these into a score.
+the whole text, and of its most telling spans of a few lengths. A logistic map turns these into a score. It is
+fitted on one fold by a model that is counted without it; the model of the scores is counted with it. One count gives both.
 
 Sizes. Counting is a shuffle of the distinct word pairs of each task with their neighbours. The model is a table that grows with
 the corpus: every word and pair that its discount leaves something of. Documents are dealt to chunks of bounded size; a chunk asks
@@ -39,7 +39,7 @@ FIT_ROWS = 20000
 LABELS_FEW = 2_000_000
 
 PAIR = "v long, w long, u binary"
-COUNT = "kind byte, v long, w long, s long, c0 long, c1 long"
+COUNT = "kind byte, v long, w long, s long, c0 long, c1 long, t long, m0 long, m1 long"
 
 
 def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -72,16 +72,18 @@ def _first_of_pairs(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: (text, class) -> the task's distinct word pairs with their left neighbours: 31 bits of a hash and the class."""
+    """Task: (text, class, 2 more in the fold of the map) -> the task's distinct word pairs with their left neighbours: the class,
+    30 bits of a hash, and whether the fold is the map's."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for batch in batches:
-        toxic = batch.column(1).to_numpy(zero_copy_only=False)
+        code = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
         for i, j, words, rows in _words(batch.column(0)):
             at = np.flatnonzero(rows[1:] == rows[:-1]) + 1
             has_left = (at > 1) & (rows[at - 2] == rows[at])
-            neighbour = textbytes.mix(np.where(has_left, words[at - 2], np.uint64(0)) + np.uint64(7)) >> np.uint64(33)
-            u = (neighbour << np.uint64(1)) | (toxic[i:j][rows[at]] == 1).astype(np.uint64)
+            neighbour = textbytes.mix(np.where(has_left, words[at - 2], np.uint64(0)) + np.uint64(7)) >> np.uint64(34)
+            own = code[i:j][rows[at]]
+            u = ((own & np.uint64(1)) << np.uint64(31)) | (neighbour << np.uint64(1)) | (own >> np.uint64(1))
             held.append((words[at - 1], words[at], u.astype(np.uint32)))
             size += len(at)
             if size > 3 << 20:
@@ -108,7 +110,8 @@ def _pair_rows(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
 
 def _meet_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: all rows of its pairs -> kind 0, per second word the pairs it ends (s in all, c0 and c1 by class); kind 1, per pair
-    that isn't discounted to nothing, its key (s) and its counts; kind 2, per first word, its counts."""
+    that isn't discounted to nothing, its key (s) and its counts; kind 2, per first word, its counts. t, m0 and m1 are
+    s, c0 and c1 without the fold of the map."""
     held: list[tuple[np.ndarray, ...]] = []
     size, limit = 0, 6 << 20
     for batch in batches:
@@ -126,22 +129,29 @@ def _meet_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     firsts = _first_of_pairs(v, w)
     if not len(firsts):
         return
-    n0, n1 = (np.add.reduceat(((u & np.uint32(1)) == c).astype(np.int64), firsts) for c in (0, 1))
+    again = np.zeros(len(u), bool)  # in the fold of the map, and also outside
+    again[1:] = (u[1:] == u[:-1] + np.uint32(1)) & ((u[1:] & np.uint32(1)) == 1)
+    again[firsts] = False
+    toxic, counted = u >> np.uint32(31), (u & np.uint32(1)) == 0
+    n0, n1, m0, m1 = (np.add.reduceat(((toxic == c) & of).astype(np.int64), firsts) for of in (~again, counted) for c in (0, 1))
     v, w = v[firsts], w[firsts]
-    for kind, key, counts in ((0, w, (np.ones(len(w), np.int64), (n0 > 0).astype(np.int64), (n1 > 0).astype(np.int64))), (2, v, (np.zeros(len(v), np.int64), n0, n1))):
+    none = np.zeros(len(w), np.int64)
+    ended = [np.ones(len(w), np.int64), *((x > 0).astype(np.int64) for x in (n0, n1, m0 + m1, m0, m1))]
+    for kind, key, counts in ((0, w, ended), (2, v, (none, n0, n1, none, m0, m1))):
         order = np.argsort(key)
         begins = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
         sums = [np.add.reduceat(x[order], begins) for x in counts]
         yield from _counts(kind, key[order][begins], key[order][begins], *sums)
     at = np.flatnonzero(np.maximum(n0, n1) > PAIR_DISCOUNT)
-    yield from _counts(1, v[at], w[at], _pair_key(v[at], w[at]).view(np.int64), n0[at], n1[at])
+    key = _pair_key(v[at], w[at]).view(np.int64)
+    yield from _counts(1, v[at], w[at], key, n0[at], n1[at], key, m0[at], m1[at])
 
 
-def _counts(kind: int, v: np.ndarray, w: np.ndarray, s: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _counts(kind: int, v: np.ndarray, w: np.ndarray, *counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for a in range(0, len(v), 1 << 17):
         x = slice(a, a + (1 << 17))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(v[x]), kind, np.int8)), pa.array(v[x].view(np.int64)), pa.array(w[x].view(np.int64)), *(pa.array(y[x].astype(np.int64)) for y in (s, c0, c1))], names=["kind", "v", "w", "s", "c0", "c1"]
+            [pa.array(np.full(len(v[x]), kind, np.int8)), pa.array(v[x].view(np.int64)), pa.array(w[x].view(np.int64)), *(pa.array(y[x].astype(np.int64)) for y in counts)], names=["kind", "v", "w", "s", "c0", "c1", "t", "m0", "m1"]
         )
 
 
@@ -220,7 +230,7 @@ class Model:
     """Of every word and pair with something left: k, x0, x1 and y0, y1 as in Answers; the shared level; a bitmap of the keys."""
 
     def __init__(self, counts: DataFrame, by_word: DataFrame, totals: Row, ws: Workspace):
-        kept = counts.filter("kind = 1")
+        kept = counts.filter("kind = 1").filter(F.greatest("c0", "c1") > PAIR_DISCOUNT)
         over = lambda c, d: F.greatest(F.lit(0), F.col(c) - F.lit(int(d)))
         spent = kept.groupBy("v").agg(*(F.sum(over(f"c{c}", PAIR_DISCOUNT)).alias(f"s{c}") for c in (0, 1)))
         spent = ws.write(spent, "spent")
@@ -306,27 +316,35 @@ class Model:
 
 def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT_ROWS):
     """docs (doc, text, part) with part = crc32 mod 5, labels (doc, toxic): the model and the logistic map, or None without
-    labels of both classes. Part 0 is never read, parts 1 to 3 are counted, part 4 fits the map."""
+    labels of both classes. Part 0 is never read, parts 1 to 4 are counted; part 4 fits the map, by the model of parts 1 to 3."""
     known = labels.filter("doc is not null and toxic in (0, 1)").groupBy("doc").agg(F.max("toxic").alias("toxic"))
     known = known.filter(F.crc32(F.col("doc").cast("string")) % 5 != 0)
     n = known.count()
     # a checked size: beyond it both sides are shuffled
     lookup = F.broadcast(known) if n <= LABELS_FEW else known
     marked = docs.filter("part <> 0").join(lookup, "doc")
-    pairs = marked.filter("part <> 4").select("text", "toxic").mapInArrow(_count_pairs, PAIR)
+    pairs = marked.select("text", F.expr("toxic + if(part = 4, 2, 0)").alias("code")).mapInArrow(_count_pairs, PAIR)
     counts = ws.write(pairs.repartition("v", "w").mapInArrow(_meet_pairs, COUNT), "counts")
-    by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1"))), "words")
-    totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
-    if not totals["c0"] or not totals["c1"]:
+    by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1", "t", "m0", "m1"))), "words")
+
+    def model_of(counts: DataFrame, by_word: DataFrame) -> Model | None:
+        totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
+        return Model(counts, by_word, totals, ws) if totals["c0"] and totals["c1"] else None
+
+    model = model_of(counts, by_word)
+    if model is None:
         return None
-    model = Model(counts, by_word, totals, ws)
+    outside = [F.col(x).alias(y) for x, y in (("t", "s"), ("m0", "c0"), ("m1", "c1"))]
+    without = model_of(counts.select("kind", "v", "w", *outside), by_word.select("w", *outside))
+    if without is None:
+        return model, None
 
     def measure(rows: pa.Table, x: np.ndarray) -> pa.Table:
         return pa.table({"x": pa.array(list(x), pa.list_(pa.float64())), "toxic": rows.column("toxic")})
 
     chosen = known.filter(F.crc32(F.col("doc").cast("string")) % 5 == 4).orderBy(F.xxhash64("doc"), "doc").limit(fit_rows).select("doc", "toxic")
     sample = docs.filter("part = 4").join(F.broadcast(chosen), "doc").select("doc", "text", F.col("toxic").cast("int"))
-    rows = model.over_chunks(sample, ["toxic"], measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
+    rows = without.over_chunks(sample, ["toxic"], measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
     if rows["toxic"].nunique() < 2:
         return model, None
     rows = rows.sort_values(["x", "toxic"], key=lambda c: c.map(tuple) if c.name == "x" else c)  # the fit doesn't depend on the order of tasks

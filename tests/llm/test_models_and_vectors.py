@@ -249,6 +249,27 @@ def test_toxicity_model_is_the_plain_sum(spark):
         assert abs(np.mean(said) - got[i]) < 1e-4
 
 
+def test_toxicity_learns_from_every_learning_fold(spark):
+    """A toxic word whose labelled examples all lie in the fold of the map is learnt."""
+    rows = labelled(900)
+    fold = lambda k: [i for i in range(10_000, 11_000) if zlib.crc32(str(i).encode()) % 5 == k]
+    texts = [" ".join(t for t in r[1].split() if t not in ("moron", "scum", "idiot")) for r in rows[:60]]
+    marked = [(i, " ".join(w if x % 6 else "vermin" for x, w in enumerate(t.split(), 1)), 1) for i, t in zip(fold(4), texts[:40], strict=False)]
+    probes = [(i, " ".join(w if x % 6 else "vermin" for x, w in enumerate(t.split(), 1))) for i, t in zip(fold(0), texts[40:], strict=False)]
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows] + [(i, t) for i, t, _ in marked] + probes, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, x) for i, _, _, x in rows] + [(i, x) for i, _, x in marked], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, labels).collect()}
+    assert np.mean([got[i] for i, _ in probes]) > 0.9
+
+
+def test_toxicity_counts_with_and_without_a_fold(spark):
+    """A context of both folds counts once in all and once outside the map's fold."""
+    rows = [(f"left{i} vile pair", code) for i in range(30) for code in ((0, 2) if i < 10 else (2,) if i < 20 else (0, 1, 3))]
+    pairs = spark.createDataFrame(rows, "text string, code int").repartition(4).mapInArrow(toxicity._count_pairs, toxicity.PAIR)
+    counts = pairs.repartition("v", "w").mapInArrow(toxicity._meet_pairs, toxicity.COUNT).filter("kind = 1").collect()
+    assert [(r["c0"], r["c1"], r["m0"], r["m1"]) for r in counts] == [(30, 10, 20, 10)]
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path, docs):
     import corpus_pipeline as p
 
