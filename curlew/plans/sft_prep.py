@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.functions import capabilities, responses, walks
+from curlew.functions import capabilities, labels, responses, walks
 from curlew.operators import dedup, joins, reports, splits
 from curlew.vocabulary import CAPABILITIES
 
@@ -127,6 +127,17 @@ def distributions(tagged: DataFrame) -> DataFrame:
     return reports.label_distribution(kept, capabilities.trajectory(responses.variant(F.col("trajectory"))))
 
 
+def target_distributions(tagged: DataFrame) -> DataFrame:
+    """(distribution, split, label, n) of the target actions' labels of kept rows, by split and over all; a label counts as
+    often as a row has it."""
+    none = F.expr("cast(array() as array<string>)")
+    named = lambda name, own: F.transform(F.coalesce(own, none), lambda x: F.struct(F.lit(name).alias("distribution"), x.alias("label")))
+    each = F.flatten(F.array(*(named(name, own) for name, own in labels.target(F.col("__v")).items())))
+    kept = tagged.filter("drop_reason is null").select("split", responses.variant(F.col("trajectory")).alias("__v"))
+    by_split = kept.select("split", F.explode(each).alias("x")).groupBy("x.distribution", "split", "x.label").agg(F.count("*").alias("n"))
+    return by_split.unionByName(by_split.groupBy("distribution", "label").agg(F.sum("n").alias("n")).withColumn("split", F.lit("all")))
+
+
 def audit_no_gold(messages: DataFrame, patterns: dict[str, str]) -> DataFrame:
     """(line_no, pattern): a finding for each row and pattern that its messages match."""
     from curlew.functions.text import matches_any

@@ -173,7 +173,7 @@ def capability_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(g, i + 1) for i, g in enumerate(chosen)], "grp string, place int")
 
 
-# Labels, distributions, coverage
+# D16-D19, and D12's grouping over labels of events; H28 and H29, of trajectories, are curlew/functions/capabilities.py and labels.py
 def _event_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     labels = F.concat(F.array(F.concat(F.lit("tool:"), F.col("event_type"))), scores.window_labels((k % 12), (F.col("value") / 5).cast("int")))

@@ -254,3 +254,32 @@ def test_sinks(spark, tmp_path):
     sinks.write_lines(df, str(tmp_path / "out"), order="n")
     assert jsonl.lines(spark, str(tmp_path / "out")).count() == 2
     assert jsonl.group_values("b, a,,#c", ["a", "# x", " d "]) == ["a", "b", "d"]
+
+
+def test_target_distributions(spark):
+    links = [{"class": "structural", "why": "w", "evidence": "e"}, {"class": "structural", "why": " \u00a0", "evidence": "e"}, {"class": "structural", "why": "w"}, {"class": "causal", "why": "w", "evidence": "e"}, {"why": 1, "evidence": "e"}, "text"]
+    actions = [
+        ("train", call("ask", answer_policy="strict", budget={"detail": "full"})), ("eval", call("ask", answer_policy="", budget={"detail": 3}, dimensions={"scope_ids": []})),
+        ("train", call("near", include={"raw_refs": True}, dimensions={"scope_ids": ["a"]})), ("train", call("inspect", include={"raw": False, "raw_refs": True})), ("train", call("wake", include={"raw": True}, budget=None)),
+        ("train", call("write_memory", options={"dry_run": True, "strict": "yes"}, idempotency_key=None, read_context={}, current={"evidence": []}, source_kind="agent", connect_to=links)),
+        ("eval", call("write_memory", options=[], current="text")),
+        ("eval", call("ingest", dry_run=False, memory={"dimensions": [], "relations": [1], "evidence": {}}, provenance={})), ("train", {"kind": "stop", "tool": "kernel_ingest", "arguments": {}}),
+    ]
+    rows = [(json.dumps({"target_action": a}), s, None) for s, a in actions] + [(json.dumps({"target_action": actions[0][1]}), "train", "gone"), ("{}", "train", None), (json.dumps({"target_action": None}), "eval", None)]
+    got = sft_prep.target_distributions(spark.createDataFrame(rows, "trajectory string, split string, drop_reason string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["distribution"], {}).setdefault(r["split"], {})[r["label"]] = r["n"]
+    proof = {"structural_with_proof": 1, "structural_without_proof": 2, "non_structural_complete": 1, "non_structural_incomplete": 1}
+    want = {
+        "answer_policy": ({"strict": 1}, {}), "budget_detail": ({"full": 1}, {"unspecified": 1}), "dimension_scope_ids": ({"present": 1}, {"absent": 1}),
+        "raw_access": ({"temporal.raw_refs:true": 1, "inspect.raw:false": 1}, {}), "write_memory_options": ({"present": 1}, {"present": 1}),
+        "write_memory_dry_run": ({"true": 1}, {"absent": 1}), "write_memory_strict": ({"invalid": 1}, {"absent": 1}), "write_memory_idempotency_key": ({"absent": 1}, {"absent": 1}),
+        "write_memory_read_context": ({"present": 1}, {"absent": 1}), "write_memory_current_evidence": ({"present": 1}, {"absent": 1}), "write_memory_source_kind": ({"present": 1}, {"absent": 1}),
+        "write_memory_relation_proof": (proof, {}), "ingest_dry_run": ({}, {"false": 1}), "ingest_dimensions": ({}, {"empty": 1}), "ingest_relations": ({}, {"non_empty": 1}),
+        "ingest_evidence": ({}, {"invalid": 1}), "ingest_provenance": ({}, {"present": 1}),
+    }
+    assert set(by) == set(want) and len(want) == 17
+    for name, (train, held) in want.items():
+        both = {k: train.get(k, 0) + held.get(k, 0) for k in {*train, *held}}
+        assert (by[name].get("train", {}), by[name].get("eval", {}), by[name]["all"]) == (train, held, both), name
