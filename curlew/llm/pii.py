@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data, by DataFrame expressions alone.
 
-Candidates are found by one pattern; what passes its kind's validation is replaced by a keyed permutation of its own format:
+Candidates are found by one pattern, cards beforehand by their check digit; what passes its kind's validation is replaced by a keyed permutation of its own format:
 a card number by a card number with a right check digit, a date by a date, an address by an address. The permutation is an
 alternating Feistel network over symbols with their own moduli (digits, letters, octets, the two digits of a day number in
 mixed radix): each half is shifted by a hash of key, round and the other half. So equal values get equal pseudonyms in all
@@ -8,7 +8,7 @@ documents, different values different ones, and a holder of the key can go back.
 
 Kinds and their validation:
   email  local part of letters and digits before @ and a domain; letters and digits of the local part are permuted
-  card   13 to 19 digits, single spaces or hyphens between, Luhn; all but the check digit are permuted, which follows
+  card   13 to 19 digits, single spaces or hyphens between, Luhn; of the runs from a group of digits on, the longest that passes; all but the check digit are permuted, which follows
   ip     four octets up to 255
   date   a day from 1900-01-01 to 2099-12-31 as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy
   ssn    three, two and four digits with hyphens, none of a range that isn't issued
@@ -35,9 +35,13 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|-[0-9])",
+    "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
-CANDIDATE = "|".join(PATTERNS.values())
+CANDIDATE = "|".join(v for k, v in PATTERNS.items() if k != "card")
+# Cards are sought from every group of digits, at every group's end: a number beside a card doesn't hide it.
+CARD_BEGIN = r"(?:(?<![0-9A-Za-z.+-])|(?<=[0-9]-))"
+CARD_END = r"(?![0-9A-Za-z])"
+CARD_RUN = rf"{CARD_BEGIN}(?=({PATTERNS['card']}{CARD_END}))"
 FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1900-01-01", 150, 487  # 73050 days; the last of them is 2100-01-01
 
 
@@ -109,6 +113,17 @@ def _card(m: Column, key: str) -> Column:
     return let(_digits(m), card)
 
 
+def cards_in(text: Column) -> Column:
+    """The different card numbers of a text, longest first: from each group of digits the longest run that passes."""
+
+    def longest(run: Column) -> Column:
+        ends = F.array(*(F.regexp_extract(run, rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])", 0) for n in range(19, 12, -1)))
+        return F.get(F.filter(ends, lambda x: (x != "") & (luhn_sum(_digits(x)) % 10 == 0)), F.lit(0))
+
+    found = F.array_distinct(F.array_compact(F.transform(F.regexp_extract_all(text, F.lit(CARD_RUN), F.lit(1)), longest)))
+    return F.transform(F.array_sort(F.transform(found, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("card")))), lambda x: x["card"])
+
+
 def _ip(m: Column, key: str) -> Column:
     def address(octets: Column) -> Column:
         new = feistel(octets, F.array_repeat(F.lit(256).cast("long"), 4), f"{key}:ip")
@@ -214,7 +229,10 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_cols:
     """
     text = F.col("__text")
     step = docs.withColumn("__text", F.col(f"`{text_col}`").cast("string"))
-    step = step.withColumn("__found", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
+    step = step.withColumn("__cards", cards_in(text))
+    pattern = F.when(F.size("__cards") > 0, F.concat(F.lit(f"{CANDIDATE}|{CARD_BEGIN}(?:"), F.array_join("__cards", "|"), F.lit(f"){CARD_END}"))).otherwise(F.lit(CANDIDATE))
+    step = step.withColumn("__pattern", pattern)
+    step = step.withColumn("__found", F.regexp_extract_all(text, F.col("__pattern"), F.lit(0)))
     named = F.transform("__found", lambda m: F.struct(m.alias("m"), kind_of(m).alias("k")))
 
     def image(z: Column) -> Column:
@@ -225,7 +243,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_cols:
 
     step = step.withColumn("__named", F.transform(named, image))
     # between the candidates, the text is cut by the same pattern
-    between = F.split(text, CANDIDATE, -1)
+    between = F.split(text, F.col("__pattern"), -1)
     joined = F.array_join(
         F.concat(F.transform(F.arrays_zip(F.slice(F.col("__between"), 1, F.size("__named")).alias("b"), F.col("__named").alias("n")), lambda z: F.concat(z["b"], F.coalesce(z["n"]["new"], z["n"]["m"]))), F.slice("__between", -1, 1)), ""
     )
@@ -237,4 +255,4 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_cols:
 
     if count_cols:
         step = step.withColumns({f"n_{kind}": count(kind) for kind in KINDS})
-    return step.drop("__text", "__found", "__named", "__between")
+    return step.drop("__text", "__found", "__named", "__between", "__cards", "__pattern")

@@ -124,6 +124,18 @@ def test_pseudonyms(spark, docs, no_docs):
     assert pii.pseudonymise(docs, "key").count() == docs.count() and pii.pseudonymise(no_docs, "key").count() == 0
 
 
+def test_cards_beside_other_numbers(spark):
+    """A security code, an expiry or numbers before it don't hide a card."""
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 123", "4111111111111111 12/27", "12 4111111111111111", f"12 34 56 {card}", f"{card} 2024-02-29", "4111-1111-1111-1111-123", f"{'1234 ' * 40}{card}", "x4111111111111111", "41111111111111112222222", f"1 {card} 12ab"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r for r in pii.pseudonymise(rows, "key").orderBy("doc_id").collect()]
+    for x, r in enumerate(got):
+        hidden = x not in (7, 8)
+        assert (r["n_card"] >= 1) == hidden and ((card in r["text"] or "4111111111111111" in r["text"] or "4111-1111-1111-1111" in r["text"]) != hidden), texts[x]
+        assert len(r["text"]) == len(texts[x]) and r["n_date"] == (x == 4)
+
+
 def test_pseudonyms_are_a_permutation(spark):
     ips = spark.range(3000).select(F.concat_ws(".", F.lit("10"), F.floor(F.col("id") / 200), F.lit("7"), F.col("id") % 200).alias("text"))
     assert pii.pseudonymise(ips, "k").select("text").distinct().count() == 3000
