@@ -1,20 +1,23 @@
-"""Toxicity by class-conditional Kneser-Ney models of word pairs.
-
-A toxic and an ordinary model are counted over all labelled documents of the learning folds. Each interpolates three levels:
-word pairs of the class, words of the class, and a level that both classes share, which smooths rare expressions. As in
-Kneser-Ney smoothing, the lower levels count the different contexts of a word, not its occurrences, so that copies of a
-document count once; word pairs likewise count their different left neighbours (by a 30-bit hash of the neighbour: of a
-million neighbours, one in two thousand is lost).
-
-A document's evidence is its log-likelihood under the toxic model less that under the ordinary one, divided by its length: of
-the whole text, and of its most telling spans of a few lengths. A logistic map turns these into a score. It is
-fitted on one fold by a model that is counted without it; the model of the scores is counted with it. One count gives both.
-
-Sizes. Counting is a shuffle of the distinct word pairs of each task with their neighbours. The model is a table that grows with
-the corpus: every word and pair that its discount leaves something of. Documents are dealt to chunks of bounded size; a chunk asks
-for the words and pairs it has, the join with the model answers, and the answers meet the chunk's documents. The driver gathers
-the shared level, a table of hash buckets, and a bitmap of the model's keys that spares questions without an answer (as it
-fills, more of them are asked; no answer changes). The logistic map is fitted on at most `fit_rows` documents.
+"""Toxicity by class-conditional Kneser-Ney models of text.
+
+A toxic and an ordinary model are counted over all labelled documents of the learning folds. Both predict a text symbol by symbol
+(letters without case, ends of words, classes of other bytes) from what stands before in the word, ORDER - 1 symbols at most. The
+grams of this level have their raw counts, by class. Below, both classes back off to shared counts of grams of SHARED symbols
+and fewer: continuation counts, that is the number of different longer grams that end so (grams that begin a word keep their raw
+counts, as is usual). So what neither class has seen more of than the other tells nothing, and rare expressions are smoothed
+alike. Every class and level has its own three discounts, from its counts of counts (Chen and Goodman's modified Kneser-Ney
+smoothing). Counts have no upper end, and no gram is left out.
+
+A word's evidence is its log-likelihood under the toxic model less that under the ordinary one. A document has the mean of its
+words' evidence, the means of its most telling spans of a few lengths, and the excess of its words' evidence over a few
+thresholds. A logistic map turns these into a score. It is fitted on one fold by a model that is counted without it; the model
+of the scores is counted with it. One count gives both.
+
+How it is spread. A task sums up the grams of its texts; grams meet by a hash of their context. Only the shared level
+(at most 64**SHARED numbers) and the counts of counts pass the driver. The model comes down to one number a gram (the logarithm
+of the ratio of both probabilities) and one a context (that of both backoff weights), a table that grows with the corpus. Up to
+`most` numbers it is broadcast, and no text is shuffled. Beyond, documents are dealt to chunks of bounded size; a chunk asks
+for its different grams, a join with the table answers. Both ways give the same scores.
 """
 
 from __future__ import annotations
@@ -23,191 +26,315 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curlew.llm import textbytes
-from curlew.llm.workspace import Workspace
+from curlew.llm.workspace import Workspace, bounded_batches
 
-BUCKETS = 1 << 18
-MAP_BITS = 26
-CHUNK_BYTES = 32 << 20
-WORD_DISCOUNT = 3.0
-PAIR_DISCOUNT = 6.0
+ORDER = 10
+SHARED = 3
 SPANS = (1, 4, 16)
+EXCESS = (2.0, 4.0)
 FIT_ROWS = 20000
 LABELS_FEW = 2_000_000
+CHUNK_BYTES = 32 << 20
+TABLE_MOST = 1 << 23
+HELD = 1 << 22
+
+# Symbols of six bits: 0 ends a word, 1 stands before its first letter, 2 to 27 are letters, 28 digits, 29 to 31 other ASCII
+# bytes in three classes, 32 to 63 the other bytes by their last five bits.
+END, BEGIN, BITS = 0, 1, 6
+SYMBOL = np.array([END if textbytes.SPACE[b] else 2 + (b | 32) - 97 if 97 <= (b | 32) <= 122 and b < 128 else 28 if 48 <= b <= 57 else 29 + b % 3 if b < 128 else 32 + b % 32 for b in range(256)], np.uint64)
+CONTEXT = np.uint64(1 << 60)  # marks the number of a context
+
+GRAMS = "bucket int, grams binary, counts binary"
+MET = "kind byte, key long, x long, y long, grams binary, counts binary"
+ENTRY = "k long, v float"
+
+
+def _mask(n: int) -> np.uint64:
+    return np.uint64((1 << BITS * n) - 1)
 
-PAIR = "v long, w long, u binary"
-COUNT = "kind byte, v long, w long, s long, c0 long, c1 long, t long, m0 long, m1 long"
 
+MASKS = np.array([_mask(n) for n in range(ORDER + 1)])
 
-def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+
+def _grams(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, last row, the gram that ends at each symbol, whether a word begins there, the symbol's row) for groups of rows.
+    Every text ends with an end of a word."""
     data, offsets = textbytes.text_buffer(column)
     for i, j in textbytes.row_groups(offsets):
-        words, rows = textbytes.word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-        yield i, j, words, rows
-
-
-def _pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return textbytes.mix(w * np.uint64(textbytes.BASE) + v)
-
-
-def _distinct(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Pairs and neighbours once each, the neighbours of a pair together."""
-    v, w, u = (np.concatenate(x) for x in zip(*held, strict=True))
-    key = _pair_key(v, w)
-    order = np.lexsort((u, key))
-    key, u = key[order], u[order]
-    keep = np.ones(len(u), bool)
-    keep[1:] = (key[1:] != key[:-1]) | (u[1:] != u[:-1])
-    return v[order][keep], w[order][keep], u[keep]
-
-
-def _first_of_pairs(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Where the pairs begin in what _distinct gives."""
-    begins = np.ones(len(v), bool)
-    begins[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
-    return np.flatnonzero(begins)
-
-
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: (text, class, 2 more in the fold of the map) -> the task's distinct word pairs with their left neighbours: the class,
-    30 bits of a hash, and whether the fold is the map's."""
-    held: list[tuple[np.ndarray, ...]] = []
-    size = 0
-    for batch in batches:
-        code = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
-        for i, j, words, rows in _words(batch.column(0)):
-            at = np.flatnonzero(rows[1:] == rows[:-1]) + 1
-            has_left = (at > 1) & (rows[at - 2] == rows[at])
-            neighbour = textbytes.mix(np.where(has_left, words[at - 2], np.uint64(0)) + np.uint64(7)) >> np.uint64(34)
-            own = code[i:j][rows[at]]
-            u = ((own & np.uint64(1)) << np.uint64(31)) | (neighbour << np.uint64(1)) | (own >> np.uint64(1))
-            held.append((words[at - 1], words[at], u.astype(np.uint32)))
-            size += len(at)
-            if size > 3 << 20:
-                held = [_distinct(held)]
+        own = offsets[i : j + 1] - offsets[i]
+        rows = np.repeat(np.arange(j - i), np.diff(own) + 1)
+        text = np.ones(len(rows), bool)
+        text[own[1:] + np.arange(j - i)] = False
+        padded = np.full(len(rows) + ORDER - 1, END, np.uint64)
+        padded[ORDER - 1 :][text] = SYMBOL[data[offsets[i] : offsets[j]]]
+        begins = np.concatenate([[True], padded[ORDER - 1 : -1] == END])
+        at = np.arange(len(rows))
+        length = np.minimum(at - np.maximum.accumulate(np.where(begins, at, 0)) + 1, ORDER)
+        key = np.zeros(len(rows), np.uint64)
+        for k in range(ORDER):
+            key <<= np.uint64(BITS)
+            key |= padded[k : k + len(rows)]
+        key &= MASKS[length]
+        short = length < ORDER
+        key[short] |= np.uint64(BEGIN) << (np.uint64(BITS) * length[short].astype(np.uint64))
+        yield i, j, key, begins, rows
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    code, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    firsts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return code[firsts], np.add.reduceat(n, firsts)
+
+
+def _bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
+    return (textbytes.mix(gram >> np.uint64(BITS)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _count(buckets: int):
+    """Task: (text, class, 2 more in the fold of the map) -> per bucket the task's grams, with the class and fold in two bits, and
+    their counts."""
+
+    def rows_of(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bucket = _bucket(code >> np.uint64(2), buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket, code, n = bucket[order], code[order], n[order].astype(np.uint32)
+        firsts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(code))
+        for a, b in _slices(firsts):
+            edges = firsts[a : b + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), _lists(code, edges), _lists(n, edges)], names=["bucket", "grams", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            mark = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
+            for i, j, key, _, rows in _grams(batch.column(0)):
+                code, n = np.unique(key << np.uint64(2) | mark[i:j][rows], return_counts=True)
+                held.append((code, n.astype(np.int64)))
+                size += len(code)
+                if size > 2 * HELD:
+                    held = [_summed(held)]
+                    size = len(held[0][0])
+                    if size > HELD:
+                        yield from rows_of(*held.pop())
+                        size = 0
+        if size:
+            yield from rows_of(*_summed(held))
+
+    return run
+
+
+def _slices(edges: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Ranges of lists, given the edges of all, of `most` elements or one list."""
+    a, n = 0, len(edges) - 1
+    while a < n:
+        b = min(n, max(a + 1, int(np.searchsorted(edges, edges[a] + most, "right")) - 1))
+        yield a, b
+        a = b
+
+
+def _lists(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Rows values[edges[i]:edges[i + 1]] as binary."""
+    own = np.ascontiguousarray(values[edges[0] : edges[-1]])
+    width = own.dtype.itemsize * int(np.prod(own.shape[1:]))
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(((edges - edges[0]) * width).astype(np.int32)), pa.py_buffer(own)])
+
+
+def _unlisted(column: pa.Array, dtype) -> np.ndarray:
+    """All values of binary rows."""
+    return np.frombuffer(textbytes.text_buffer(column)[0].tobytes(), dtype)
+
+
+def _variants(counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Counts by class of all learning folds (0), and without the fold of the map (1)."""
+    yield 0, counts[:, :2] + counts[:, 2:]
+    yield 1, counts[:, :2]
+
+
+def _times(gram: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of n symbols of ascending grams, and how many grams end so; grams that are no longer have their counts."""
+    ends, place = np.unique(gram & _mask(n), return_inverse=True)
+    return ends, np.bincount(place, np.where(gram <= _mask(n), counts, 1), len(ends)).astype(np.int64)
+
+
+def _meet(buckets: int):
+    """Task: all rows of its buckets -> kind 0, per bucket its grams with their counts; kind 1, counts of counts (key: variant,
+    class, count up to 4, or 0 for all grams; x); kind 2, the longest shared grams and their continuation counts (x, y by variant)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, limit = 0, 2 * HELD
+        for batch in batches:
+            held.append((_unlisted(batch.column(1), np.uint64), _unlisted(batch.column(2), np.uint32).astype(np.int64)))
+            size += len(held[-1][0])
+            if size > limit:
+                held = [_summed(held)]
                 size = len(held[0][0])
-                if size > 2 << 20:
-                    yield from _pair_rows(held.pop())
-                    size = 0
-    if held:
-        yield from _pair_rows(_distinct(held))
-
-
-def _pair_rows(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-    v, w, u = found
-    firsts = _first_of_pairs(v, w)
-    ends = np.append(firsts[1:], len(u))
-    for a in range(0, len(firsts), 1 << 17):
-        x = firsts[a : a + (1 << 17)]
-        begin, end = x[0], ends[a : a + (1 << 17)][-1]
-        bounds = ((np.append(x, end) - begin) * 4).astype(np.int32)
-        lists = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(u[begin:end]))])
-        yield pa.RecordBatch.from_arrays([pa.array(v[x].view(np.int64)), pa.array(w[x].view(np.int64)), lists], names=["v", "w", "u"])
-
-
-def _meet_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: all rows of its pairs -> kind 0, per second word the pairs it ends (s in all, c0 and c1 by class); kind 1, per pair
-    that isn't discounted to nothing, its key (s) and its counts; kind 2, per first word, its counts. t, m0 and m1 are
-    s, c0 and c1 without the fold of the map."""
-    held: list[tuple[np.ndarray, ...]] = []
-    size, limit = 0, 6 << 20
-    for batch in batches:
-        data, bounds = textbytes.text_buffer(batch.column(2))
-        n = np.diff(bounds) // 4
-        held.append((*(np.repeat(batch.column(x).to_numpy().view(np.uint64), n) for x in range(2)), np.frombuffer(data.tobytes(), np.uint32)))
-        size += len(held[-1][0])
-        if size > limit:
-            held = [_distinct(held)]
-            size = len(held[0][0])
-            limit = max(6 << 20, 2 * size)
-    if not held:
-        return
-    v, w, u = _distinct(held)
-    firsts = _first_of_pairs(v, w)
-    if not len(firsts):
-        return
-    again = np.zeros(len(u), bool)  # in the fold of the map, and also outside
-    again[1:] = (u[1:] == u[:-1] + np.uint32(1)) & ((u[1:] & np.uint32(1)) == 1)
-    again[firsts] = False
-    toxic, counted = u >> np.uint32(31), (u & np.uint32(1)) == 0
-    n0, n1, m0, m1 = (np.add.reduceat(((toxic == c) & of).astype(np.int64), firsts) for of in (~again, counted) for c in (0, 1))
-    v, w = v[firsts], w[firsts]
-    none = np.zeros(len(w), np.int64)
-    ended = [np.ones(len(w), np.int64), *((x > 0).astype(np.int64) for x in (n0, n1, m0 + m1, m0, m1))]
-    for kind, key, counts in ((0, w, ended), (2, v, (none, n0, n1, none, m0, m1))):
-        order = np.argsort(key)
-        begins = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-        sums = [np.add.reduceat(x[order], begins) for x in counts]
-        yield from _counts(kind, key[order][begins], key[order][begins], *sums)
-    at = np.flatnonzero(np.maximum(n0, n1) > PAIR_DISCOUNT)
-    key = _pair_key(v[at], w[at]).view(np.int64)
-    yield from _counts(1, v[at], w[at], key, n0[at], n1[at], key, m0[at], m1[at])
-
-
-def _counts(kind: int, v: np.ndarray, w: np.ndarray, *counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(v), 1 << 17):
-        x = slice(a, a + (1 << 17))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(v[x]), kind, np.int8)), pa.array(v[x].view(np.int64)), pa.array(w[x].view(np.int64)), *(pa.array(y[x].astype(np.int64)) for y in counts)], names=["kind", "v", "w", "s", "c0", "c1", "t", "m0", "m1"]
-        )
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ascending keys, and whether the wanted value is there."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
-
-
-class Answers:
-    """What a chunk was told of its words and pairs: keys, and per class what the discount leaves (x) and, of a word, the weight
-    of the level below after it (y)."""
-
-    def __init__(self, keys: np.ndarray, x: list[np.ndarray], y: list[np.ndarray], shared: np.ndarray, rest: list[float]):
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.x, self.y = [v[order] for v in x], [v[order] for v in y]
-        self.shared, self.rest = shared, rest
-
-    def evidence(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) of every word after its neighbour."""
-        shared = self.shared[(words & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.float64)
-        p = [self.rest[c] * shared for c in (0, 1)]
-        if len(self.keys):
-            at, known = _find(self.keys, words)
-            for c in (0, 1):
-                p[c][known] += self.x[c][at[known]]
-            second = np.flatnonzero(rows[1:] == rows[:-1]) + 1
-            pair, seen = _find(self.keys, _pair_key(words[second - 1], words[second]))
+                limit = max(2 * HELD, 2 * size)
+        if not size:
+            return
+        code, n = _summed(held)
+        del held
+        gram = code >> np.uint64(2)
+        new = np.concatenate([[True], gram[1:] != gram[:-1]])
+        counts = np.zeros((int(new.sum()), 4), np.int64)  # by class outside the fold of the map, then within
+        counts[np.cumsum(new) - 1, (code & np.uint64(3)).astype(np.int64)] = n
+        gram = gram[new]
+        codes, sums, ends = [], [], {}
+        for variant, own in _variants(counts):
             for c in (0, 1):
-                left = np.where(known, self.y[c][at], 1.0)[second - 1]
-                p[c][second] = np.where(seen, self.x[c][pair], 0.0) + left * p[c][second]
-        return np.log(p[1]) - np.log(p[0])
-
-    def features(self, column: pa.Array) -> np.ndarray:
-        """Per row: the evidence by length of the whole text, and of the best span of each length in SPANS (or the text, if shorter)."""
-        out = np.zeros((len(column), 1 + len(SPANS)))
-        for i, j, words, rows in _words(column):
-            if not len(words):
-                continue
-            e = self.evidence(words, rows)
-            total = np.concatenate([[0.0], np.cumsum(e)])
-            n = np.bincount(rows, minlength=j - i)
-            first = np.concatenate([[0], np.cumsum(n)])
-            has = np.flatnonzero(n)
-            out[i:j, 0][has] = (total[first[1:]] - total[first[:-1]])[has] / n[has]
-            for x, span in enumerate(SPANS):
-                # spans that end in their row; a shorter row is one span
-                at = np.arange(len(words))
-                ends = np.minimum(at + span, first[rows + 1])
-                whole = (ends - at == span) | (at == first[rows])
-                mean = np.where(whole, (total[ends] - total[at]) / (ends - at), -np.inf)
-                out[i:j, 1 + x][has] = np.maximum.reduceat(mean, first[has])
-        return out
+                codes += [(variant * 2 + c) * 8 + r for r in range(5)]
+                sums += [int((own[:, c] > 0).sum()), *np.bincount(np.minimum(own[:, c], 5), minlength=6)[1:5].tolist()]
+            known = own.any(1)
+            for end, times in zip(*(x.tolist() for x in _times(gram[known], own[known].sum(1), SHARED)), strict=True):
+                ends.setdefault(end, [0, 0])[variant] = times
+        yield _met(1, np.array(codes), np.array(sums), np.zeros(len(codes)))
+        both = np.array(list(ends.values())).reshape(-1, 2)
+        yield _met(2, np.array(list(ends), np.int64), both[:, 0], both[:, 1])
+        bucket = _bucket(gram, buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket, gram, counts = bucket[order], gram[order], counts[order]
+        edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(gram))
+        for a, b in _slices(edges):
+            x = edges[a : b + 1]
+            yield _met(0, bucket[x[:-1]], np.zeros(b - a), np.zeros(b - a), _lists(gram, x), _lists(counts, x))
+
+    return run
+
+
+def _met(kind: int, key: np.ndarray, x: np.ndarray, y: np.ndarray, grams: pa.Array | None = None, counts: pa.Array | None = None) -> pa.RecordBatch:
+    n = len(key)
+    none = pa.nulls(n, pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *(pa.array(v.astype(np.int64)) for v in (key, x, y)), none if grams is None else grams, none if counts is None else counts], names=["kind", "key", "x", "y", "grams", "counts"])
+
+
+def discounts(of: list[int]) -> np.ndarray:
+    """What counts of 0, 1, 2, 3 and more are discounted by, from how many grams have a count of 1, 2, 3 and 4."""
+    n1, n2, n3, n4 = of
+    share = n1 / (n1 + 2 * n2) if n1 else 0.5
+    out = [0.0]
+    for r, (a, b) in enumerate(((n1, n2), (n2, n3), (n3, n4)), 1):
+        out.append(min(max(r - (r + 1) * share * b / a if a else share, 0.1), r - 0.05))
+    return np.array(out)
+
+
+def smoothed(count: np.ndarray, context: np.ndarray, below: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Interpolated probabilities of the grams of one level and class, and the weight of the level below after each context.
+    context: numbers from 0, ascending; below: the probabilities of the grams' ends."""
+    off = discount[np.minimum(count, 3)]
+    total, left = np.bincount(context, count), np.bincount(context, off)
+    seen = total > 0
+    weight = np.where(seen, left / np.where(seen, total, 1), 1.0)
+    return (count - off) / np.where(seen, total, 1)[context] + weight[context] * below, weight
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending values: the different ones, and the place of each among them."""
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    return values[new], np.cumsum(new) - 1
+
+
+def shared_level(grams: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Probabilities of the last symbol of each gram of SHARED symbols (ascending) from continuation counts of both classes."""
+    at = [(grams, times)]
+    for n in range(SHARED - 1, 0, -1):
+        at.append(_times(*at[-1], n))
+    p = np.full(len(at[-1][0]), 1 / (1 << BITS))
+    for n, (key, count) in enumerate(reversed(at), 1):
+        if n > 1:
+            p = p[np.searchsorted(at[SHARED - n + 1][0], key & _mask(n - 1))]
+        p, _ = smoothed(count, _numbered(key >> np.uint64(BITS))[1], p, discounts([int((count == r).sum()) for r in range(1, 5)]))
+    return p
+
+
+def numbers(gram: np.ndarray, counts: np.ndarray, shared: tuple[np.ndarray, np.ndarray], discount: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The model's keys and numbers from ascending grams, with all grams of their contexts, and their counts by class."""
+    below = shared[1][np.searchsorted(shared[0], gram & _mask(SHARED))]
+    contexts, number = _numbered(gram >> np.uint64(BITS))
+    (p0, weight0), (p1, weight1) = (smoothed(counts[:, c], number, below, discount[c]) for c in (0, 1))
+    return np.concatenate([gram, contexts | CONTEXT]), np.concatenate([np.log(p1 / p0), np.log(weight1 / weight0)]).astype(np.float32)
+
+
+class Table:
+    """Numbers by key: mixed keys in order, found by their first bits."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        keys = textbytes.mix(keys)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    def __getstate__(self):
+        return self.keys, self.values
+
+    def __setstate__(self, state):
+        self.keys, self.values = state
+
+    def _starts(self) -> tuple[np.ndarray, np.uint64]:
+        if not hasattr(self, "starts"):
+            bits = max(1, len(self.keys).bit_length())
+            self.shift = np.uint64(64 - bits)
+            self.starts = np.append(np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(self.keys)).astype(np.int32)
+        return self.starts, self.shift
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether the key is there, its number or 0)."""
+        starts, shift = self._starts()
+        keys = textbytes.mix(keys)
+        has, value = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
+        first = (keys >> shift).astype(np.int64)
+        at, end = starts[first], starts[first + 1]
+        todo = np.flatnonzero(at < end)
+        at, end, keys = at[todo], end[todo], keys[todo]
+        while len(todo):
+            hit = self.keys[at] == keys
+            has[todo[hit]] = True
+            value[todo[hit]] = self.values[at[hit]]
+            on = ~hit & (at + 1 < end)
+            todo, at, end, keys = todo[on], at[on] + 1, end[on], keys[on]
+        return has, value
+
+
+def evidence(gram: np.ndarray, table: Table) -> np.ndarray:
+    """log P(symbol | toxic) - log P(symbol | ordinary) of the last symbol of every gram."""
+    has, value = table.get(gram)
+    out = value.astype(np.float64)
+    # not in the model: the shared level, weighted by the context
+    out[~has] = table.get(gram[~has] >> np.uint64(BITS) | CONTEXT)[1]
+    return out
+
+
+def features(column: pa.Array, table: Table) -> np.ndarray:
+    """Per row with words: the words' mean evidence, the logarithm of their number, the best mean over spans of each length in
+    SPANS (or the text, if shorter), and for each value in EXCESS what words have more than that, and how many do."""
+    out = np.zeros((len(column), 2 + len(SPANS) + 3 * len(EXCESS)))
+    for i, j, gram, begins, rows in _grams(column):
+        starts = np.flatnonzero(begins)
+        e = np.add.reduceat(evidence(gram, table), starts)
+        real = np.diff(np.append(starts, len(gram))) > 1  # more than an end
+        e, row = e[real], rows[starts][real]
+        if not len(e):
+            continue
+        n = np.bincount(row, minlength=j - i)
+        has = np.flatnonzero(n)
+        total, first = np.concatenate([[0.0], np.cumsum(e)]), np.concatenate([[0], np.cumsum(n)])
+        columns = [(total[first[1:]] - total[first[:-1]])[has] / n[has], np.log1p(n[has])]
+        at = np.arange(len(e))
+        for span in SPANS:
+            # spans that end in their row; a shorter row is one span
+            ends = np.minimum(at + span, first[row + 1])
+            whole = (ends - at == span) | (at == first[row])
+            columns.append(np.maximum.reduceat(np.where(whole, (total[ends] - total[at]) / (ends - at), -np.inf), first[has]))
+        for least in EXCESS:
+            over = np.bincount(row, np.maximum(0, e - least), j - i)[has]
+            columns += [np.log1p(over), over / np.sqrt(n[has]), np.log1p(np.bincount(row, e > least, j - i)[has])]
+        out[i:j][has] = np.column_stack(columns)
+    return out
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,95 +353,95 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float =
     return mean, scale, w
 
 
+Finish = Callable[[pa.Table, np.ndarray], pa.Table]
+
+
 class Model:
-    """Of every word and pair with something left: k, x0, x1 and y0, y1 as in Answers; the shared level; a bitmap of the keys."""
-
-    def __init__(self, counts: DataFrame, by_word: DataFrame, totals: Row, ws: Workspace):
-        kept = counts.filter("kind = 1").filter(F.greatest("c0", "c1") > PAIR_DISCOUNT)
-        over = lambda c, d: F.greatest(F.lit(0), F.col(c) - F.lit(int(d)))
-        spent = kept.groupBy("v").agg(*(F.sum(over(f"c{c}", PAIR_DISCOUNT)).alias(f"s{c}") for c in (0, 1)))
-        spent = ws.write(spent, "spent")
-        firsts = counts.filter("kind = 2").join(spent, "v").groupBy("v", "s0", "s1").agg(*(F.sum(f"c{c}").alias(f"f{c}") for c in (0, 1)))
-        share = lambda of, c: F.col(of) / F.greatest(F.lit(1), F.col(f"f{c}"))
-        after = firsts.select(F.col("v").alias("k"), *((1 - share(f"s{c}", c)).alias(f"y{c}") for c in (0, 1)))
-        own = by_word.filter(F.greatest("c0", "c1") > WORD_DISCOUNT).select(F.col("w").alias("k"), *((over(f"c{c}", WORD_DISCOUNT) / totals[f"c{c}"]).alias(f"x{c}") for c in (0, 1)))
-        words = own.join(after, "k", "full").select("k", *(F.coalesce(x, F.lit(d)).alias(x) for x, d in (("x0", 0.0), ("x1", 0.0), ("y0", 1.0), ("y1", 1.0))))
-        pairs = kept.select("v", F.col("s").alias("k"), *(over(f"c{c}", PAIR_DISCOUNT).alias(f"o{c}") for c in (0, 1)))
-        pairs = pairs.join(firsts.drop("s0", "s1"), "v").select("k", *(share(f"o{c}", c).alias(f"x{c}") for c in (0, 1)), F.lit(1.0).alias("y0"), F.lit(1.0).alias("y1"))
-        self.table = ws.write(words.unionByName(pairs).select("k", *(F.col(x).cast("float") for x in ("x0", "x1", "y0", "y1"))), "model")
-        kept_share = by_word.agg(*(F.sum(over(f"c{c}", WORD_DISCOUNT)).alias(f"c{c}") for c in (0, 1))).first()
-        # what the discounts leave
-        self.rest = [max(1e-9, 1 - kept_share[f"c{c}"] / totals[f"c{c}"]) for c in (0, 1)]
-        shared = np.zeros(BUCKETS)
-        buckets = by_word.groupBy(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.sum("s").alias("s")).toPandas()
-        shared[buckets["b"].to_numpy(np.int64)] = buckets["s"].to_numpy(float)
-        shared = ((shared + 0.5) / (shared.sum() + 0.5 * len(shared))).astype(np.float32)
-        place = F.shiftrightunsigned("k", 64 - MAP_BITS)
-        held = self.table.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(k, {64 - MAP_BITS}) & 63 as int))")).alias("bits")).toPandas()
-        bitmap = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-        bitmap[held["at"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64).view(np.uint64)
-        sc = counts.sparkSession.sparkContext
-        self.shared, self.bitmap = sc.broadcast(shared), sc.broadcast(bitmap)
-
-    def over_chunks(self, docs: DataFrame, head: list[str], finish: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
-        """finish(the head columns of a chunk's rows, their features) of all chunks of docs (doc, text and others)."""
-        shared, bitmap, rest = self.shared, self.bitmap, self.rest
+    """The numbers of one variant of the counts (0: of all learning folds, 1: without the fold of the map)."""
+
+    def __init__(self, counts: DataFrame, stats: dict[int, int], shared: tuple[np.ndarray, np.ndarray], variant: int, ws: Workspace, most: int):
+        self.spark: SparkSession = counts.sparkSession
+        discount = [discounts([stats.get((variant * 2 + c) * 8 + r, 0) for r in range(1, 5)]) for c in (0, 1)]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                gram = _unlisted(batch.column(0), np.uint64)
+                own = dict(_variants(_unlisted(batch.column(1), np.int64).reshape(-1, 4)))[variant]
+                order = np.argsort(gram)
+                order = order[own.any(1)[order]]
+                if len(order):
+                    k, v = numbers(gram[order], own[order], shared, discount)
+                    for a in range(0, len(k), 1 << 17):
+                        yield pa.RecordBatch.from_arrays([pa.array(k[a : a + (1 << 17)].view(np.int64)), pa.array(v[a : a + (1 << 17)])], names=["k", "v"])
+
+        table = counts.filter("kind = 0").select("grams", "counts").mapInArrow(run, ENTRY)
+        # a checked bound on the size: there are no more contexts than grams
+        size = 2 * sum(stats.get((variant * 2 + c) * 8, 0) for c in (0, 1))
+        if size > most:
+            table = ws.write(table, "model")
+            size = table.count()
+        self.table = self.rows = None
+        if size <= most:
+            told = table.toArrow()
+            self.table = self.spark.sparkContext.broadcast(Table(told.column("k").to_numpy().view(np.uint64), told.column("v").to_numpy()))
+        else:
+            self.rows = table
+
+    def over(self, docs: DataFrame, head: list[str], finish: Finish, schema: str) -> DataFrame:
+        """finish(the head columns and text of a batch of docs (doc, text and others), the texts' features) of all docs."""
+        if self.table is None:
+            return self._over_chunks(docs, head, finish, schema)
+        table = self.table
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = pa.Table.from_batches([batch])
+                yield from finish(rows, features(rows.column("text"), table.value)).to_batches()
+
+        return docs.select(*head, "text").mapInArrow(run, schema)
+
+    def _over_chunks(self, docs: DataFrame, head: list[str], finish: Finish, schema: str) -> DataFrame:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         chunks = 1 + size // CHUNK_BYTES
         parts = int(min(chunks, 1 << 20))
         docs = docs.select(*head, "text", F.pmod(F.xxhash64("doc", "text"), F.lit(chunks)).alias("chunk")).repartition(parts, "chunk")
-        text_at, chunk_at = len(head), len(head) + 1
 
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def once(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-                key, chunk = (np.concatenate(x) for x in zip(*held, strict=True))
-                order = np.lexsort((key, chunk))
-                key, chunk = key[order], chunk[order]
-                keep = np.ones(len(key), bool)
-                keep[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
-                return key[keep], chunk[keep]
-
-            def asked(found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-                for a in range(0, len(found[0]), 1 << 17):
-                    x = slice(a, a + (1 << 17))
-                    yield pa.RecordBatch.from_arrays([pa.array(found[0][x].view(np.int64)), pa.array(found[1][x])], names=["k", "chunk"])
-
-            held: list[tuple[np.ndarray, np.ndarray]] = []
+            held: dict[int, list[np.ndarray]] = {}
             size = 0
             for batch in batches:
-                chunk = batch.column(chunk_at).to_numpy()
-                for i, j, words, rows in _words(batch.column(text_at)):
-                    second = np.flatnonzero(rows[1:] == rows[:-1]) + 1
-                    key = np.concatenate([words, _pair_key(words[second - 1], words[second])])
-                    own = np.concatenate([chunk[i:j][rows], chunk[i:j][rows[second]]])
-                    place = key >> np.uint64(64 - MAP_BITS)
-                    hit = (bitmap.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-                    held.append((key[hit], own[hit]))
-                    size += int(hit.sum())
-                    if size > 3 << 20:
-                        held = [once(held)]
-                        size = len(held[0][0])
-                        if size > 2 << 20:
-                            yield from asked(held.pop())
-                            size = 0
-            if held:
-                yield from asked(once(held))
+                chunk = batch.column(1).to_numpy()
+                for i, j, gram, _, rows in _grams(batch.column(0)):
+                    own = chunk[i:j][rows]
+                    for c in np.unique(own).tolist():
+                        held.setdefault(c, []).append(np.unique(gram[own == c]))
+                        size += len(held[c][-1])
+                    if size > 2 * HELD:
+                        held = {c: [np.unique(np.concatenate(x))] for c, x in held.items()}
+                        size = sum(len(x[0]) for x in held.values())
+                        if size > HELD:
+                            yield from told_of(held)
+                            held, size = {}, 0
+            yield from told_of(held)
+
+        def told_of(held: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            for c, found in held.items():
+                gram = np.unique(np.concatenate(found))
+                k = np.concatenate([gram, np.unique(gram >> np.uint64(BITS)) | CONTEXT]).view(np.int64)
+                for a in range(0, len(k), 1 << 17):
+                    x = k[a : a + (1 << 17)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), c))], names=["k", "chunk"])
 
         def answer(rows: pa.Table, told: pa.Table) -> pa.Table:
-            column = lambda name: told.column(name).to_numpy()
-            key = column("k").view(np.uint64) if told.num_rows else np.zeros(0, np.uint64)
-            values = [column(x).astype(np.float64) if told.num_rows else np.zeros(0) for x in ("x0", "x1", "y0", "y1")]
-            # a key may come twice, from tasks that gave up a full list
-            key, first = np.unique(key, return_index=True)
-            values = [v[first] for v in values]
-            said = Answers(key, values[:2], values[2:], shared.value, rest)
-            return finish(rows, said.features(rows.column("text")))
-
-        told = docs.mapInArrow(ask, "k long, chunk long").join(self.table, "k").repartition(parts, "chunk")
+            keys = told.column("k").to_numpy().view(np.uint64) if told.num_rows else np.zeros(0, np.uint64)
+            values = told.column("v").to_numpy() if told.num_rows else np.zeros(0, np.float32)
+            return finish(rows, features(rows.column("text"), Table(keys, values)))
+
+        told = docs.select("text", "chunk").mapInArrow(ask, "k long, chunk long").join(self.rows, "k").repartition(parts, "chunk")
         return docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, schema)
 
 
-def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT_ROWS):
+def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT_ROWS, most: int = TABLE_MOST):
     """docs (doc, text, part) with part = crc32 mod 5, labels (doc, toxic): the model and the logistic map, or None without
     labels of both classes. Part 0 is never read, parts 1 to 4 are counted; part 4 fits the map, by the model of parts 1 to 3."""
     known = labels.filter("doc is not null and toxic in (0, 1)").groupBy("doc").agg(F.max("toxic").alias("toxic"))
@@ -323,19 +450,25 @@ def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT
     # a checked size: beyond it both sides are shuffled
     lookup = F.broadcast(known) if n <= LABELS_FEW else known
     marked = docs.filter("part <> 0").join(lookup, "doc")
-    pairs = marked.select("text", F.expr("toxic + if(part = 4, 2, 0)").alias("code")).mapInArrow(_count_pairs, PAIR)
-    counts = ws.write(pairs.repartition("v", "w").mapInArrow(_meet_pairs, COUNT), "counts")
-    by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1", "t", "m0", "m1"))), "words")
-
-    def model_of(counts: DataFrame, by_word: DataFrame) -> Model | None:
-        totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
-        return Model(counts, by_word, totals, ws) if totals["c0"] and totals["c1"] else None
-
-    model = model_of(counts, by_word)
+    # lists of grams to shuffle, some for every task that they meet in
+    buckets = max(256, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    grams = marked.select("text", F.expr("toxic + if(part = 4, 2, 0)").alias("code")).mapInArrow(_count(buckets), GRAMS)
+    counts = ws.write(grams.repartition("bucket").mapInArrow(_meet(buckets), MET), "counts")
+    stats = {r["key"]: r["x"] for r in counts.filter("kind = 1").groupBy("key").agg(F.sum("x").alias("x")).collect()}
+    # at most 64 ** SHARED grams, whatever the corpus
+    ends = counts.filter("kind = 2").groupBy("key").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).orderBy("key").toArrow()
+
+    def model_of(variant: int) -> Model | None:
+        if not all(stats.get((variant * 2 + c) * 8, 0) for c in (0, 1)):
+            return None
+        times = ends.column("y" if variant else "x").to_numpy()
+        key = ends.column("key").to_numpy().view(np.uint64)[times > 0]
+        return Model(counts, stats, (key, shared_level(key, times[times > 0])), variant, ws, most)
+
+    model = model_of(0)
     if model is None:
         return None
-    outside = [F.col(x).alias(y) for x, y in (("t", "s"), ("m0", "c0"), ("m1", "c1"))]
-    without = model_of(counts.select("kind", "v", "w", *outside), by_word.select("w", *outside))
+    without = model_of(1)
     if without is None:
         return model, None
 
@@ -344,26 +477,28 @@ def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT
 
     chosen = known.filter(F.crc32(F.col("doc").cast("string")) % 5 == 4).orderBy(F.xxhash64("doc"), "doc").limit(fit_rows).select("doc", "toxic")
     sample = docs.filter("part = 4").join(F.broadcast(chosen), "doc").select("doc", "text", F.col("toxic").cast("int"))
-    rows = without.over_chunks(sample, ["toxic"], measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
+    rows = without.over(sample, ["toxic"], measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
     if rows["toxic"].nunique() < 2:
         return model, None
     rows = rows.sort_values(["x", "toxic"], key=lambda c: c.map(tuple) if c.name == "x" else c)  # the fit doesn't depend on the order of tasks
     return model, fit_logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS, most: int = TABLE_MOST) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of docs; labels (doc_id, toxic 0/1).
 
-    Rows whose crc32(doc_id as text) mod 5 is 0 are held out: their labels are never read. Null texts count as empty; texts
-    without words get the score of no evidence. A null id is not held out and has no label. A document with several labels
-    counts as toxic if one says so. Without labels of both classes every score is 0.
+    Rows whose crc32(doc_id as text) mod 5 is 0 are held out: their labels are never read. Null texts count as empty; empty
+    texts get the score of no evidence. A null id is not held out and has no label. A document with several labels counts as
+    toxic if one says so; a row that is repeated counts, and is scored, as often as it is there. Without labels of both classes
+    every score is 0. Other columns of docs and labels play no part, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     ws = Workspace(docs.sparkSession, "toxicity")
     held_out = F.coalesce(F.crc32(F.col("doc").cast("string")) % 5, F.lit(1)) == 0
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     docs = docs.withColumn("part", F.coalesce(F.crc32(F.col("doc").cast("string")) % 5, F.lit(1)))
     labels = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col("toxic").cast("int"))
-    learned = learn(docs, labels, ws, fit_rows)
+    learned = learn(docs, labels, ws, fit_rows, most)
     docs = docs.select("doc", "text", held_out.alias("held_out"))
     if learned is None:
         return docs.select(F.col("doc").alias("doc_id"), "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
@@ -377,4 +512,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             s = 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -30, 30)))
         return pa.table({"doc_id": rows.column("doc"), "held_out": rows.column("held_out"), "score": pa.array(s), "predicted": pa.array((s >= 0.5).astype(np.int32))})
 
-    return model.over_chunks(docs, ["doc", "held_out"], score, "doc_id long, held_out boolean, score double, predicted int")
+    return model.over(docs, ["doc", "held_out"], score, "doc_id long, held_out boolean, score double, predicted int")

@@ -19,6 +19,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """From now on a session that has no other bound hands Python batches of at most this size, or one row: 10,000 long texts are
+    more than a worker should hold."""
+    if spark.conf.get(BATCH_BYTES, None) in (None, str(2**31 - 1)):
+        spark.conf.set(BATCH_BYTES, size)
+
+
 class Workspace:
     """Parquet tables that cut lineage and outlive executors; drop() frees those that nothing reads any more."""
 

@@ -201,64 +201,110 @@ def test_toxicity(spark, rated, docs, no_docs):
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0} and toxicity.toxicity(no_docs, labels.limit(0)).count() == 0
 
 
-def test_toxicity_counts_do_not_saturate(spark):
-    """A pair after 200 different words has 200 contexts, however the documents are split."""
-    rows = [(f"left{i} vile pair", i % 2) for i in range(400)]
-    pairs = spark.createDataFrame(rows, "text string, toxic int").repartition(5).mapInArrow(toxicity._count_pairs, toxicity.PAIR)
-    counts = pairs.repartition("v", "w").mapInArrow(toxicity._meet_pairs, toxicity.COUNT).filter("kind = 1").collect()
-    assert [(r["c0"], r["c1"]) for r in counts] == [(200, 200)]
-
-
-def test_toxicity_model_is_the_plain_sum(spark):
-    """Evidence by chunks and joins = the formula over plain dictionaries."""
-    from collections import defaultdict
-
+def counted(spark, rows, parts=4):
+    """(text, code) rows -> what _meet gives."""
+    grams = spark.createDataFrame(rows, "text string, code int").repartition(parts).mapInArrow(toxicity._count(16), toxicity.GRAMS)
+    return grams.repartition(3, "bucket").mapInArrow(toxicity._meet(16), toxicity.MET).collect()
+
+
+def spelled(text):
+    """The symbols of a text's words, from the mark of the begin to the end."""
+    for word in text.split(" "):
+        yield [toxicity.BEGIN, *(int(toxicity.SYMBOL[b]) for b in word.encode()), toxicity.END]
+
+
+def code_of(symbols):
+    return sum(s << 6 * (len(symbols) - 1 - x) for x, s in enumerate(symbols))
+
+
+def test_toxicity_counts_are_plain_counts(spark):
+    """However the documents are split, and with or without the fold of the map."""
+    rng = np.random.default_rng(5)
+    words = ["vile", "pair", "extraordinarily", "extraordinary", "Ñu", "a"]
+    rows = [(" ".join(rng.choice(words, 12).tolist()), int(rng.integers(0, 4))) for _ in range(300)]
+    plain = {}
+    for text, mark in rows:
+        for symbols in spelled(text):
+            for x in range(1, len(symbols)):
+                key = code_of(symbols[max(0, x + 1 - toxicity.ORDER) : x + 1])
+                plain.setdefault(key, [0] * 4)[mark] += 1
+    got, ends = {}, {}
+    for r in counted(spark, rows):
+        if r["kind"] == 0:
+            keys, counts = np.frombuffer(r["grams"], np.uint64), np.frombuffer(r["counts"], np.int64).reshape(-1, 4)
+            got |= dict(zip(keys.tolist(), counts.tolist(), strict=True))
+        elif r["kind"] == 2:
+            old = ends.get(r["key"], (0, 0))
+            ends[r["key"]] = (old[0] + r["x"], old[1] + r["y"])
+    assert got == plain
+    assert max(sum(n) for n in plain.values()) > 255
+    want = {}
+    limit = 64**toxicity.SHARED
+    for key, n in plain.items():
+        for v, own in enumerate((sum(n), n[0] + n[1])):
+            want.setdefault(key % limit, [0, 0])[v] += own if key < limit else bool(own)
+    assert {k: tuple(v) for k, v in want.items()} == ends
+
+
+def test_toxicity_model_is_the_plain_formula(spark):
+    """Evidence of words by tables = interpolated Kneser-Ney over plain dictionaries; broadcast and joined answers agree."""
     from curlew.llm.workspace import Workspace
 
     rng = np.random.default_rng(3)
-    few = [f"word{i}" for i in range(14)]
-    rows = [(i, t + " " + " ".join(rng.choice(few, 30).tolist()), x) for i, t, _, x in labelled(300)]
-    docs = spark.createDataFrame(rows, "doc long, text string, toxic int").repartition(4).cache()
-    ws = Workspace(spark, "toxicity-test")
-    counts = ws.write(docs.select("text", "toxic").mapInArrow(toxicity._count_pairs, toxicity.PAIR).repartition("v", "w").mapInArrow(toxicity._meet_pairs, toxicity.COUNT))
-    by_word = ws.write(counts.filter("kind = 0").groupBy("w").agg(*(F.sum(x).alias(x) for x in ("s", "c0", "c1"))))
-    totals = by_word.agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).first()
-    model = toxicity.Model(counts, by_word, totals, ws)
-    told = lambda head, x: pa.table({"doc": head.column("doc"), "e": pa.array(x[:, 0])})
-    got = {r["doc"]: r["e"] for r in model.over_chunks(docs, ["doc"], told, "doc long, e double").collect()}
-
-    contexts = [defaultdict(set), defaultdict(set)]
-    for _, t, x in rows:
-        words = [None, *t.split()]
-        for u, v, w in zip(words, words[1:], words[2:], strict=False):
-            contexts[x][v, w].add(u)
-    ends = [defaultdict(set), defaultdict(set)]
-    first = [defaultdict(int), defaultdict(int)]
-    for c in (0, 1):
-        for (v, w), us in contexts[c].items():
-            ends[c][w].add(v)
-            first[c][v] += len(us)
-    assert max(len(us) for us in contexts[0].values()) > toxicity.PAIR_DISCOUNT
-    spent = [defaultdict(float), defaultdict(float)]
-    for c in (0, 1):
-        for (v, _), us in contexts[c].items():
-            spent[c][v] += max(0, len(us) - toxicity.PAIR_DISCOUNT)
-    total = [sum(map(len, ends[c].values())) for c in (0, 1)]
-    rest = [1 - sum(max(0, len(x) - toxicity.WORD_DISCOUNT) for x in ends[c].values()) / total[c] for c in (0, 1)]
-    shared = model.shared.value
-    for i, t, _ in rows:
-        words, said = t.split(), []
-        data = np.frombuffer(t.encode(), np.uint8)
-        hashes, _ = toxicity.textbytes.word_hashes(data, np.array([0, len(data)]))
-        for at, w in enumerate(words):
-            p = [max(0, len(ends[c][w]) - toxicity.WORD_DISCOUNT) / total[c] + rest[c] * float(shared[int(hashes[at]) & (toxicity.BUCKETS - 1)]) for c in (0, 1)]
-            if at:
-                v = words[at - 1]
-                for c in (0, 1):
-                    n = max(1, first[c][v])
-                    p[c] = max(0, len(contexts[c][v, w]) - toxicity.PAIR_DISCOUNT) / n + (1 - spent[c][v] / n) * p[c]
-            said.append(math.log(p[1] / p[0]))
-        assert abs(np.mean(said) - got[i]) < 1e-4
+    words = ["than", "other", "mother", "smother", "extraordinarily", "scum", "vile", "a", "ing"]
+    rows = [(i, " ".join(rng.choice(words[: 9 if i % 3 else 6], 15).tolist()), int(i % 3 == 0)) for i in range(90)]
+    docs = spark.createDataFrame([(i, t + " unseen words") for i, t, _ in rows], "doc long, text string").repartition(4)
+    learned = spark.createDataFrame([(i, t, 1) for i, t, _ in rows], "doc long, text string, part int").repartition(4)
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc long, toxic int")
+
+    def padded(symbols, x):
+        return tuple(([0] * toxicity.ORDER + symbols[: x + 1])[-toxicity.ORDER :])
+
+    def ends(table, n):
+        """Continuation counts; grams that are no longer than the end keep their counts."""
+        out = {}
+        for gram, times in table.items():
+            out[gram[-n:]] = out.get(gram[-n:], 0) + (times if not any(gram[:-n]) else 1)
+        return out
+
+    def interpolated(table, gram, below):
+        off = toxicity.discounts([sum(v == r for v in table.values()) for r in range(1, 5)])
+        same = [n for g, n in table.items() if g[:-1] == gram[:-1] and n]
+        if not same:
+            return below
+        n = table.get(gram, 0)
+        return (n - off[min(n, 3)] + sum(off[min(x, 3)] for x in same) * below) / sum(same)
+
+    counts = ({}, {})
+    for i, text, toxic in rows:
+        for symbols in spelled(text):
+            for x in range(1, len(symbols)):
+                if zlib.crc32(str(i).encode()) % 5:
+                    gram = padded(symbols, x)
+                    counts[toxic][gram] = counts[toxic].get(gram, 0) + 1
+    levels = [ends({g: counts[0].get(g, 0) + counts[1].get(g, 0) for g in counts[0] | counts[1]}, toxicity.SHARED)]
+    for n in range(toxicity.SHARED - 1, 0, -1):
+        levels.append(ends(levels[-1], n))
+
+    def word_evidence(symbols):
+        total = 0.0
+        for x in range(1, len(symbols)):
+            gram, below = padded(symbols, x), 1 / 64
+            for n, level in enumerate(reversed(levels), 1):
+                below = interpolated(level, gram[-n:], below)
+            p = [interpolated(counts[c], gram, below) for c in (0, 1)]
+            total += math.log(p[1] / p[0])
+        return total
+
+    told = lambda head, x: pa.table({"doc": head.column("doc"), "x": pa.array(list(x), pa.list_(pa.float64()))})
+    values = {w: word_evidence(next(spelled(w))) for w in [*words, "unseen", "words"]}
+    for most in (1 << 20, 10):
+        model, _ = toxicity.learn(learned, labels, Workspace(spark, "toxicity-test"), most=most)
+        assert (model.table is None) == (most == 10)
+        got = {r["doc"]: r["x"] for r in model.over(docs, ["doc"], told, "doc long, x array<double>").collect()}
+        for i, t, _ in rows:
+            said = [values[w] for w in (t + " unseen words").split()]
+            assert abs(np.mean(said) - got[i][0]) < 1e-4 and abs(max(said) - got[i][2]) < 1e-4
 
 
 def test_toxicity_learns_from_every_learning_fold(spark):
@@ -274,14 +320,6 @@ def test_toxicity_learns_from_every_learning_fold(spark):
     assert np.mean([got[i] for i, _ in probes]) > 0.9
 
 
-def test_toxicity_counts_with_and_without_a_fold(spark):
-    """A context of both folds counts once in all and once outside the map's fold."""
-    rows = [(f"left{i} vile pair", code) for i in range(30) for code in ((0, 2) if i < 10 else (2,) if i < 20 else (0, 1, 3))]
-    pairs = spark.createDataFrame(rows, "text string, code int").repartition(4).mapInArrow(toxicity._count_pairs, toxicity.PAIR)
-    counts = pairs.repartition("v", "w").mapInArrow(toxicity._meet_pairs, toxicity.COUNT).filter("kind = 1").collect()
-    assert [(r["c0"], r["c1"], r["m0"], r["m1"]) for r in counts] == [(30, 10, 20, 10)]
-
-
 def test_pipeline_stages_keep_the_columns(spark, tmp_path, docs):
     import corpus_pipeline as p
 
