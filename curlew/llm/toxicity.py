@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 from curlew.llm import textbytes
 from curlew.llm.workspace import Workspace, bounded_batches
 
-ORDER = 10
+ORDER = 8
 SHARED = 3
 SPANS = (1, 4, 16)
 EXCESS = (2.0, 4.0)
 FIT_ROWS = 20000
 LABELS_FEW = 2_000_000
 CHUNK_BYTES = 32 << 20
-TABLE_MOST = 1 << 23
+TABLE_MOST = 1 << 22
 HELD = 1 << 22
 
 # Symbols of six bits: 0 ends a word, 1 stands before its first letter, 2 to 27 are letters, 28 digits, 29 to 31 other ASCII
@@ -353,6 +353,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float =
     return mean, scale, w
 
 
+def _columns(told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    if not told.num_rows:
+        return np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    return told.column("k").to_numpy().view(np.uint64), told.column("v").to_numpy()
+
+
 Finish = Callable[[pa.Table, np.ndarray], pa.Table]
 
 
@@ -382,11 +388,15 @@ class Model:
             size = table.count()
         self.table = self.rows = None
         if size <= most:
-            told = table.toArrow()
-            self.table = self.spark.sparkContext.broadcast(Table(told.column("k").to_numpy().view(np.uint64), told.column("v").to_numpy()))
+            self.table = self.spark.sparkContext.broadcast(Table(*_columns(table.toArrow())))
         else:
             self.rows = table
 
+    def drop(self) -> None:
+        """Frees what the executors hold of it."""
+        if self.table is not None:
+            self.table.unpersist()
+
     def over(self, docs: DataFrame, head: list[str], finish: Finish, schema: str) -> DataFrame:
         """finish(the head columns and text of a batch of docs (doc, text and others), the texts' features) of all docs."""
         if self.table is None:
@@ -433,9 +443,7 @@ class Model:
                     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), c))], names=["k", "chunk"])
 
         def answer(rows: pa.Table, told: pa.Table) -> pa.Table:
-            keys = told.column("k").to_numpy().view(np.uint64) if told.num_rows else np.zeros(0, np.uint64)
-            values = told.column("v").to_numpy() if told.num_rows else np.zeros(0, np.float32)
-            return finish(rows, features(rows.column("text"), Table(keys, values)))
+            return finish(rows, features(rows.column("text"), Table(*_columns(told))))
 
         told = docs.select("text", "chunk").mapInArrow(ask, "k long, chunk long").join(self.rows, "k").repartition(parts, "chunk")
         return docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, schema)
@@ -465,12 +473,14 @@ def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT
         key = ends.column("key").to_numpy().view(np.uint64)[times > 0]
         return Model(counts, stats, (key, shared_level(key, times[times > 0])), variant, ws, most)
 
-    model = model_of(0)
-    if model is None:
-        return None
     without = model_of(1)
-    if without is None:
-        return model, None
+    fit = fit_map(docs, known, without, fit_rows) if without else None
+    model = model_of(0)
+    return model and (model, fit)
+
+
+def fit_map(docs: DataFrame, known: DataFrame, without: Model, fit_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The logistic map on part 4, by the model without it; null if part 4 doesn't have both classes."""
 
     def measure(rows: pa.Table, x: np.ndarray) -> pa.Table:
         return pa.table({"x": pa.array(list(x), pa.list_(pa.float64())), "toxic": rows.column("toxic")})
@@ -478,10 +488,11 @@ def learn(docs: DataFrame, labels: DataFrame, ws: Workspace, fit_rows: int = FIT
     chosen = known.filter(F.crc32(F.col("doc").cast("string")) % 5 == 4).orderBy(F.xxhash64("doc"), "doc").limit(fit_rows).select("doc", "toxic")
     sample = docs.filter("part = 4").join(F.broadcast(chosen), "doc").select("doc", "text", F.col("toxic").cast("int"))
     rows = without.over(sample, ["toxic"], measure, "x array<double>, toxic int").limit(fit_rows).toPandas()
+    without.drop()
     if rows["toxic"].nunique() < 2:
-        return model, None
+        return None
     rows = rows.sort_values(["x", "toxic"], key=lambda c: c.map(tuple) if c.name == "x" else c)  # the fit doesn't depend on the order of tasks
-    return model, fit_logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float))
+    return fit_logistic(np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS, most: int = TABLE_MOST) -> DataFrame:
