@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curlew.llm import textbytes
+from curlew.llm.workspace import bounded_batches
 
 BUCKETS = 1 << 16
 FIT_ROWS = 4096
@@ -108,8 +109,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Null and empty texts have no features and get the grades' probabilities at w . x = 0. Null grades and ids of labels are
     left out; of several grades of one document the highest counts. Without two grades to tell apart, every text gets the
-    one grade there is, or grade 0.
+    one grade there is, or grade 0. Repeated rows are scored each; other columns play no part unless keep names them, and keep's
+    columns may have any names but those of the result.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     ratings = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
     grades, w, thresholds = fit(texts, ratings, fit_rows)
