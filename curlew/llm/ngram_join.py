@@ -30,16 +30,19 @@ from pyspark.sql import functions as F
 
 from curlew.llm import rtree, textbytes
 from curlew.llm.components import connected_components
-from curlew.llm.workspace import Workspace
+from curlew.llm.workspace import Workspace, bounded_batches
 
 BUCKETS = 1 << 21
 BLOCK = 512
 MORE = 10
 FEW_TARGETS = 50_000
+CROWD = 4096
+CROWDS_FEW = 100_000
 
 
-def _first_of_sets(h: np.ndarray, bounds: np.ndarray, seen: set[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per row: two sums that identify the set, and whether this task sees the set for the first time."""
+def _first_of_sets(h: np.ndarray, bounds: np.ndarray, seen: set[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row: two sums that identify the set, and whether this task sees the set for the first time; rows that aren't known
+    neither see nor count."""
     sums = []
     for factor in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(textbytes.mix(h * np.uint64(factor)), dtype=np.uint64)])
@@ -47,7 +50,7 @@ def _first_of_sets(h: np.ndarray, bounds: np.ndarray, seen: set[bytes]) -> tuple
     a, b = sums
     new = np.zeros(len(a), bool)
     for x, key in enumerate(np.column_stack([a, b]).astype(np.uint64)):
-        if bounds[x] < bounds[x + 1] and (key := key.tobytes()) not in seen:
+        if bounds[x] < bounds[x + 1] and (known is None or known[x]) and (key := key.tobytes()) not in seen:
             seen.add(key)
             new[x] = True
     return a.view(np.int64), b.view(np.int64), new
@@ -109,9 +112,9 @@ def _prefixes(k: int, num: int, den: int, level: np.ndarray, hot: np.ndarray, sa
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy()
             for i, j, h, r, bounds in textbytes.shingle_sets(batch.column(1), k):
-                _, _, new = _first_of_sets(h, bounds, seen)
+                _, _, new = _first_of_sets(h, bounds, seen, known[i:j])
                 n = np.diff(bounds)
-                length = np.where(new & known[i:j], n - (n * num + den - 1) // den + np.maximum(1, n // MORE), 0)
+                length = np.where(new, n - (n * num + den - 1) // den + np.maximum(1, n // MORE), 0)
                 order = np.lexsort((h, level[(h & np.uint64(BUCKETS - 1)).astype(np.int64)], r))
                 rank = np.arange(len(h)) - bounds[r]
                 take = order[rank < length[r]]
@@ -289,6 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with a null id get a null component. Other columns of docs play no part, whatever their names.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     ws = Workspace(spark, "ngram-join")
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     share = 0.005
@@ -307,8 +311,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # exact copies of a set: a forest of depth one
     valid = about.filter("doc is not null and n > 0")
-    first = valid.groupBy("a", "b").agg(F.min("doc").alias("v"))
-    copies = valid.join(first, ["a", "b"]).filter("doc <> v").select(F.col("doc").alias("u"), "v")
+    first = ws.write(valid.groupBy("a", "b").agg(F.min("doc").alias("v"), F.count("*").alias("m")).filter("m > 1"), "first-of-copies")
+    # large groups of copies aren't shuffled to one task; they are few (a checked count), and their firsts are broadcast
+    crowds = first.filter(F.col("m") > CROWD)
+    if 0 < crowds.count() <= CROWDS_FEW:
+        rest = valid.join(F.broadcast(crowds), ["a", "b"], "left_anti").join(first.filter(F.col("m") <= CROWD), ["a", "b"])
+        copies = valid.join(F.broadcast(crowds), ["a", "b"]).unionByName(rest)
+    else:
+        copies = valid.join(first, ["a", "b"])
+    copies = copies.filter("doc <> v").select(F.col("doc").alias("u"), "v")
 
     points = about.filter("doc is not null").select("doc", "n", "vec")
     dealt = docs.mapInArrow(_prefixes(k, num, den, level, hot, salts), "h long, salt int, doc long")
