@@ -11,11 +11,15 @@ sources' sizes; the sources' sizes are partial sums.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TEMPERATURE = 0.7
 SOURCES_FEW = 100_000
+LARGE = 500.0
+ADDED = ("copy", "mix_key")
 
 
 def uniform(*parts: Column) -> Column:
@@ -24,10 +28,16 @@ def uniform(*parts: Column) -> Column:
 
 
 def poisson_inverse(u: Column, mean: Column) -> Column:
-    """The least k with P(X <= k) > u for X Poisson distributed with the mean. No case is cut: for u below 1 - 2**-52 the sum
-    of the terms passes u before k = mean + 20 * sqrt(mean) + 40."""
-    far = F.ceil(mean + 20 * F.sqrt(mean) + 40).cast("int")
-    start = F.struct(F.lit(0).alias("k"), F.exp(-mean).alias("term"), F.exp(-mean).alias("total"))
+    """The least k with P(X <= k) > u for X Poisson distributed with the mean, of all k whose probability a number u of 52 bits can
+    tell from 0: for u below 1 - 2**-52 the sum of the terms passes u before k = mean + 9 * sqrt(mean) + 25. The terms are added
+    from k = 0; for means above LARGE, whose first terms are no doubles, from mean - 12 * sqrt(mean), below which all terms
+    together stay under 2**-52. The first of these terms is taken from its logarithm (Stirling's series)."""
+    far = F.ceil(mean + 9 * F.sqrt(mean) + 25).cast("int")
+    low = F.floor(mean - 12 * F.sqrt(mean))
+    series = low * F.log(low) - low + 0.5 * F.log(2 * math.pi * low) + 1 / (12 * low) - 1 / (360 * low * low * low)
+    first = F.when(mean <= LARGE, 0).otherwise(low).cast("int")
+    begin = F.when(mean <= LARGE, F.exp(-mean)).otherwise(F.exp(low * F.log(mean) - mean - series))
+    start = F.struct(first.alias("k"), begin.alias("term"), begin.alias("total"))
 
     def step(state: Column, k: Column) -> Column:
         term = state["term"] * mean / k
@@ -36,7 +46,7 @@ def poisson_inverse(u: Column, mean: Column) -> Column:
             F.when(more, k).otherwise(state["k"]).cast("int").alias("k"), F.when(more, term).otherwise(state["term"]).alias("term"), F.when(more, state["total"] + term).otherwise(state["total"]).alias("total")
         )
 
-    return F.aggregate(F.sequence(F.lit(1), far), start, step, lambda s: s["k"])
+    return F.aggregate(F.sequence(first + 1, far), start, step, lambda s: s["k"])
 
 
 def rates(docs: DataFrame, source_col: str = "source", text_col: str = "text", weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = 1.0) -> DataFrame:
@@ -59,8 +69,11 @@ def replicate(
     """docs' columns, then copy (from 1) and mix_key, in global order of (mix_key, id, copy) within hash-dealt partitions.
 
     Null sources are a source of their own. Rows with the same id get the same count; a null id hashes as the word null. Null
-    and empty texts have no size and are replicated like the rest of their source. An empty table gives an empty table.
+    and empty texts have no size and are replicated like the rest of their source. An empty table gives an empty table. Docs that
+    have a column named copy or mix_key are refused with ValueError; all other columns are kept as they are.
     """
+    if clash := [c for c in docs.columns if c.lower() in ADDED]:
+        raise ValueError(f"rename these columns, the result adds its own: {clash}")
     # few sources by nature; the count is checked, and beyond it both sides are shuffled
     found = rates(docs, source_col, text_col, weights, temperature, epochs).toDF("__source", "__rate")
     few = docs.select(F.col(f"`{source_col}`")).agg(F.approx_count_distinct(f"`{source_col}`").alias("n")).first()["n"] <= SOURCES_FEW
