@@ -17,10 +17,13 @@ import math
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curlew.llm.workspace import Workspace
+
 CAPACITY = 2048
 SHARD_PIECES = 20_000
 
@@ -143,6 +146,7 @@ def best_fit(
     are a duplicate cluster. Documents without words have one piece of no tokens, and no bin. Null ids are kept; null sources
     conflict with none.
     """
+    ws = Workspace(docs.sparkSession, "packing")
     words = F.filter(F.split(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     cluster = F.xxhash64(F.lower(F.array_join(words, " "))) if cluster_col is None else F.xxhash64(F.col(f"`{cluster_col}`"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), F.size(words).alias("size"), cluster.alias("cluster"))
@@ -154,20 +158,23 @@ def best_fit(
     copies = grouped.withColumn("copy", F.explode(F.sequence(F.col("first") + 1, F.col("first") + F.col("n"))))
     pieces = copies.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / capacity).cast("int") - 1))))
     pieces = pieces.select("doc_id", "copy", "source", "cluster", "piece", (F.col("piece") * capacity).alias("piece_start"), F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).cast("int").alias("n_tokens"), same.alias("same"))
-    total = docs.count()
-    shards = max(1, math.ceil(total / shard_pieces))
+    pieces = ws.write(pieces, "pieces")
+    shards = max(1, math.ceil(pieces.count() / shard_pieces))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("same", "copy", "piece"), F.lit(shards)).cast("int"))
 
-    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "copy", "piece", "same"], ascending=[False, True, True, True, True], na_position="last", kind="stable")
-        full = pdf["n_tokens"] > 0
-        where, start = pack(pdf.loc[full, "n_tokens"].tolist(), [None if pd.isna(s) else s for s in pdf.loc[full, "source"]], pdf.loc[full, "cluster"].tolist(), capacity, apart)
-        pdf["bin"] = pd.Series(where, index=pdf.index[full], dtype="Int64")
-        pdf["bin_start"] = pd.Series(start, index=pdf.index[full], dtype="Int64")
-        return pdf[["doc_id", "copy", "piece", "piece_start", "n_tokens", "shard", "bin", "bin_start"]]
+    def shard(table: pa.Table) -> pa.Table:
+        ids, tokens = table.column("doc_id").combine_chunks(), table.column("n_tokens").to_numpy()
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        order = np.lexsort((table.column("same").to_numpy(), table.column("piece").to_numpy(), table.column("copy").to_numpy(), ids.fill_null(0).to_numpy(), ~known, -tokens))
+        table = table.take(pa.array(order))
+        full = int((tokens > 0).sum())  # pieces without tokens come last
+        where, start = pack(*(table.column(c).slice(0, full).to_pylist() for c in ("n_tokens", "source", "cluster")), capacity, apart)
+        none = [None] * (table.num_rows - full)
+        out = table.select(["doc_id", "copy", "piece", "piece_start", "n_tokens", "shard"])
+        return out.append_column("bin", pa.array(where + none, pa.int64())).append_column("bin_start", pa.array(start + none, pa.int64()))
 
     schema = "doc_id long, copy int, piece int, piece_start int, n_tokens int, shard int, bin long, bin_start long"
-    return dealt.groupBy("shard").applyInPandas(shard, schema)
+    return dealt.groupBy("shard").applyInArrow(shard, schema)
 
 
 def check(rows: Iterator[dict], capacity: int) -> None:
