@@ -10,8 +10,8 @@ all but the earliest are repeats, first within a task, then over all tasks, so t
 once a task at most. Windows of an anchor with very many different segments are dealt one by one, by their own hash.
 
 Texts are UTF-8 bytes, null counts as empty, and matches never cross documents. The order is by id, then by start. Rows with
-a null id come back uncut and cut nothing else. Ids are taken as unique: equal rows under one id get the same result, and
-different texts under one id are each cut by the spans found in any of them.
+a null id come back uncut and cut nothing else. Equal rows under one id are one document and get the same result; different texts
+under one id are documents of their own, in the order of a hash.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curlew.llm import suffix, textbytes
-from curlew.llm.workspace import Workspace
+from curlew.llm.workspace import Workspace, bounded_batches
+from curlew.operators.splits import global_sums, range_bucket
 
 PIECE_BYTES = 32
 CHUNK = 1 << 19
@@ -334,8 +335,22 @@ def repeated_spans(docs: DataFrame, ws: Workspace, length: int = 100) -> DataFra
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, with_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of docs; with_text adds the bytes that are left."""
+    bounded_batches(docs.sparkSession)
     ws = Workspace(docs.sparkSession, "suffix-dedup")
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    spans = repeated_spans(docs, ws, length).groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    docs = _numbered(docs, ws)
+    spans = repeated_spans(docs.select("doc", "text"), ws, length).groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return docs.join(spans, "doc", "left").select("doc", "text", "spans").mapInArrow(_cut(with_text), schema)
+    return docs.join(spans, "doc", "left").select("id", "text", "spans").mapInArrow(_cut(with_text), schema)
+
+
+def _numbered(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """docs (id, text) with doc: the id, or, where an id has different texts, numbers in the order of ids that tell these apart."""
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.filter("id is not null").groupBy("id").agg(F.min(hashed).alias("a"), F.max(hashed).alias("b")).filter("a <> b")
+    if several.isEmpty():
+        return docs.withColumn("doc", F.col("id"))
+    marked = docs.withColumn("h", hashed)
+    ids = ws.write(marked.filter("id is not null").select("id", "h").distinct(), "ids")
+    ranked = ws.write(global_sums(ids, ["id", "h"], F.lit(1), "doc", range_bucket(ids, "id")), "numbers")
+    return marked.join(ranked, ["id", "h"], "left").select("id", "text", F.col("doc").cast("long"))
