@@ -7,12 +7,14 @@ mixed radix): each half is shifted by a hash of key, round and the other half. S
 documents, different values different ones, and a holder of the key can go back.
 
 Kinds and their validation:
-  email  local part of letters and digits before @ and a domain; letters and digits of the local part are permuted
+  email  local part with letters or digits before @ and a domain; letters and digits of the local part are permuted, a single one
+         is shifted by a number that depends on key and domain
   card   13 to 19 digits, single spaces or hyphens between, Luhn; of the runs from a group of digits on, the longest that passes; all but the check digit are permuted, which follows
   ip     four octets up to 255
   date   a day from 1900-01-01 to 2099-12-31 as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy
   ssn    three, two and four digits with hyphens, none of a range that isn't issued
-  phone  + and 8 to 15 digits, single separators between; all but the first two digits are permuted
+  phone  + and 8 to 15 digits (after +1: ten), single separators between; or a national number: area code from 2 up, three and
+         four digits, or 0, an area code and six to eight digits; all but the first two digits are permuted
   iban   two letters, check digits, 11 to 30 letters and digits, remainder 1 modulo 97; what follows the check digits is
          permuted, and they follow
 """
@@ -34,9 +36,11 @@ PATTERNS = {
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z+])\+(?:1(?:[ .()-]{0,2}[0-9]){10}(?![0-9])|[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9]))",
+    "national": r"(?<![0-9A-Za-z.+/-])(?<![0-9] )(?:(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[-. ])[2-9][0-9]{2}[-. ][0-9]{4}|0[1-9][0-9]{1,3}[ /-][0-9]{6,8})(?![0-9A-Za-z]|[ ./-][0-9])",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
+PHONE = r"^([+(]|[2-9][0-9]{2}[-. ][0-9]{3}[-. ][0-9]{4}$|0[1-9][0-9]{1,3}[ /-][0-9]{6,8}$)"
 CANDIDATE = "|".join(v for k, v in PATTERNS.items() if k != "card")
 # Cards are sought from every group of digits, at every group's end: a number beside a card doesn't hide it.
 CARD_BEGIN = r"(?:(?<![0-9A-Za-z.+-])|(?<=[0-9]-))"
@@ -179,21 +183,26 @@ def _phone(m: Column, key: str) -> Column:
     return let(_digits(m), number)
 
 
-def _letters_and_digits(text: Column, key: str) -> Column:
-    """Lower- and upper-case letters and digits permuted within their class; at least two of them are needed, else unchanged."""
+def _letters_and_digits(text: Column, key: str, tweak: Column) -> Column:
+    """Lower- and upper-case letters and digits permuted within their class. A single one is shifted within its class by a number
+    hashed from key and tweak; without any the result is null."""
     first = lambda c: F.when(c.rlike("[0-9]"), F.lit(48)).when(c.rlike("[A-Z]"), F.lit(65)).otherwise(F.lit(97))
 
     def moved(own: Column) -> Column:
         moduli = F.transform(own, lambda c: F.when(c.rlike("[0-9]"), F.lit(10)).otherwise(F.lit(26)).cast("long"))
         symbols = F.transform(own, lambda c: (F.ascii(c) - first(c)).cast("long"))
         spelled = F.zip_with(own, feistel(symbols, moduli, key), lambda a, b: F.char(first(a) + b))
-        return F.when(F.size(own) > 1, _put(F.split(text, ""), lambda c: ~c.rlike("[A-Za-z0-9]"), spelled)).otherwise(text)
+        number = F.conv(F.substr(F.sha2(F.concat_ws(":", F.lit(key), F.lit("one"), tweak), 256), F.lit(1), F.lit(8)), 16, 10).cast("long")
+        shifted = F.transform(own, lambda c, i: F.char(first(c) + (F.ascii(c) - first(c) + 1 + number % (F.element_at(moduli, i + 1) - 1)) % F.element_at(moduli, i + 1)))
+        put = lambda new: _put(F.split(text, ""), lambda c: ~c.rlike("[A-Za-z0-9]"), new)
+        return F.when(F.size(own) > 1, put(spelled)).when(F.size(own) == 1, put(shifted))
 
     return let(F.filter(F.split(text, ""), lambda c: c.rlike("[A-Za-z0-9]")), moved)
 
 
 def _email(m: Column, key: str) -> Column:
-    return F.concat(_letters_and_digits(F.substring_index(m, "@", 1), f"{key}:email"), F.lit("@"), F.substring_index(m, "@", -1))
+    domain = F.substring_index(m, "@", -1)
+    return F.concat(_letters_and_digits(F.substring_index(m, "@", 1), f"{key}:email", domain), F.lit("@"), domain)
 
 
 def _mod97(text: Column) -> Column:
@@ -208,7 +217,7 @@ def _iban(m: Column, key: str) -> Column:
     def checked(new: Column) -> Column:
         return F.concat(country, F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new)
 
-    return F.when(_mod97(F.concat(body, F.substr(m, F.lit(1), F.lit(4)))) == 1, let(_letters_and_digits(body, f"{key}:iban"), checked))
+    return F.when(_mod97(F.concat(body, F.substr(m, F.lit(1), F.lit(4)))) == 1, let(_letters_and_digits(body, f"{key}:iban", country), checked))
 
 
 MAKERS = {"email": _email, "card": _card, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "iban": _iban}
@@ -216,7 +225,7 @@ MAKERS = {"email": _email, "card": _card, "ip": _ip, "date": _date, "ssn": _ssn,
 
 def kind_of(m: Column) -> Column:
     """The kind whose pattern the candidate has."""
-    out = F.when(m.contains("@"), F.lit("email")).when(m.rlike("^[A-Z]"), F.lit("iban")).when(m.startswith("+"), F.lit("phone"))
+    out = F.when(m.contains("@"), F.lit("email")).when(m.rlike("^[A-Z]"), F.lit("iban")).when(m.rlike(PHONE), F.lit("phone"))
     out = out.when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})$"), F.lit("date"))
     return out.when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.lit("ssn")).when(m.contains("."), F.lit("ip")).otherwise(F.lit("card"))
 
@@ -224,8 +233,9 @@ def kind_of(m: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_cols: bool = True) -> DataFrame:
     """docs with the text's personal data replaced, and n_<kind>: how many of each kind were.
 
-    Null texts stay null and count 0; candidates that fail their validation stay as they are. Other columns pass unchanged;
-    a column of docs that is named like a count is replaced by it.
+    Null texts stay null and count 0; candidates that fail their validation stay as they are and aren't counted. Repeated rows
+    get equal results. Other columns pass unchanged; a column of docs that is named like a count is replaced by it. The key has
+    no default: whoever knows it can go back.
     """
     text = F.col("__text")
     step = docs.withColumn("__text", F.col(f"`{text_col}`").cast("string"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -67,7 +69,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curlew.llm.pii import pseudonymise
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, key=spark.conf.get("spark.curlew.pii.key", "an example key"))
+    # without a key of the session's own, one that is drawn for this run and kept nowhere
+    return pseudonymise(docs, key=spark.conf.get("spark.curlew.pii.key", None) or secrets.token_hex(32))
 
 
 def queries() -> dict:
