@@ -1,3 +1,4 @@
+import hashlib
 import json
 import math
 import os
@@ -90,6 +91,30 @@ def test_poisson_counts(spark):
         assert n == k
 
 
+def test_poisson_counts_of_large_means(spark):
+    """Inversion where exp(-mean) is no double: mean and variance are the mean, and single counts are right."""
+    for mean in (499.0, 501.0, 745.0, 1000.0, 20000.0):
+        u = spark.range(3000).select(mixing.uniform(F.lit(5), F.col("id")).alias("u"))
+        n = np.array([r[0] for r in u.select(mixing.poisson_inverse(F.col("u"), F.lit(mean))).collect()], float)
+        assert abs(n.mean() / mean - 1) < 4 / math.sqrt(mean * 3000) + 1e-9 and abs(n.var() / mean - 1) < 0.15, (mean, n.mean(), n.var())
+    logs = lambda mean, k: -mean + k * math.log(mean) - math.lgamma(k + 1)
+    for mean in (600.0, 5000.0):
+        for q in (1e-9, 0.1, 0.5, 0.9, 1 - 1e-9):
+            total, k = 0.0, max(0, int(mean - 12 * math.sqrt(mean)))
+            while True:
+                total += math.exp(logs(mean, k))
+                if total > q:
+                    break
+                k += 1
+            assert spark.range(1).select(mixing.poisson_inverse(F.lit(q), F.lit(mean))).first()[0] == k
+
+
+def test_mixing_refuses_its_own_names(spark, docs):
+    for name in ("copy", "mix_key", "Copy"):
+        with pytest.raises(ValueError, match="rename"):
+            mixing.replicate(docs.withColumn(name, F.lit(1)))
+
+
 def test_mixing_meets_its_weights(spark, docs, no_docs):
     rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit("x" * 10).alias("text"), F.lit(1).alias("rate"))
     out = mixing.replicate(rows, weights={"a": 3.0, "b": 1.0}).groupBy("source").count().toPandas().set_index("source")["count"]
@@ -136,6 +161,54 @@ def test_cards_beside_other_numbers(spark):
         assert len(r["text"]) == len(texts[x]) and r["n_date"] == (x == 4)
 
 
+def plain_feistel(symbols, moduli, key, back=False):
+    """The network of pii.feistel in plain Python, forth and back."""
+    state, n = list(symbols), len(symbols)
+    half = n // 2
+    for r in range(pii.ROUNDS - 1, -1, -1) if back else range(pii.ROUNDS):
+        other = state[half:] if r % 2 == 0 else state[:half]
+        digest = hashlib.sha512(":".join([key, str(r), str(n), ".".join(map(str, other))]).encode()).hexdigest()
+        stream = [int(digest[8 * i : 8 * i + 8], 16) for i in range(16)]
+        for i in range(half) if r % 2 == 0 else range(half, n):
+            state[i] = (state[i] + (-1 if back else 1) * stream[i % 16]) % moduli[i]
+    return state
+
+
+def test_pseudonyms_are_the_plain_network_and_can_be_undone(spark):
+    rng = np.random.default_rng(2)
+    cards, phones, names = [], [], []
+    for _ in range(40):
+        body = rng.integers(0, 10, int(rng.integers(12, 19))).tolist()
+        check = next(c for c in range(10) if luhn("".join(map(str, [*body, c]))))
+        cards.append("".join(map(str, [*body, check])))
+        phones.append("+49" + "".join(map(str, rng.integers(0, 10, 9))))
+        names.append("".join(rng.choice(list("abcxyzABZ0189"), int(rng.integers(2, 9)))) + "@example.com")
+    rows = spark.createDataFrame([(i, "; ".join(x)) for i, x in enumerate(zip(cards, phones, names, strict=True))], "doc_id long, text string")
+    got = [r["text"].split("; ") for r in pii.pseudonymise(rows, "key").orderBy("doc_id").collect()]
+    first = lambda c: 48 if c.isdigit() else 65 if c.isupper() else 97
+    for card, phone, name, (c, p, n) in zip(cards, phones, names, got, strict=True):
+        digits, ten = [int(x) for x in card[:-1]], [10] * (len(card) - 1)
+        assert plain_feistel(digits, ten, "key:card") == [int(x) for x in c[:-1]] and luhn(c)
+        assert plain_feistel([int(x) for x in c[:-1]], ten, "key:card", back=True) == digits
+        assert p[:3] == phone[:3] and plain_feistel([int(x) for x in p[3:]], [10] * (len(p) - 3), "key:phone", back=True) == [int(x) for x in phone[3:]]
+        own, new = name.split("@")[0], n.split("@")[0]
+        moduli = [10 if x.isdigit() else 26 for x in own]
+        assert plain_feistel([ord(x) - first(x) for x in new], moduli, "key:email", back=True) == [ord(x) - first(x) for x in own] and list(map(first, own)) == list(map(first, new))
+
+
+def test_short_names_and_national_numbers(spark):
+    texts = ["write to j@example.com or j@example.com, k@example.com and 7@example.org", "_@example.com", "call 555-234-7713 or (555) 234-7713 now, 0151 23456789", "+1 (217) 555-7713 12 and +1 217 555 7713", "version 123-456-7890 of 1.2.3.4 and 2024-02-29, 0151 2345", "555-234-7713-99 and 12 555 234 7713"]
+    got = [r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").orderBy("doc_id").collect()]
+    mails = [w.strip(",") for w in got[0]["text"].split() if "@" in w]
+    assert got[0]["n_email"] == 4 and mails[0] == mails[1] != mails[2] and mails[0][0] not in "jk" and mails[0][0].isalpha() and mails[3][0].isdigit() and mails[3][0] != "7"
+    assert (got[1]["text"], got[1]["n_email"]) == (texts[1], 0)
+    assert got[2]["n_phone"] == 3 and "234-7713" not in got[2]["text"] and "23456789" not in got[2]["text"] and len(got[2]["text"]) == len(texts[2])
+    digits = lambda t: "".join(c for c in t if c.isdigit())
+    ends = got[3]["text"].split(" and ")
+    assert got[3]["n_phone"] == 2 and ends[0].endswith(" 12") and digits(ends[0])[:-2] == digits(ends[1])
+    assert got[4]["n_phone"] == 0 and got[5]["text"] == texts[5]
+
+
 def test_pseudonyms_are_a_permutation(spark):
     ips = spark.range(3000).select(F.concat_ws(".", F.lit("10"), F.floor(F.col("id") / 200), F.lit("7"), F.col("id") % 200).alias("text"))
     assert pii.pseudonymise(ips, "k").select("text").distinct().count() == 3000
