@@ -389,13 +389,14 @@ class Model:
         self.table = self.rows = None
         if size <= most:
             self.table = self.spark.sparkContext.broadcast(Table(*_columns(table.toArrow())))
+            pa.default_memory_pool().release_unused()
         else:
             self.rows = table
 
     def drop(self) -> None:
-        """Frees what the executors hold of it."""
+        """Frees what driver and executors hold of it; nothing may read it any more."""
         if self.table is not None:
-            self.table.unpersist()
+            self.table.destroy()
 
     def over(self, docs: DataFrame, head: list[str], finish: Finish, schema: str) -> DataFrame:
         """finish(the head columns and text of a batch of docs (doc, text and others), the texts' features) of all docs."""
