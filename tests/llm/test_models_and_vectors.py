@@ -414,6 +414,113 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path, docs):
     assert seen[4].select("doc_id", "copy").distinct().count() == seen[3].count()
 
 
+def plain_poisson(u, mean):
+    term, total, k = math.exp(-mean), math.exp(-mean), 0
+    while total <= u:
+        k += 1
+        term *= mean / k
+        total += term
+    return k
+
+
+def test_pipeline_is_its_plain_stages(spark, tmp_path, texts):
+    """Null ids, repeated rows and ids, null, empty and long texts, extra columns with clashing names: each stage on its input
+    against plain loops."""
+    import base64
+    from collections import Counter, defaultdict
+
+    import corpus_pipeline as p
+    from test_text_operators import SECRETS, components, shingles
+
+    from curlew.llm import packing, secret_scan
+
+    rows = [(i, t, "en", ["s1", "s2", None][x % 3], None if t is None else len(t), x, "c", x, x) for x, (i, t) in enumerate(texts)]
+    rows += [(i, t, "de", "s9", 1, 0, "c", 0, 0) for i, t in ((7, SECRETS + " " + texts[0][1]), (7, "another text of the id seven"), (None, texts[0][1]), (None, texts[0][1]), (8, SECRETS), (8, SECRETS))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, copy long, mix_key string, doc long, h long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    ids = sorted({r[0] for r in rows if r[0] is not None})
+    spark.createDataFrame([(i, int(x % 9 > 0), 0) for x, i in enumerate(ids)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    now, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for name, stage in p.STAGES:
+        now = stage(spark, now, str(tmp_path))
+        now.write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        seen.append([tuple(r) for r in now.collect()])
+    # 1: what stays are whole rows of documents, judged by their text
+    assert not Counter(seen[0]) - Counter(r[:5] for r in rows) and {r[1] for r in seen[0]}.isdisjoint({r[1] for r in rows} - {r[1] for r in seen[0]})
+    # 2: one row of each group, all of null ids
+    sets = defaultdict(list)
+    for r in seen[0]:
+        if r[0] is not None:
+            sets[r[0]].append(shingles(r[1]))
+    keyed = {(i, x): own for i, several in sets.items() for x, own in enumerate(several)}
+    number = {k: n for n, k in enumerate(sorted(keyed))}
+    found = components({number[k]: own for k, own in keyed.items()})
+    parent = {n: n for n in found}
+
+    def top(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    back = {n: k for k, n in number.items()}
+    for n, c in [*found.items(), *((number[(i, x)], number[(i, 0)]) for i, x in keyed)]:
+        x, y = top(n), top(c)
+        parent[max(x, y)] = min(x, y)
+    stay = {back[top(n)][0] for n in found}
+    assert sorted(r[0] for r in seen[1] if r[0] is not None) == sorted(stay)
+    assert not Counter(seen[1]) - Counter(seen[0]) and Counter(r for r in seen[1] if r[0] is None) == Counter(r for r in seen[0] if r[0] is None)
+    # 3: findings are replaced
+    encode = secret_scan.encoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in open(secret_scan.VOCABULARY, "rb"))})
+
+    def clean(r):
+        text = r[1]
+        if text is None:
+            return r
+        base, out, done = secret_scan.base_spans(text), [], 0
+        for s, k, e in sorted(base + secret_scan.random_spans(text, encode, base, secret_scan.RATIO)):
+            if s >= done:
+                out += [text[done:s], f"[{secret_scan.KINDS[k]}]"]
+            done = max(done, e)
+        text = "".join([*out, text[done:]])
+        return (r[0], text, r[2], r[3], len(text))
+
+    assert Counter(seen[2]) == Counter(clean(r) for r in seen[1])
+    # 4: each row as often as its source's rate and its id's number say
+    sizes = Counter()
+    for r in seen[2]:
+        sizes[r[3]] += len(r[1] or "")
+    weight = {s: n**mixing.TEMPERATURE for s, n in sizes.items()}
+    rate = {s: sum(sizes.values()) * weight[s] / sum(weight.values()) / n if n else 1.0 for s, n in sizes.items()}
+    draw = lambda i: int(hashlib.md5(f"17:{'null' if i is None else i}".encode()).hexdigest()[:13], 16) / 16**13
+    want = Counter()
+    for r in seen[2]:
+        want[r] += plain_poisson(draw(r[0]), rate[r[3]])
+    assert Counter(seen[3]) == +want
+    # 5: pieces cover every token once, in bins that hold them
+    pieces = [dict(zip(("doc_id", "copy", "piece", "piece_start", "n_tokens", "shard", "bin", "bin_start"), r, strict=True)) for r in seen[4]]
+    packing.check(iter(pieces), packing.CAPACITY)
+    covered = Counter()
+    for x in pieces:
+        covered[x["doc_id"]] += x["n_tokens"]
+    tokens = Counter()
+    for r in seen[3]:
+        tokens[r[0]] += len((r[1] or "").split())
+    assert +covered == +tokens and {x["shard"] for x in pieces} == {0}
+    assert len({x["bin"] for x in pieces if x["bin"] is not None}) >= sum(tokens.values()) / packing.CAPACITY
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline as p
+
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, copy int")
+    empty.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert p.run(spark, str(tmp_path)).count() == 0
+    for _, stage in p.STAGES[:-1]:
+        assert stage(spark, empty, str(tmp_path)).columns == list(p.COLUMNS)
+
+
 def test_entry_lists_the_operators():
     import __spark_entry__
 
