@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from curlew.functions.responses import variant
 from curlew.schemas import ARGUMENT_KEYS, BOUNDS, MOST_INGESTED, MOST_RELATED
-from curlew.vocabulary import ALL_TOOLS, CURSOR_KEYS, ESCALATE_REASONS, RELATIONS, STOP_REASONS
+from curlew.vocabulary import ALL_TOOLS, CLASSES, CONFIDENCES, CURSOR_KEYS, ESCALATE_REASONS, RELATION_CLASSES, SOURCE_KINDS, STOP_REASONS
 
 
 def at(v: Column, path: str) -> Column:
@@ -75,6 +75,42 @@ def _first_bad(items: Column, problem) -> Column:
     return F.concat(first["p"], F.lit("["), first["i"], F.lit("]"))
 
 
+def whole_problem(v: Column, name: str) -> Column:
+    """An optional whole number from 1 up."""
+    return F.when(v.isNotNull() & ((kind(v) != "integer") | (F.try_variant_get(v, "$", "bigint") < 1)), f"invalid_{name}")
+
+
+def map_problem(v: Column, name: str) -> Column:
+    """An optional object with named strings for values."""
+    values = F.try_variant_get(v, "$", "map<string,variant>")
+    bad = F.exists(F.map_entries(values), lambda x: (x["key"] == "") | F.coalesce(kind(x["value"]) != "string", F.lit(True)))
+    return F.when(v.isNotNull() & F.when(kind(v) != "object", True).otherwise(F.coalesce(bad, F.lit(False))), f"invalid_{name}")
+
+
+def relation_problem(r: Column) -> Column:
+    """A relation that an action writes: a name of the closed table, a class, and proof unless the class is structural."""
+    name, cls = F.try_variant_get(r, "$.rel", "string"), F.try_variant_get(r, "$.class", "string")
+    given = lambda k: F.coalesce((kind(at(r, f"$.{k}")) == "string") & (F.length(F.trim(F.try_variant_get(r, f"$.{k}", "string"))) > 0), F.lit(False))
+    confidence = at(r, "$.confidence")
+    return F.coalesce(
+        F.when(kind(r) != "object", "invalid_relation"), exact_keys(r, ("class", "from", "rel", "to"), ("confidence", "evidence", "sequence", "why"), "relation_keys"),
+        *(text_problem(at(r, f"$.{k}"), f"relation_{k}") for k in ("from", "to", "rel", "class")),
+        F.when(~name.isin(*RELATION_CLASSES), "invalid_relation_rel"), F.when(~cls.isin(*CLASSES), "invalid_relation_class"),
+        *(text_problem(at(r, f"$.{k}"), f"relation_{k}", True) for k in ("why", "evidence")),
+        F.when((cls != "structural") & ~given("why") & ~given("evidence"), "unproven_relation"), F.when((cls != "structural") & ~given("confidence"), "missing_relation_confidence"),
+        F.when(confidence.isNotNull() & ~F.coalesce(F.try_variant_get(confidence, "$", "string").isin(*CONFIDENCES), F.lit(False)), "invalid_relation_confidence"),
+        whole_problem(at(r, "$.sequence"), "relation_sequence"),
+    )
+
+
+def provenance_problem(p: Column) -> Column:
+    return F.coalesce(
+        F.when(kind(p) != "object", "invalid_provenance"), exact_keys(p, ("observed_at", "source_agent", "source_kind"), ("causation_id", "correlation_id"), "provenance_keys"),
+        *(text_problem(at(p, f"$.{k}"), f"provenance_{k}") for k in ("source_agent", "observed_at")), *(text_problem(at(p, f"$.{k}"), f"provenance_{k}", True) for k in ("correlation_id", "causation_id")),
+        F.when(~F.coalesce(F.try_variant_get(p, "$.source_kind", "string").isin(*SOURCE_KINDS), F.lit(False)), "invalid_provenance_source_kind"),
+    )
+
+
 def memory_problem(m: Column) -> Column:
     arrays = {n: at(m, f"$.{n}") for n in ("dimensions", "entries", "relations", "evidence")}
     items = {n: F.try_variant_get(v, "$", "array<variant>") for n, v in arrays.items()}
@@ -82,16 +118,28 @@ def memory_problem(m: Column) -> Column:
     typed = [F.when(v.isNotNull() & (kind(v) != "array"), f"invalid_memory_{n}") for n, v in arrays.items()]
     shape = F.coalesce(F.when(m.isNull(), "missing_memory").when(kind(m) != "object", "invalid_memory"), *needed, *typed)
     entry = lambda e: F.coalesce(
-        F.when(kind(e) != "object", "invalid_entry"), text_problem(at(e, "$.id"), "entry_id"), text_problem(at(e, "$.kind"), "entry_kind"), text_problem(at(e, "$.text"), "entry_text"),
+        F.when(kind(e) != "object", "invalid_entry"), exact_keys(e, ("coordinates", "id", "kind", "text"), ("metadata",), "entry_keys"),
+        text_problem(at(e, "$.id"), "entry_id"), text_problem(at(e, "$.kind"), "entry_kind"), text_problem(at(e, "$.text"), "entry_text"),
         F.when(F.coalesce(F.size(F.try_variant_get(e, "$.coordinates", "array<variant>")), F.lit(0)) < 1, "missing_entry_coordinates"),
+        _first_bad(F.try_variant_get(e, "$.coordinates", "array<variant>"), coordinate), map_problem(at(e, "$.metadata"), "entry_metadata"),
+    )
+    times = ("observed_at", "occurred_at", "ingested_at", "valid_from", "valid_until")
+    coordinate = lambda c: F.coalesce(
+        F.when(kind(c) != "object", "invalid_coordinate"), exact_keys(c, ("dimension", "scope_id"), ("sequence", "rank", *times, "metadata"), "coordinate_keys"),
+        text_problem(at(c, "$.dimension"), "coordinate_dimension"), text_problem(at(c, "$.scope_id"), "coordinate_scope_id"),
+        *(whole_problem(at(c, f"$.{k}"), f"coordinate_{k}") for k in ("sequence", "rank")), *(text_problem(at(c, f"$.{k}"), f"coordinate_{k}", True) for k in times),
+        map_problem(at(c, "$.metadata"), "coordinate_metadata"),
+    )
+    rel = lambda r: relation_problem(r)
+    evidence = lambda x: F.coalesce(
+        F.when(kind(x) != "object", "invalid_evidence"), exact_keys(x, ("id", "text"), ("supports", "source", "time", "metadata"), "evidence_keys"),
+        text_problem(at(x, "$.id"), "evidence_id"), texts_problem(at(x, "$.supports"), "evidence_supports"), text_problem(at(x, "$.text"), "evidence_text"),
+        *(text_problem(at(x, f"$.{k}"), f"evidence_{k}", True) for k in ("source", "time")), map_problem(at(x, "$.metadata"), "evidence_metadata"),
     )
-    rel = lambda r: F.coalesce(
-        F.when(kind(r) != "object", "invalid_relation"), text_problem(at(r, "$.from"), "relation_from"), text_problem(at(r, "$.to"), "relation_to"),
-        F.when(~F.coalesce(F.try_variant_get(r, "$.rel", "string").isin(*RELATIONS), F.lit(False)), "invalid_relation_rel"), text_problem(at(r, "$.class"), "relation_class"),
-        F.when((F.try_variant_get(r, "$.class", "string") != "structural") & (at(r, "$.confidence").isNull() | (at(r, "$.why").isNull() & at(r, "$.evidence").isNull())), "unproven_relation"),
+    dimension = lambda d: F.coalesce(
+        F.when(kind(d) != "object", "invalid_dimension"), exact_keys(d, ("id", "kind"), ("title", "metadata"), "dimension_keys"),
+        text_problem(at(d, "$.id"), "dimension_id"), text_problem(at(d, "$.kind"), "dimension_kind"), text_problem(at(d, "$.title"), "dimension_title", True), map_problem(at(d, "$.metadata"), "dimension_metadata"),
     )
-    evidence = lambda x: F.coalesce(F.when(kind(x) != "object", "invalid_evidence"), text_problem(at(x, "$.id"), "evidence_id"), texts_problem(at(x, "$.supports"), "evidence_supports"), text_problem(at(x, "$.text"), "evidence_text"))
-    dimension = lambda d: F.coalesce(F.when(kind(d) != "object", "invalid_dimension"), text_problem(at(d, "$.id"), "dimension_id"), text_problem(at(d, "$.kind"), "dimension_kind"))
     inner = [_first_bad(items[n], f) for n, f in (("dimensions", dimension), ("entries", entry), ("relations", rel), ("evidence", evidence))]
     over = [F.when(F.size(items[n]) > most, f"memory_{n}_over_{most}") for n, most in MOST_INGESTED.items()]
     return F.coalesce(shape, F.when(F.size(items["entries"]) == 0, "empty_memory_entries"), *inner, *over)
@@ -118,7 +166,7 @@ def arguments_problem(tool: Column, a: Column) -> Column:
             elif key == "dry_run":
                 checks.append(F.when(v.isNull(), "missing_dry_run").when(kind(v) != "boolean", "invalid_dry_run"))
             elif key == "provenance":
-                checks.append(F.when(v.isNotNull() & (kind(v) != "object"), "invalid_provenance"))
+                checks.append(F.when(v.isNotNull(), provenance_problem(v)))
             else:
                 checks.append(text_problem(v, key, key in optional))
         out = F.when(tool == name, F.coalesce(*checks)).otherwise(out)

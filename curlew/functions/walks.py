@@ -18,6 +18,13 @@ HIDDEN_VALUES = (
     "writer_read_context_inspected", "writer_read_context_temporal", "writer_target_ref",
 )
 HIDDEN_PREFIXES = ("writer_candidate_", "writer_read_context_")
+# What refs begin with (those of topics mustn't reach a model) and what they hold.
+TOPIC_PREFIXES = ("incident:", "migration:", "bug:", "product:", "docs:", "about:", "evidence:", "question:run:", "turn:run:")
+RUN_PREFIXES = ("memoryarena:run:", "longmemeval:", "memoryagentbench:")
+REF_PARTS = (":subtask:", ":task:")
+# The parts of a trajectory that are aliased, and where a tool's prepared arguments stand.
+ALIASED = ("about", "visible_state", "target_action", "observed_outcome", "quality")
+PREPARED = {"kernel_write_memory": "draft_write.prepared_arguments", "kernel_ingest": "canonical_payload"}
 # Keys by which a cursor is visible.
 CURSOR_FIELDS = ("time", "sequence", "page_cursor")
 
@@ -57,14 +64,98 @@ def rewrite(value: object, f: Callable[[str], str]) -> object:
     return value
 
 
-def number_refs(refs: list[str], abouts: list[str]) -> dict[str, str]:
-    """ref_0001, about_0001, ... by first appearance."""
-    out: dict[str, str] = {}
-    for prefix, values in (("ref", refs), ("about", abouts)):
-        for v in values:
-            if v not in out:
-                out[v] = f"{prefix}_{sum(x.startswith(prefix + '_') for x in out.values()) + 1:04d}"
-    return out
+def is_ref(s: str) -> bool:
+    """Whether a string looks like a ref of recorded memory."""
+    return s.startswith(RUN_PREFIXES + TOPIC_PREFIXES) or any(part in s for part in REF_PARTS)
+
+
+def scopes(record: object) -> set[str]:
+    """All strings that name a scope: values of about, and of the lists abouts and candidate_abouts."""
+    found: set[str] = set()
+    stack = [record]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, list):
+            stack += x
+        elif isinstance(x, dict):
+            stack += x.values()
+            named = [x.get("about"), *(v for k in ("abouts", "candidate_abouts") if isinstance(x.get(k), list) for v in x[k])]
+            found.update(v for v in named if isinstance(v, str) and v)
+    return found
+
+
+def anonymised(trajectory: dict) -> dict:
+    """The trajectory with every scope and every string that looks like a ref numbered by first appearance (about_0001, ref_0001),
+    and ref_anonymization, which says how many there were. Keys keep their names and order."""
+    own = scopes(trajectory)
+    numbers: dict[str, dict[str, str]] = {"about": {}, "ref": {}}
+
+    def alias(s: str) -> str:
+        kind = "about" if s in own else "ref" if is_ref(s) else None
+        return s if kind is None else numbers[kind].setdefault(s, f"{kind}_{len(numbers[kind]) + 1:04d}")
+
+    parts = {k: rewrite(trajectory[k], alias) for k in ALIASED if k in trajectory and (k != "about" or isinstance(trajectory[k], str))}
+    return {**trajectory, **parts, "ref_anonymization": {"mode": "per_trajectory", "ref_count": len(numbers["ref"]), "about_count": len(numbers["about"])}}
+
+
+def _texts(*values: object) -> set[str]:
+    """The strings among values and in lists among them."""
+    return {x for v in values for x in (v if isinstance(v, list) else [v]) if isinstance(x, str)}
+
+
+def _dicts(value: object) -> list[dict]:
+    return [x for x in value if isinstance(x, dict)] if isinstance(value, list) else [value] if isinstance(value, dict) else []
+
+
+def visible_refs(state: dict) -> set[str]:
+    """The refs that a state shows: its own lists, what was read, the paths that were traced, and refs in prepared payloads."""
+    found = {x for k in ("current_ref", "trace_target_ref") if isinstance(x := state.get(k), str)}
+    for k in ("candidate_refs", "known_refs", "last_observed_refs"):
+        found |= _texts(state[k]) if isinstance(state.get(k), list) else set()
+    found |= _texts(*(d.get("ref") for d in _dicts(state.get("candidate_ref_details")) if not isinstance(d.get("ref"), list)))
+    read = state.get("read_context")
+    if isinstance(read, dict):
+        found |= _texts(*(read[k] for k in ("inspected_refs", "temporal_refs", "wake_refs", "ask_refs") if isinstance(read.get(k), list)))
+        for path in _dicts(read.get("trace_paths")) if isinstance(read.get("trace_paths"), list) else []:
+            found |= _texts(*(path[k] for k in ("from", "to") if isinstance(path.get(k), str)), *([path["refs"]] if isinstance(path.get("refs"), list) else []))
+    for k in ("draft_write", "canonical_payload"):
+        found |= {x for x in strings(state.get(k)) if is_ref(x)}
+    return found
+
+
+def target_refs(action: dict) -> set[str]:
+    """The refs that an action needs: a stop's evidence; of a call ref, from, to, the refs of its cursors, of what it connects to, and
+    both ends of the relations that it writes."""
+    if action.get("kind") == "stop":
+        return _texts(action["evidence"]) if isinstance(action.get("evidence"), list) else set()
+    args = action.get("arguments")
+    if action.get("kind") != "tool_call" or not isinstance(args, dict):
+        return set()
+    one = [args.get(k) for k in ("ref", "from", "to")]
+    one += [args[k].get("ref") for k in ("around", "at", "from") if isinstance(args.get(k), dict)]
+    one += [link.get("ref") for link in args["connect_to"] if isinstance(link, dict)] if isinstance(args.get("connect_to"), list) else []
+    memory = args.get("memory")
+    relations = memory.get("relations") if isinstance(memory, dict) else None
+    one += [r.get(k) for r in relations if isinstance(r, dict) for k in ("from", "to")] if isinstance(relations, list) else []
+    return {x for x in one if isinstance(x, str)}
+
+
+def prepared_problem(trajectory: dict, action: dict) -> str | None:
+    """Why an action that points at a prepared payload can't stand for the trajectory's target action, or null."""
+    tool, source = action.get("tool"), action.get("source")
+    if set(action) != {"kind", "tool", "source"}:
+        return "prepared_call_keys"
+    if PREPARED.get(tool) != source:
+        return "unsupported_payload_source"
+    payload = trajectory.get("visible_state")
+    for key in source.split("."):
+        payload = payload.get(key) if isinstance(payload, dict) else None
+    if not isinstance(payload, dict):
+        return "payload_not_visible"
+    target = trajectory.get("target_action")
+    if not isinstance(target, dict) or target.get("kind") != "tool_call" or target.get("tool") != tool:
+        return "payload_target_mismatch"
+    return None if payload == target.get("arguments") else "payload_differs_from_target"
 
 
 def alias_whole(value: object, names: dict[str, str]) -> object:

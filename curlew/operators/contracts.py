@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curlew.vocabulary import MODE_TOOLS
+from curlew.vocabulary import MODE_TOOLS, RELATION_CLASSES
 
 
 def violation(bad: Column, code: str, field: str | Column, message: Column | str) -> Column:
@@ -47,6 +47,12 @@ def _unknown_dimension(values: Column, known: Column, field: str) -> Column:
     return violation(first.isNotNull(), "unknown_dimension", field, F.concat(F.lit("dimension '"), first, F.lit("' is not in visible state")))
 
 
+def relation_facts(name: Column, cls: Column) -> tuple[Column, Column]:
+    """(quality, whether the class is allowed) of a relation by the closed table; null for names that aren't in it."""
+    pairs = lambda i: F.create_map(*(x for k, v in RELATION_CLASSES.items() for x in (F.lit(k), F.lit(v[0]) if i == 0 else F.array(*(F.lit(c) for c in v[1])))))
+    return F.try_element_at(pairs(0), name), F.array_contains(F.try_element_at(pairs(1), name), cls)
+
+
 def action_violations(row: Column) -> Column:
     """row: struct<about, mode, state, action> (schemas.py). The eight specifications in their fixed order."""
     state, action = row["state"], row["action"]

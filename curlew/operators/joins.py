@@ -17,6 +17,14 @@ def step_join(predictions: DataFrame, truth: DataFrame, key: str = "step_id", or
     return predictions.join(last_wins(truth, key, order) if order else truth, key)
 
 
+def same_id_join(predictions: DataFrame, truth: DataFrame, key: str = "trajectory_id") -> DataFrame:
+    """Pairs by position (line_no) whose ids have to be the same; a pair of different ids is an error, and so is a row without a partner."""
+    both = predictions.withColumnRenamed(key, "__said").join(truth, "line_no", "full_outer")
+    wrong = ~F.col("__said").eqNullSafe(F.col(key))
+    where = F.concat(F.lit("line "), F.col("line_no").cast("string"), F.lit(": ids differ"))
+    return both.withColumn(key, F.when(wrong, F.raise_error(where).cast("string")).otherwise(F.col(key).cast("string"))).drop("__said")
+
+
 def number_occurrences(df: DataFrame, key: str, order: str, name: str = "occurrence") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(order)))
 
@@ -28,6 +36,14 @@ def kth_pairs(raw: DataFrame, model: DataFrame, predictions: DataFrame, key: str
     return sides[2].join(both, [key, "occurrence"], "left")
 
 
+def without_overlap(train: DataFrame, other: DataFrame, digest: str) -> tuple[DataFrame, DataFrame]:
+    """overlap(), with an error where other had rows and keeps none."""
+    kept, dropped = overlap(train, other, digest)
+    if kept.isEmpty() and not dropped.isEmpty():
+        raise ValueError("every row of the other side is in the training rows")
+    return kept, dropped
+
+
 def overlap(train: DataFrame, other: DataFrame, digest: str) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped): rows of other whose digest train doesn't have, and those that it has."""
     seen = train.select(digest).distinct()

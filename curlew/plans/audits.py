@@ -138,6 +138,11 @@ def replay_stats(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("sessions"), F.count_if(F.col("tool").isNotNull()).alias("attempted"), F.count_if(F.col("outcome") == "completed").alias("completed"))
 
 
+def outcome_counts(rows: DataFrame, outcomes: Sequence[str]) -> DataFrame:
+    """(outcome, n) for all of outcomes, in any order."""
+    return reports.zero_filled(rows, "outcome", list(outcomes))
+
+
 def interleave(templates: Sequence[tuple[str, str]], targets: Sequence[str], extras: Sequence[str] = ()) -> list[str]:
     """Templates (target, slug): the first of each target, the extras, then the second of each, and so on."""
     by = {t: [s for target, s in templates if target == t] for t in targets}

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.functions import scores
+from curlew.functions import responses, scores, shapes
 from curlew.operators import reports
 from curlew.vocabulary import ALL_TOOLS
 
-#: The stages in order; the first that fails names why a row is dropped.
-STAGES = ("teacher_failed", "target_mismatch", "acceptance_failed", "contract_violated", "build_failed")
+# Why a row of a corpus is dropped, in the order in which it is looked at, and why a replayed call fails.
+STAGES = ("teacher_error", "teacher_truncation", "parse_failure", "target_mismatch", "semantic_mismatch", "contract_violation", "trajectory_build")
+REPLAY_FAILURES = ("transport", "protocol", "invalid_arguments", "malformed_response")
 
 
 def drop_reason(**failed: Column) -> Column:
@@ -20,6 +21,26 @@ def drop_reason(**failed: Column) -> Column:
     return F.coalesce(*(F.when(F.coalesce(failed[s], F.lit(False)), F.lit(s)) for s in STAGES if s in failed), F.lit(None).cast("string"))
 
 
+def target_matches(target: Column, action: Column) -> Column:
+    """Whether an action is of the kind that a scenario is meant to lead to: a tool's name, stop or escalate."""
+    return F.coalesce(F.when(action["kind"] == "tool_call", action["tool"] == target).otherwise(action["kind"] == target), F.lit(False))
+
+
+def acceptance_matches(action: Column, stop_reason: Column, cursor_kind: Column) -> Column:
+    """Whether an action meets what is expected of it beyond its target; what isn't expected is null."""
+    same = lambda wanted, found: F.when(wanted.isNull(), True).otherwise(F.coalesce(found == wanted, F.lit(False)))
+    return same(stop_reason, F.when(action["kind"] == "stop", action["reason"])) & same(cursor_kind, F.when(action["tool"] == "kernel_goto", action["arguments"]["cursor"]["kind"]))
+
+
+def build_reason(teacher: Column, target: Column, action: Column, stop_reason: Column, cursor_kind: Column, violations: Column, problem: Column) -> Column:
+    """The first stage that a decision fails, or null. teacher: null, or what went wrong in asking (shape, truncated, anything else);
+    problem: why the trajectory can't be built."""
+    return drop_reason(
+        teacher_error=teacher.isNotNull() & ~teacher.isin("shape", "truncated"), teacher_truncation=teacher == "truncated", parse_failure=teacher == "shape",
+        target_mismatch=~target_matches(target, action), semantic_mismatch=~acceptance_matches(action, stop_reason, cursor_kind), contract_violation=F.size(violations) > 0, trajectory_build=problem.isNotNull(),
+    )
+
+
 def decide(scenarios: DataFrame, recorded: DataFrame, prepared: str = "prepared_action") -> DataFrame:
     """scenarios with action: the prepared one, else the one recorded under the subject's hash. Only the others ask a provider."""
     return scenarios.join(recorded.select("subject_hash", F.col("action").alias("__recorded")), "subject_hash", "left").withColumn("action", F.coalesce(F.col(prepared), "__recorded")).drop("__recorded")
@@ -145,8 +166,22 @@ def replay_report(rows: DataFrame) -> DataFrame:
 
 
 def replay(actions: DataFrame, recorded: DataFrame) -> DataFrame:
-    """actions (step_id, action) with the outcome of their recorded response (step_id, ok, failure): calls without one fail."""
-    both = actions.join(recorded, "step_id", "left")
+    """actions (step_id, action) with outcome and reason by their recorded response (step_id, error, body), read as its tool's.
+
+    A call without a record or with an unknown error fails in transport; a body that is no JSON object by the protocol; one
+    that lacks refs which its tool's response must have is malformed.
+    """
+    both = actions.join(recorded, "step_id", "left").withColumn("__v", responses.variant(F.col("body")))
+    tool = F.col("action.tool")
+    refs = responses.observed_refs(tool, F.col("__v"), F.col("action.arguments.target"))
+    reason = F.when(F.col("error").isin(*REPLAY_FAILURES), F.col("error")).when(F.col("error").isNotNull() | F.col("body").isNull(), "transport")
+    reason = reason.when(F.coalesce(shapes.kind(F.col("__v")) != "object", F.lit(True)), "protocol").when(refs.isNull(), "malformed_response")
     call = F.col("action.kind") == "tool_call"
-    outcome = F.when(~call, "no_call").when(F.coalesce("ok", F.lit(False)), "success").otherwise("failed")
-    return both.withColumn("outcome", outcome).withColumn("reason", F.when(outcome == "failed", F.coalesce("failure", F.lit("no_recorded_response"))))
+    both = both.withColumn("reason", F.when(call, reason)).drop("__v")
+    return both.withColumn("outcome", F.when(~call, "no_call").when(F.col("reason").isNull(), "success").otherwise("failed"))
+
+
+def generation_rows(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """(case, generated, minimum, satisfied) for every case of least."""
+    found = least.join(rows.groupBy("case").agg(F.count("*").alias("generated")), "case", "left").select("case", F.coalesce("generated", F.lit(0)).alias("generated"), "minimum")
+    return found.withColumn("satisfied", F.col("generated") >= F.col("minimum"))

@@ -22,7 +22,8 @@ def outcomes(predictions: DataFrame, truth: DataFrame) -> DataFrame:
 def evaluate(spark: SparkSession, predictions: str, truth: str, least_pass_rate: float | None = None) -> dict[str, DataFrame | bool]:
     """report (one row), by_tool, violations by code, and passed. No prediction with a truth is an error."""
     said, broken = jsonl.read_predictions(spark, predictions)
-    scored = outcomes(said, jsonl.read_trajectories(spark, truth))
+    # read and scored once, for the reports below
+    scored = outcomes(said, jsonl.read_trajectories(spark, truth)).persist()
     if scored.isEmpty():
         raise ValueError("no prediction has a truth")
     report = reports.evaluation_report(scored, invalid=broken.count())
@@ -91,3 +92,15 @@ def restore_predictions(raw: DataFrame, model: DataFrame, predictions: DataFrame
     done = acting.mapInArrow(run, "step_id string, line_no long, raw string, failure string")
     silent = numbered.filter("not acts").select("step_id", "line_no", F.lit(None).cast("string").alias("raw"), F.lit("missing_action").alias("failure"))
     return done.filter("failure is null").drop("failure"), done.filter("failure is not null").unionByName(silent).drop("raw")
+
+
+def restore_summary(restored: DataFrame, failures: DataFrame) -> DataFrame:
+    """One row: selected, written, failures."""
+    good = restored.agg(F.count("*").alias("written"))
+    bad = failures.agg(F.count("*").alias("failures"))
+    return good.join(F.broadcast(bad)).select((F.col("written") + F.col("failures")).alias("selected"), "written", "failures")
+
+
+def failure_reasons(failures: DataFrame, column: str = "failure") -> DataFrame:
+    """(reason, n): how often each reason occurs; null counts as unknown."""
+    return reports.count_by(failures, F.col(column)).toDF("reason", "n")

@@ -10,65 +10,62 @@ from pyspark.sql import functions as F
 
 from curlew.functions import capabilities, labels, responses, walks
 from curlew.operators import dedup, joins, reports, splits
-from curlew.vocabulary import CAPABILITIES
-
-STATUS = "line_no long, step_id string, mode string, task_family string, grp string, drop_reason string, messages string, trajectory string"
-# What aliased messages mustn't begin with.
-RAW_PREFIXES = ("about:", "node:", "entry:", "ref:", "task:", "subtask:", "question:", "answer:", "evidence:")
-
-
-def refs_of(value: object) -> set[str]:
-    """The refs that an action points at, by the keys that hold refs."""
-    found: set[str] = set()
-    stack = [value]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, dict):
-            for k, v in x.items():
-                if k in ("ref", "target", "anchor", "from", "to") and isinstance(v, str):
-                    found.add(v)
-                else:
-                    stack.append(v)
-        elif isinstance(x, list):
-            stack += x
-    return found
-
-
-def visible_refs(state: dict) -> list[str]:
-    out = [state.get("current_ref"), state.get("trace_target_ref")]
-    for k in ("candidate_refs", "known_refs", "last_observed_refs"):
-        out += state.get(k) or []
-    out += [d.get("ref") for d in state.get("candidate_ref_details") or [] if isinstance(d, dict)]
-    return list(dict.fromkeys(x for x in out if isinstance(x, str)))
+from curlew.vocabulary import CAPABILITIES, CLOSED_TOOLS, PROFILE_TOOLS
+
+TOPIC_LEFT = "topic_prefix_left"
+STATUS = "line_no long, step_id string, mode string, task_family string, grp string, drop_reason string, messages string, trajectory string, model_trajectory string"
+#: The file that takes the rows of a drop reason.
+QUARANTINE = {
+    "target_ref_not_visible": "dropped_non_visible_target_refs", "target_cursor_not_visible": "dropped_non_visible_target_cursors",
+    "duplicate_model_row_cap": "dropped_duplicate_model_rows", "eval_model_row_overlap_with_train": "dropped_eval_model_row_overlap",
+}
 
 
 def build_row(t: dict, system: str, check_refs: bool = True, aliases: bool = True, most_refs: int = 64) -> tuple[str | None, str | None]:
     """(messages, null) or (null, why the trajectory is dropped)."""
+    return build(t, system, check_refs, aliases, most_refs)[:2]
+
+
+def build(t: dict, system: str, check_refs: bool = True, aliases: bool = True, most_refs: int = 64) -> tuple[str | None, str | None, str | None]:
+    """(messages, null, the trajectory as the model sees it) or (null, why the trajectory is dropped, null)."""
     state = t.get("visible_state") if isinstance(t.get("visible_state"), dict) else {}
     action = t.get("target_action")
     if not isinstance(action, dict):
-        return None, "missing_target_action"
-    if check_refs and action.get("kind") == "tool_call":
-        wanted = refs_of({k: v for k, v in (action.get("arguments") or {}).items() if k not in ("memory", "connect_to")})
-        if wanted - set(visible_refs(state)):
-            return None, "target_ref_not_visible"
-        cursors = set(walks.cursors(action.get("arguments") or {}))
-        if cursors - set(walks.cursors(state)):
-            return None, "target_cursor_not_visible"
+        return None, "missing_target_action", None
+    if check_refs:
+        if walks.target_refs(action) - walks.visible_refs(state):
+            return None, "target_ref_not_visible", None
+        if action.get("kind") == "tool_call" and set(walks.cursors(action.get("arguments") or {})) - set(walks.cursors(state)):
+            return None, "target_cursor_not_visible", None
     state = walks.sanitised(state)
     state = {**state, "operator_state": walks.operator_state(state)}
     if walks.unclean_paths(state, bool(t.get("request_hints_injected"))):
-        return None, "model_facing_state_not_clean"
-    state = walks.compacted(state, ("candidate_refs", "known_refs", "last_observed_refs", "candidate_ref_details"), most_refs)
+        return None, "model_facing_state_not_clean", None
+    t = {**t, "visible_state": state}
     if aliases:
-        names = walks.number_refs(visible_refs(state), [t["about"]] if isinstance(t.get("about"), str) else [])
-        state, action = walks.alias_whole(state, names), walks.alias_whole(action, names)
+        t = walks.anonymised(t)
+    state = walks.compacted(t["visible_state"], ("candidate_refs", "known_refs", "last_observed_refs", "candidate_ref_details"), most_refs)
     dump = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"))
     user = dump({"goal": t.get("goal"), "mode": t.get("mode"), "visible_state": state})
-    messages = [{"role": "system", "content": system}, {"role": "user", "content": user}, {"role": "assistant", "content": dump({"action": action})}]
-    if aliases and any(s.startswith(RAW_PREFIXES) for m in messages[1:] for s in walks.strings(json.loads(m["content"]))):
-        return None, "raw_prefix_left"
-    return json.dumps(messages, sort_keys=True, separators=(",", ":"), ensure_ascii=False), None
+    messages = [{"role": "system", "content": system}, {"role": "user", "content": user}, {"role": "assistant", "content": dump({"action": t["target_action"]})}]
+    if leaks(messages):
+        return None, TOPIC_LEFT, None
+    return json.dumps(messages, sort_keys=True, separators=(",", ":"), ensure_ascii=False), None, dump(t)
+
+
+def leaks(messages: list[dict]) -> list[str]:
+    """Prefixes of topics that are left in what a model reads or says; the system's message may name them."""
+    shown = [m["content"] for m in messages if m.get("role") in ("user", "assistant") and isinstance(m.get("content"), str)]
+    return [p for p in walks.TOPIC_PREFIXES if any(p in text for text in shown)]
+
+
+def prompt_problem(profile: str, system: str) -> str | None:
+    """Why a system prompt doesn't fit its profile, or null: it has to name each of the profile's tools and none that is closed to it."""
+    closed = [t for t in CLOSED_TOOLS[profile] if t in system]
+    if closed:
+        return f"prompt of {profile} names closed tools: {', '.join(closed)}"
+    lacking = [t for t in PROFILE_TOOLS[profile] if t not in system]
+    return f"prompt of {profile} lacks tools: {', '.join(lacking)}" if lacking else None
 
 
 def rows(trajectories: DataFrame, system: str, group_key: str = "about", **options) -> DataFrame:
@@ -79,10 +76,10 @@ def rows(trajectories: DataFrame, system: str, group_key: str = "about", **optio
             out = []
             for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 t = json.loads(raw)
-                messages, reason = build_row(t, system, **options)
+                messages, reason, model = build(t, system, **options)
                 group = t.get(group_key)
-                out.append((n, t.get("step_id"), t.get("mode"), t.get("task_family"), group if isinstance(group, str) and group else "unknown", reason, messages, raw))
-            kinds = [pa.int64(), *[pa.string()] * 7]
+                out.append((n, t.get("step_id"), t.get("mode"), t.get("task_family"), group if isinstance(group, str) and group else "unknown", reason, messages, raw, model))
+            kinds = [pa.int64(), *[pa.string()] * 8]
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=[f.split()[0] for f in STATUS.split(", ")])
 
     return trajectories.select("line_no", "raw").mapInArrow(run, STATUS)
@@ -92,9 +89,14 @@ def prepare(trajectories: DataFrame, system: str, ratio: float = 0.15, seed: int
     """STATUS columns with digest and split: train, eval or null for dropped rows, whose drop_reason says why.
 
     Groups go to one split as a whole. With a profile, eval first gets groups that cover its capabilities. Rows beyond
-    most_copies of one digest go, and eval rows whose messages train has.
+    most_copies of one digest go, and eval rows whose messages train has. A topic's prefix that is left in what a model sees fails
+    the job, wherever it is: such a corpus mustn't be trained on. So does a prompt that doesn't fit the profile.
     """
-    made = rows(trajectories, system, group_key, **options).withColumn("digest", F.sha2("messages", 256))
+    if profile and (problem := prompt_problem(profile, system)):
+        raise ValueError(problem)
+    made = rows(trajectories, system, group_key, **options)
+    leak = F.concat(F.lit("a topic's prefix is left in step "), F.coalesce("step_id", F.lit("without an id")))
+    made = made.withColumn("drop_reason", F.when(F.col("drop_reason") == TOPIC_LEFT, F.raise_error(leak)).otherwise(F.col("drop_reason"))).withColumn("digest", F.sha2("messages", 256))
     kept = made.filter("drop_reason is null")
     if most_copies is not None:
         capped = dedup.cap_duplicates(kept, "digest", "line_no", most_copies)
@@ -138,6 +140,32 @@ def target_distributions(tagged: DataFrame) -> DataFrame:
     return by_split.unionByName(by_split.groupBy("distribution", "label").agg(F.sum("n").alias("n")).withColumn("split", F.lit("all")))
 
 
+def artifacts(tagged: DataFrame) -> DataFrame:
+    """(artifact, line_no, raw): the lines of all files that a training set is published as, from what prepare gives.
+
+    Kept rows, their trajectories as they came and as the model sees them, and the bare messages, each by split and over all;
+    the rows of each drop reason with a file of its own; an audit line for every row with its status, split and reason.
+    """
+    messages = F.from_json("messages", "array<struct<content:string,role:string>>")
+    row = F.to_json(F.struct(F.col("step_id").alias("id"), "step_id", "task_family", "mode", messages.alias("messages")))
+    audit = F.to_json(F.struct("step_id", "mode", "task_family", F.col("grp").alias("group"), F.when(F.col("drop_reason").isNull(), "kept").otherwise("dropped").alias("status"), "split", "drop_reason"))
+    line = lambda name, raw: F.struct(name.alias("artifact") if not isinstance(name, str) else F.lit(name).alias("artifact"), raw.alias("raw"))
+    kept = []
+    for form, raw in (("{}", row), ("{}_trajectories", F.col("trajectory")), ("{}_model_trajectories", F.col("model_trajectory")), ("openai_{}", F.to_json(F.struct(messages.alias("messages"))))):
+        before, after = form.split("{}")
+        kept += [line(F.concat(F.lit(before), F.col("split"), F.lit(after)), raw), line(form.format("all"), raw)]
+    files = F.create_map(*(F.lit(x) for pair in QUARANTINE.items() for x in pair))
+    gone = F.try_element_at(files, F.col("drop_reason"))
+    none = F.array().cast("array<struct<artifact:string,raw:string>>")
+    lines = F.when(F.col("drop_reason").isNull(), F.array(*kept)).when(gone.isNotNull(), F.array(line(gone, F.col("trajectory")))).otherwise(none)
+    return tagged.select("line_no", F.inline(F.concat(F.array(line("debug_audit", audit)), lines))).select("artifact", "line_no", "raw")
+
+
+def write_artifacts(tagged: DataFrame, path: str) -> None:
+    """One folder of text lines for each artifact that has any, in one write."""
+    artifacts(tagged).select("artifact", F.col("raw").alias("value")).write.partitionBy("artifact").mode("errorifexists").text(path)
+
+
 def audit_no_gold(messages: DataFrame, patterns: dict[str, str]) -> DataFrame:
     """(line_no, pattern): a finding for each row and pattern that its messages match."""
     from curlew.functions.text import matches_any

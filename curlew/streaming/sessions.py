@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curlew.operators import contracts
+
 
 def ordered(session: str, order: str):
     return Window.partitionBy(session).orderBy(order)
@@ -65,6 +67,63 @@ def episode_drop(conflict: Column, covered: Column, expanded: Column, label: Col
     )
 
 
-def outcome_class(kind: Column, violations: Column, executed: Column) -> Column:
-    """Of a single step: what it was, or where it failed."""
-    return F.when(F.size(violations) > 0, "contract_rejected").when(kind == "stop", "completed").when(kind == "escalate", "escalated").when(executed, "completed").otherwise("tool_failed")
+def single_step(kind: Column, violations: Column, calls: Column, responded: Column) -> Column:
+    """The outcome of a session of one step: the contract comes first, then ends, then the budget, then the tool's response."""
+    return (
+        F.when(F.size(violations) > 0, "contract_violation").when(kind == "stop", "completed").when(kind == "escalate", "escalated")
+        .when(calls <= 0, "budget_exhausted").when(F.coalesce(responded, F.lit(False)), "completed").otherwise("mcp_execution_failure")
+    )
+
+
+def multi_step(requests: DataFrame, steps: DataFrame, session: str = "session_id", order: str = "step_idx") -> DataFrame:
+    """steps up to the one that ends its session, with current_about, calls_left, known_refs (before the step), violations and outcome.
+
+    requests: (session, about, mode, calls, state: schemas.STATE); steps: (session, order, action: schemas.ACTION, succeeded, refs),
+    recorded in order. A step is held against the state that the executed ones before it have left: their refs are known, each
+    call is spent, a successful wake moves the scope. A call without budget ends a session before its contract is looked at;
+    a violation, a stop and an escalation end it too. outcome is null for executed calls.
+    """
+    both = steps.join(requests, session)
+    before = ordered(session, order).rowsBetween(Window.unboundedPreceding, -1)
+    action = F.col("action")
+    calls, wakes = action["kind"] == "tool_call", (action["kind"] == "tool_call") & (action["tool"] == "kernel_wake")
+    woken = F.last(F.when(wakes & F.col("succeeded"), action["arguments"]["about"]), ignorenulls=True).over(before)
+    shown = F.flatten(F.collect_list(F.when(F.col("succeeded"), F.col("refs"))).over(before))
+    out = both.withColumns({
+        "calls_left": F.greatest(F.lit(0), F.col("calls") - F.coalesce(F.sum(calls.cast("int")).over(before), F.lit(0))),
+        "current_about": F.coalesce(woken, F.col("about")), "known_refs": F.array_union(F.col("state")["known_refs"], shown),
+    })
+    state = F.col("state").withField("known_refs", F.col("known_refs")).withField("budget.calls_remaining", F.col("calls_left").cast("long"))
+    scope = F.when(wakes, action["arguments"]["about"]).otherwise(F.col("current_about"))
+    out = out.withColumn("violations", contracts.action_violations(F.struct(scope.alias("about"), F.col("mode"), state.alias("state"), action.alias("action"))))
+    end = F.when(calls & (F.col("calls_left") <= 0), "budget_exhausted").when(F.size("violations") > 0, "contract_violation").when(action["kind"] == "stop", "completed").when(action["kind"] == "escalate", "escalated")
+    out = out.withColumn("outcome", end)
+    last = F.min(F.when(F.col("outcome").isNotNull(), F.col(order))).over(Window.partitionBy(session))
+    return out.withColumn("__last", last).filter(F.col("__last").isNull() | (F.col(order) <= F.col("__last"))).drop("__last", "about", "state", "calls")
+
+
+def session_outcomes(played: DataFrame, session: str = "session_id", order: str = "step_idx") -> DataFrame:
+    """(session, outcome, steps, calls_left, about) of what multi_step gives; a session that no step ends is unfinished."""
+    spent = (F.col("action")["kind"] == "tool_call") & F.col("outcome").isNull()
+    return played.groupBy(session).agg(
+        F.coalesce(F.max("outcome"), F.lit("unfinished")).alias("outcome"), F.count_if(spent).alias("steps"), (F.max_by(F.col("calls_left") - F.when(spent, 1).otherwise(0), order)).alias("calls_left"), F.max_by("current_about", order).alias("about"),
+    )
+
+
+def session_events(played: DataFrame, session: str = "session_id", order: str = "step_idx") -> DataFrame:
+    """(session, order, seq, event, kind, tool, class): the log of a session, two rows for a call that was executed, one for a step
+    that ends it, and a last one."""
+    action = F.col("action")
+    event = lambda name, seq, kind=None, tool=None, cls=None: F.struct(F.lit(seq).alias("seq"), F.lit(name).alias("event"), *(F.lit(None).cast("string").alias(n) if c is None else c.alias(n) for n, c in (("kind", kind), ("tool", tool), ("class", cls))))
+    predicted = event("action_predicted", 1, action["kind"], action["tool"])
+    seen = event("observation", 2, cls=F.when(F.col("succeeded"), "tool_response").otherwise("tool_error"))
+    done = event("session_complete", 3, cls=F.col("outcome"))
+    rows = F.when(F.col("outcome").isNull(), F.array(predicted, seen)).otherwise(F.array(predicted, done))
+    return played.select(session, order, F.inline(rows))
+
+
+def cross_accept(targets: Column, known: Column, conflict: Column) -> Column:
+    """struct<accepted, missing>: an episode over several scopes is kept if the refs that each target expects are known and no conflict
+    blocks; missing lists the scopes that lack some."""
+    missing = F.transform(F.filter(targets, lambda t: F.size(F.array_except(t["expected_refs"], known)) > 0), lambda t: t["about"])
+    return F.struct(((F.size(missing) == 0) & ~conflict).alias("accepted"), missing.alias("missing"))

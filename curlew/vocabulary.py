@@ -13,6 +13,14 @@ PROFILE_TOOLS = {
     "writer-exec": ("kernel_write_memory", "kernel_ingest"),
     "writer-orchestration": ("kernel_near", "kernel_trace", "kernel_inspect", "kernel_write_memory", "kernel_ingest"),
 }
+# Tools that a profile's prompt mustn't name.
+CLOSED_TOOLS = {
+    "read": ("kernel_write_memory", "kernel_ingest"),
+    "full": (),
+    "writer-pre-read": ("kernel_goto", "kernel_rewind", "kernel_forward", "kernel_trace", "kernel_write_memory", "kernel_ingest"),
+    "writer-exec": READ_TOOLS,
+    "writer-orchestration": ("kernel_wake", "kernel_ask", "kernel_goto", "kernel_rewind", "kernel_forward"),
+}
 
 # Reasons, kinds and codes.
 STOP_REASONS = ("answer_ready", "no_candidate", "budget_exhausted")
@@ -32,6 +40,22 @@ RELATIONS = (
     "scoped_to", "semantic_delta_from", "supersedes", "supports", "supports_answer", "total_of", "updates_state", "uses_background",
     "violates_constraint",
 )
+# Relations that an action may write, with their quality and the classes that each may have.
+RELATION_CLASSES = {
+    "follows": ("anemic", ("procedural",)), "answers": ("anemic", ("evidential",)), "uses_background": ("anemic", ("evidential",)),
+    "depends_on": ("rich", ("causal",)), "chosen_because": ("rich", ("causal", "motivational")), "semantic_delta_from": ("rich", ("causal",)),
+    "updates_state": ("rich", ("causal",)), "supports": ("rich", ("evidential",)), "supersedes": ("rich", ("evidential",)),
+    "contradicts": ("rich", ("evidential",)), "satisfies_constraint": ("rich", ("constraint",)), "violates_constraint": ("rich", ("constraint",)),
+    "contributes_to": ("rich", ("evidential",)), "excluded_from": ("rich", ("constraint",)), "checked_against": ("rich", ("constraint",)),
+    "derived_from": ("rich", ("evidential",)), "confirms_selection": ("rich", ("evidential", "motivational")), "restates": ("rich", ("evidential",)),
+    "corrects": ("rich", ("evidential",)), "component_of": ("rich", ("evidential",)), "total_of": ("rich", ("evidential",)),
+    "same_event_as": ("rich", ("evidential",)), "same_entity_as": ("rich", ("evidential",)), "qualifies_as": ("rich", ("evidential",)),
+    "matches_requirement": ("rich", ("constraint",)), "contains": ("structural", ("structural",)), "member_of": ("structural", ("structural",)),
+    "scoped_to": ("structural", ("structural",)),
+}
+CLASSES = ("structural", "causal", "motivational", "procedural", "evidential", "constraint")
+CONFIDENCES = ("high", "medium", "low", "unknown")
+SOURCE_KINDS = ("human", "agent", "projection", "derived")
 RELATION_ALIASES = {"conflict_with": "contradicts", "conflicts": "contradicts", "conflicts_with": "contradicts", "matches_question_item": "matches_requirement"}
 
 # The ten parts of a row score.

@@ -25,7 +25,7 @@ def test_group_keys(spark):
 
 
 def test_prepared_payloads_go_out_and_come_back(spark):
-    args = {"about": "a", "idempotency_key": "k", "dry_run": True, "memory": {"dimensions": [], "entries": [{"id": "e", "kind": "k", "text": "t", "coordinates": [{}]}]}}
+    args = {"about": "a", "idempotency_key": "k", "dry_run": True, "memory": {"dimensions": [], "entries": [{"id": "e", "kind": "k", "text": "t", "coordinates": [{"dimension": "d", "scope_id": "s"}]}]}}
     shown = pick(spark, audits.model_action(F.col("a"), "writer-exec"), a={"kind": "tool_call", "tool": "kernel_ingest", "arguments": args})
     assert json.loads(shown) == {"kind": "prepared_tool_call", "tool": "kernel_ingest", "source": "canonical_payload"}
 

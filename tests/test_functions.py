@@ -1,9 +1,13 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from curlew import vocabulary
 from curlew.functions import capabilities, hashing, responses, scores, shapes, text, walks
+from curlew.operators import contracts
+from curlew.plans import sft_prep
 
 
 def value(spark, column, **named):
@@ -107,10 +111,58 @@ ACTIONS = [
     ("[]", "action_not_object"),
     ('{"kind":"tool_call","tool":"kernel_ingest","arguments":{"about":"a","idempotency_key":"k","dry_run":true,"memory":{"dimensions":[],"entries":[{"id":"e","kind":"k","text":"t","coordinates":[{"dimension":"d","scope_id":"s"}]}]}}}', None),
     ('{"kind":"tool_call","tool":"kernel_ingest","arguments":{"about":"a","idempotency_key":"k","dry_run":true,"memory":{"dimensions":[],"entries":[]}}}', "empty_memory_entries"),
-    ('{"kind":"tool_call","tool":"kernel_ingest","arguments":{"about":"a","idempotency_key":"k","memory":{"dimensions":[],"entries":[{"id":"e","kind":"k","text":"t","coordinates":[{}]}]}}}', "missing_dry_run"),
+    ('{"kind":"tool_call","tool":"kernel_ingest","arguments":{"about":"a","idempotency_key":"k","memory":{"dimensions":[],"entries":[{"id":"e","kind":"k","text":"t","coordinates":[{"dimension":"d","scope_id":"s"}]}]}}}', "missing_dry_run"),
 ]
 
 
+def ingest(relations=(), **parts):
+    memory = {"dimensions": [{"id": "d", "kind": "k"}], "entries": [{"id": "e", "kind": "k", "text": "t", "coordinates": [{"dimension": "d", "scope_id": "s"}]}], "relations": list(relations), "evidence": []}
+    args = {"about": "a", "idempotency_key": "k", "dry_run": True, "memory": memory | parts.pop("memory", {})} | parts
+    return json.dumps({"kind": "tool_call", "tool": "kernel_ingest", "arguments": args})
+
+
+PROOF = {"why": "w", "confidence": "high"}
+coordinate = lambda **c: {"memory": {"entries": [{"id": "e", "kind": "k", "text": "t", "coordinates": [{"dimension": "d", "scope_id": "s"} | c]}]}}
+relation = lambda rel, cls="evidential", **more: {"from": "a", "to": "b", "rel": rel, "class": cls} | more
+ACTIONS += [
+    (ingest([relation(name, cls[0], **PROOF)]), None) for name, (_, cls) in vocabulary.RELATION_CLASSES.items()
+] + [
+    (ingest([relation(name, **PROOF)]), "invalid_relation_rel[0]") for name in ("contains_entry", "has_dimension", "has_evidence", "records", "supports_answer")
+] + [
+    (ingest([relation("answers", "vague", **PROOF)]), "invalid_relation_class[0]"),
+    (ingest([relation("contains", "structural")]), None),
+    (ingest([relation("answers", confidence="high")]), "unproven_relation[0]"),
+    (ingest([relation("answers", evidence="x")]), "missing_relation_confidence[0]"),
+    (ingest([relation("answers", evidence="x", confidence="sure")]), "invalid_relation_confidence[0]"),
+    (ingest([relation("contains", "structural", confidence="sure")]), "invalid_relation_confidence[0]"),
+    (ingest([relation("contains", "structural", why="")]), "invalid_relation_why[0]"),
+    (ingest([relation("contains", "structural", sequence=0)]), "invalid_relation_sequence[0]"),
+    (ingest([relation("contains", "structural", note="x")]), "relation_keys:missing=;unexpected=note[0]"),
+    (ingest(**coordinate(sequence=1, rank=2, observed_at="2024-01-01", metadata={"k": "v"})), None),
+    (ingest(**coordinate(sequence=True)), "invalid_coordinate_sequence[0][0]"),
+    (ingest(**coordinate(rank=0)), "invalid_coordinate_rank[0][0]"),
+    (ingest(**coordinate(valid_from=" ")), "invalid_coordinate_valid_from[0][0]"),
+    (ingest(**coordinate(metadata={"k": 1})), "invalid_coordinate_metadata[0][0]"),
+    (ingest(**coordinate(metadata=[])), "invalid_coordinate_metadata[0][0]"),
+    (ingest(**coordinate(extra=1)), "coordinate_keys:missing=;unexpected=extra[0][0]"),
+    (ingest(memory={"evidence": [{"id": "e", "text": "t", "supports": ["a"], "time": "x"}]}), None),
+    (ingest(memory={"evidence": [{"id": "e"}]}), "evidence_keys:missing=text;unexpected=[0]"),
+    (ingest(memory={"dimensions": [{"id": "d", "kind": "k", "title": ""}]}), "invalid_dimension_title[0]"),
+    (ingest(provenance={"source_kind": "agent", "source_agent": "x", "observed_at": "t"}), None),
+    (ingest(provenance={"source_kind": "robot", "source_agent": "x", "observed_at": "t"}), "invalid_provenance_source_kind"),
+    (ingest(provenance={"source_kind": "agent", "observed_at": "t"}), "provenance_keys:missing=source_agent;unexpected="),
+    (ingest(provenance=None), "invalid_provenance"),
+]
+
+
+def test_relation_table(spark):
+    rows = [(n, c) for n in [*vocabulary.RELATION_CLASSES, "has_evidence"] for c in vocabulary.CLASSES]
+    df = spark.createDataFrame(rows, "rel string, cls string")
+    for r in df.select("rel", "cls", *(x.alias(n) for x, n in zip(contracts.relation_facts(F.col("rel"), F.col("cls")), ("quality", "allowed"), strict=True))).collect():
+        known = vocabulary.RELATION_CLASSES.get(r["rel"])
+        assert (r["quality"], r["allowed"]) == ((known[0], r["cls"] in known[1]) if known else (None, None))
+
+
 def test_shape_codes(spark):
     df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(ACTIONS)], "i int, s string")
     got = {r["i"]: r["p"] for r in df.select("i", shapes.action_problem(responses.variant(F.col("s"))).alias("p")).collect()}
@@ -132,9 +184,79 @@ def test_capabilities(spark):
     assert {"writer.last_tool:none", "writer.candidate_role:current"} <= caps('{"mode":"writer_pre_read","visible_state":{"candidate_ref_details":[{"role":"current"}]},"target_action":{"kind":"stop"}}')
 
 
+VISIBLE = [
+    ({"current_ref": "r"}, {"r"}), ({"trace_target_ref": "r"}, {"r"}), ({"candidate_refs": ["r", 1]}, {"r"}), ({"known_refs": ["r"]}, {"r"}), ({"last_observed_refs": ["r"]}, {"r"}), ({"known_refs": "r"}, set()),
+    ({"candidate_ref_details": [{"ref": "r"}, {"ref": 1}, "x"]}, {"r"}), ({"read_context": {"inspected_refs": ["a"], "temporal_refs": ["b"], "wake_refs": ["c"], "ask_refs": ["d"], "other_refs": ["e"]}}, {"a", "b", "c", "d"}),
+    ({"read_context": {"trace_paths": [{"from": "a", "to": "b", "refs": ["c", 2]}, "x"]}}, {"a", "b", "c"}), ({"read_context": []}, set()),
+    ({"draft_write": {"prepared_arguments": {"deep": ["incident:1", "plain", {"x": "q:task:9"}]}}}, {"incident:1", "q:task:9"}), ({"canonical_payload": "docs:7"}, {"docs:7"}), ({"elsewhere": "docs:7"}, set()),
+]
+call = lambda **a: {"kind": "tool_call", "tool": "t", "arguments": a}
+TARGETS = [
+    ({"kind": "stop", "evidence": ["a", 1, "b"]}, {"a", "b"}), ({"kind": "stop", "evidence": "a"}, set()), ({"kind": "stop"}, set()), ({"kind": "escalate", "evidence": ["a"]}, set()),
+    (call(ref="a", **{"from": "b", "to": "c"}), {"a", "b", "c"}), (call(around={"ref": "a"}, at={"ref": "b"}, **{"from": {"ref": "c"}}), {"a", "b", "c"}), (call(connect_to=[{"ref": "a"}, {"ref": 3}, "x"]), {"a"}),
+    (call(memory={"relations": [{"from": "a", "to": "b"}, {"from": 1}, "x"], "entries": [{"id": "e", "ref": "f"}]}), {"a", "b"}), (call(target="a", anchor="b", nested={"ref": "c", "target": "d"}), set()), (call(memory=[]), set()),
+]
+
+
+@pytest.mark.parametrize("state, refs", VISIBLE)
+def test_every_source_of_visible_refs(state, refs):
+    assert walks.visible_refs(state) == refs
+
+
+@pytest.mark.parametrize("action, refs", TARGETS)
+def test_every_place_of_target_refs(action, refs):
+    assert walks.target_refs(action) == refs
+
+
+def test_refs_and_scopes_get_numbers():
+    for prefix in walks.TOPIC_PREFIXES + walks.RUN_PREFIXES:
+        assert walks.is_ref(prefix + "x") and not walks.is_ref("x " + prefix)
+    assert walks.is_ref("q:subtask:1") and walks.is_ref("q:task:1") and not walks.is_ref("task:1") and not walks.is_ref("node:1")
+    t = {
+        "about": "incident:7", "goal": "see incident:7", "id": "docs:1",
+        "visible_state": {"known_refs": ["docs:2", "node:1", "docs:3"], "candidate_abouts": ["team", "docs:2"], "abouts": "docs:9"},
+        "target_action": {"arguments": {"ref": "docs:3", "about": "team"}}, "quality": ["docs:2", "team"],
+    }
+    got = walks.anonymised(t)
+    # docs:2 is named as a scope as well, so it is one
+    assert got["about"] == "about_0001" and got["visible_state"] == {"known_refs": ["about_0002", "node:1", "ref_0001"], "candidate_abouts": ["about_0003", "about_0002"], "abouts": "ref_0002"}
+    assert got["target_action"]["arguments"] == {"ref": "ref_0001", "about": "about_0003"} and got["quality"] == ["about_0002", "about_0003"]
+    assert got["goal"] == t["goal"] and got["id"] == "docs:1" and got["ref_anonymization"] == {"mode": "per_trajectory", "ref_count": 2, "about_count": 3} and t["about"] == "incident:7"
+
+
+def test_topic_prefixes_never_reach_a_model():
+    say = lambda role, content: {"role": role, "content": content}
+    for prefix in walks.TOPIC_PREFIXES:
+        for role in ("user", "assistant"):
+            assert sft_prep.leaks([say(role, f'{{"k":"in the middle {prefix}x"}}')]) == [prefix]
+        assert sft_prep.leaks([say("system", prefix), say("user", "ref_0001"), say("assistant", "about_0001")]) == []
+        t = {"goal": f"look at {prefix}x", "visible_state": {}, "target_action": {"kind": "stop"}}
+        assert sft_prep.build_row(t, "system") == (None, sft_prep.TOPIC_LEFT)
+    assert sft_prep.build_row({"goal": "look", "visible_state": {"known_refs": ["docs:1"]}, "target_action": {"kind": "stop", "evidence": ["docs:1"]}}, "system")[1] is None
+    assert sft_prep.build_row({"goal": "look", "visible_state": {"known_refs": ["docs:1"]}, "target_action": {"kind": "stop", "evidence": ["docs:2"]}}, "system") == (None, "target_ref_not_visible")
+
+
+def test_prompts_fit_their_profiles():
+    for profile, tools in vocabulary.PROFILE_TOOLS.items():
+        assert sft_prep.prompt_problem(profile, "use " + ", ".join(tools)) is None
+        assert "lacks" in sft_prep.prompt_problem(profile, "use " + ", ".join(tools[1:]))
+        for closed in vocabulary.CLOSED_TOOLS[profile]:
+            assert "closed" in sft_prep.prompt_problem(profile, "use " + ", ".join([*tools, closed]))
+
+
+def test_prepared_payloads_equal_their_target():
+    args = {"about": "a", "x": [1, {"y": None}]}
+    t = {"visible_state": {"draft_write": {"prepared_arguments": args}}, "target_action": {"kind": "tool_call", "tool": "kernel_write_memory", "arguments": args}}
+    prepared = {"kind": "prepared_tool_call", "tool": "kernel_write_memory", "source": "draft_write.prepared_arguments"}
+    assert walks.prepared_problem(t, prepared) is None
+    assert walks.prepared_problem({**t, "target_action": {**t["target_action"], "arguments": {**args, "x": []}}}, prepared) == "payload_differs_from_target"
+    assert walks.prepared_problem({**t, "target_action": {"kind": "stop"}}, prepared) == "payload_target_mismatch"
+    assert walks.prepared_problem({**t, "visible_state": {}}, prepared) == "payload_not_visible" and walks.prepared_problem(t, {**prepared, "source": "canonical_payload"}) == "unsupported_payload_source"
+    assert walks.prepared_problem(t, {**prepared, "arguments": {}}) == "prepared_call_keys"
+
+
 def test_walks():
-    names = walks.number_refs(["b", "a", "b"], ["x"])
-    assert names == {"b": "ref_0001", "a": "ref_0002", "x": "about_0001"}
+    names = {"b": "ref_0001", "a": "ref_0002", "x": "about_0001"}
     raw = {"s": ["a", {"k": "b"}], "goal": "ab"}
     shown = walks.alias_whole(raw, names)
     assert shown == {"s": ["ref_0002", {"k": "ref_0001"}], "goal": "ab"}
