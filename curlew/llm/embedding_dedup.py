@@ -7,7 +7,9 @@ that may reach the threshold under the bound are computed again in double precis
 Which tiles. Equal vectors are collapsed first and counted, so that a group of copies costs one row. Vectors are assigned to
 their nearest of a bounded number of pivots. If x is nearest to p and y to q and their angle is at most d, then the angle of
 x and q is at most that of x and p plus 2 d: so x has to meet the vectors of q only then, and otherwise the pair is ruled
-out exactly. Each pair of cells is cut into tiles of about `tile` rows a side. Vectors without such structure all meet; then the work is that of all pairs, in tiles whose size doesn't grow.
+out exactly. Whether cells rule out enough is measured on a bounded sample; where they don't, all vectors are one cell, so that
+none is written once a cell. Each pair of cells is cut into tiles of about `tile` rows a side, to which vectors go as bytes of the
+type that they came in. Vectors without such structure all meet; then the work is that of all pairs, in tiles whose size doesn't grow.
 
 A tile returns, for its linked vectors only, how many they link with and the least member of their connected part of the
 tile, never the pairs.
@@ -26,8 +28,10 @@ from curlew.llm.components import connected_components
 from curlew.llm.workspace import Workspace
 
 THRESHOLD = 0.95
-TILE = 4096
+TILE = 8192
 MOST_PIVOTS = 256
+SAMPLE = 2048
+WORTH = 0.25
 SLACK = 1e-7
 
 
@@ -102,13 +106,13 @@ def least_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _tile(threshold: float):
+def _tile(threshold: float, kind: str):
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         order = np.lexsort((table.column("rep").to_numpy(), side))
         table = table.take(pa.array(order))
         side, rep, copies = side[order], table.column("rep").to_numpy(), table.column("copies").to_numpy()
-        x = unit(matrix(table.column("vector")))
+        x = unit(np.frombuffer(b"".join(table.column("vector").to_pylist()), kind).reshape(len(rep), -1).astype(np.float64))
         same = side[0] == side[-1]
         cut = 0 if same else int(np.searchsorted(side, 1))
         if same and not table.column("own")[0].as_py():  # a side whose partners have no rows in this tile
@@ -134,6 +138,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     through the id where it is the first of both. Rows with a null id link with nothing and have null in component_id and kept.
     """
     ws = Workspace(vectors.sparkSession, "embedding-dedup")
+    kind = "<f4" if "float" in vectors.schema[vector_col].dataType.simpleString() else "<f8"
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector"))
     good = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
     # adding zero turns -0.0 into 0.0, so that equal vectors have equal hashes
@@ -146,8 +151,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     parts = []
     for dim in dims:
         own = classes.filter(F.size("vector") == dim)
-        pivots = unit(np.array([r["vector"] for r in own.orderBy(F.xxhash64("key"), "key").limit(max(1, min(most_pivots, total // TILE))).collect()], float))
-        parts.append(_cells(own.select("rep", "copies", "vector"), pivots, dim, threshold))
+        wanted = max(1, min(most_pivots, total // tile))
+        some = unit(np.array([r["vector"] for r in own.orderBy(F.xxhash64("key"), "key").limit(wanted + (SAMPLE if wanted > 1 else 0)).collect()], float))
+        pivots = some[:wanted]
+        if len(some) > wanted and visits(some[wanted:], pivots, threshold)[1].sum() > WORTH * wanted * (len(some) - wanted):
+            pivots = some[:1]
+        parts.append(_cells(own.select("rep", "copies", "vector"), pivots, dim, threshold, kind))
     if not parts:
         met = ws.write(classes.select("rep", F.col("copies").alias("links"), F.col("rep").alias("root")).limit(0), "tiles")
     else:
@@ -171,7 +180,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             F.when(inner, (F.col("own_part") > F.col("other")).cast("int")).otherwise((~lower).cast("int")).alias("side"),
             (inner & (F.col("own_part") == F.col("other"))).alias("own"), "rep", "copies", "vector",
         )
-        met = ws.write(seats.groupBy("dim", "p", "q", "s", "t").applyInArrow(_tile(threshold), "rep long, links long, root long"), "tiles")
+        met = ws.write(seats.groupBy("dim", "p", "q", "s", "t").applyInArrow(_tile(threshold, kind), "rep long, links long, root long"), "tiles")
         ws.drop(cells)
     component = connected_components(ws, met.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counted = met.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -183,27 +192,35 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _cells(own: DataFrame, pivots: np.ndarray, dim: int, threshold: float) -> DataFrame:
-    """A row for each vector and each cell that it has to meet, its own among them."""
+def visits(x: np.ndarray, pivots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per unit vector its nearest pivot, and which pivots' cells it has to meet."""
     reach = 2 * math.acos(max(-1.0, min(1.0, threshold))) + 1e-6
+    angle = np.arccos(np.clip(x @ pivots.T, -1, 1))
+    home = angle.argmin(1)
+    return home, angle <= angle[np.arange(len(x)), home][:, None] + reach
+
+
+def _cells(own: DataFrame, pivots: np.ndarray, dim: int, threshold: float, kind: str) -> DataFrame:
+    """A row for each vector and each cell that it has to meet, its own among them; vectors as bytes."""
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            angle = np.arccos(np.clip(unit(matrix(batch.column(2))) @ pivots.T, -1, 1))
-            home = angle.argmin(1)
-            at, visit = np.nonzero(angle <= angle[np.arange(n), home][:, None] + reach)
+            vectors = matrix(batch.column(2))
+            home, meets = visits(unit(vectors), pivots, threshold)
+            at, visit = np.nonzero(meets)
+            raw = pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary())
             for a in range(0, len(at), 4096):
                 x = at[a : a + 4096]
                 took = batch.take(pa.array(x))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), dim, np.int32)), pa.array(home[x].astype(np.int32)), pa.array(visit[a : a + 4096].astype(np.int32)), took.column(0), took.column(1), took.column(2)],
+                    [pa.array(np.full(len(x), dim, np.int32)), pa.array(home[x].astype(np.int32)), pa.array(visit[a : a + 4096].astype(np.int32)), took.column(0), took.column(1), raw.take(pa.array(x))],
                     names=["dim", "home", "visit", "rep", "copies", "vector"],
                 )
 
-    return own.mapInArrow(run, "dim int, home int, visit int, rep long, copies long, vector array<double>")
+    return own.mapInArrow(run, "dim int, home int, visit int, rep long, copies long, vector binary")
 
 
 ORACLE = """

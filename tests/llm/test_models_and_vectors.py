@@ -47,6 +47,22 @@ def test_embedding_dedup_is_brute_force(spark, vectors):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_cells_where_they_rule_out_pairs(spark):
+    """Clusters keep cells of their own, random vectors don't; doubles and floats give all links either way."""
+    rng = np.random.default_rng(6)
+    clustered = np.concatenate([c + rng.normal(size=(60, 24)) * 0.02 for c in rng.normal(size=(5, 24))])
+    loose = rng.normal(size=(300, 24))
+    for x, kind in ((clustered, "double"), (clustered.astype(np.float32), "float"), (loose, "double")):
+        unit = embedding_dedup.unit(x.astype(float))
+        _, meets = embedding_dedup.visits(unit, unit[:6], 0.95)
+        if x is loose:
+            assert meets.mean() > embedding_dedup.WORTH
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>").repartition(3)
+        got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(rows, tile=48).collect()}
+        near = unit @ unit.T >= 0.95
+        assert got == {i: int(near[i].sum()) - 1 for i in range(len(x))}
+
+
 def test_quantisation_bounds_hold():
     rng = np.random.default_rng(1)
     x = embedding_dedup.unit(rng.normal(size=(200, 70)))
