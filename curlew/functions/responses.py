@@ -76,11 +76,6 @@ def wake_refs(v: Column) -> Column:
     return F.array_union(present(_strings(objects_at(v, "$.causal_spine"), "evidence_ref")), present(_strings(objects_at(v, "$.proof.evidence"), "source")))
 
 
-def written_refs(v: Column) -> Column:
-    """write: generated_refs[]."""
-    return F.coalesce(F.try_variant_get(v, "$.generated_refs", "array<string>"), F.array().cast("array<string>"))
-
-
 def observed_refs(tool: Column, v: Column, target: Column) -> Column:
     """The refs that a tool's response shows; writes show none."""
     return (

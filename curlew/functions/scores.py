@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curlew.vocabulary import SCORE_KEYS
-
 UINT32 = 4294967295
 
 
@@ -37,10 +35,6 @@ def row_score(valid: Column, parts: list[Column]) -> Column:
     return out
 
 
-def score_parts(score: Column) -> list[Column]:
-    return [score[k] for k in SCORE_KEYS]
-
-
 def verdict(has_before: Column, has_after: Column, before: Column, after: Column, exact_after: Column) -> Column:
     """Of a probe that two versions answered; scores of a missing version don't count."""
     return (
@@ -56,14 +50,6 @@ def window_labels(before_entries: Column, entries: Column, before_usual: int = 6
     return F.filter(F.array(F.when(over, F.lit("window:expand")), F.when(under, F.lit("window:shrink"))), lambda x: x.isNotNull())
 
 
-def presence(value: Column) -> Column:
-    return F.when(value.isNotNull(), "present").otherwise("absent")
-
-
-def array_shape(value: Column) -> Column:
-    return F.when(value.isNull(), "absent").when(F.size(value) == 0, "empty").otherwise("non_empty")
-
-
 def navigation_phase(last_tool: Column, observed: Column) -> Column:
     """The phase that the last tool and the number of observed refs leave a session in."""
     near = F.when(observed > 0, "after_near_with_observed_refs").otherwise("after_near_without_observed_refs")

@@ -281,3 +281,67 @@ def test_target_distributions(spark):
     for name, (train, held) in want.items():
         both = {k: train.get(k, 0) + held.get(k, 0) for k in {*train, *held}}
         assert (by[name].get("train", {}), by[name].get("eval", {}), by[name]["all"]) == (train, held, both), name
+
+
+def test_fan_out_gives_each_batch_to_all_sinks(spark):
+    seen = []
+    sinks.fan_out(lambda b, i: seen.append(("a", i, b.count())), lambda b, i: seen.append(("b", i, b.agg(F.sum("id")).first()[0])))(spark.range(4), 7)
+    assert seen == [("a", 7, 4), ("b", 7, 6)]
+
+
+def test_played_sessions_end_where_they_should(spark):
+    """Budget before contract, a wake moves the scope only if it succeeds, refs of failed calls stay unknown."""
+    from curlew import schemas
+
+    state = '{"known_refs":["n"],"known_dimensions":[]}'
+    requests = [("a", 3), ("b", 1), ("c", 9), ("d", 9)]
+    wake = json.dumps(call("wake", about="other"))
+    look = lambda ref: json.dumps(call("inspect", target=ref))
+    stop = json.dumps({"kind": "stop", "reason": "no_candidate"})
+    steps = [
+        ("a", 0, look("n"), True, ["m"]), ("a", 1, look("m"), False, ["k"]), ("a", 2, look("k"), True, []), ("a", 3, stop, True, []),  # k was never seen
+        ("b", 0, look("n"), True, []), ("b", 1, look("nowhere"), True, []), ("b", 2, stop, True, []),  # out of budget before the contract is looked at
+        ("c", 0, wake, False, []), ("c", 1, wake, True, []), ("c", 2, look("n"), True, []), ("c", 3, stop, True, []), ("c", 4, look("n"), True, []),
+        ("d", 0, look("n"), True, []),
+    ]
+    r = spark.createDataFrame(requests, "session_id string, calls int").select("session_id", "calls", F.lit("own").alias("about"), F.lit("read").alias("mode"), F.from_json(F.lit(state), schemas.STATE).alias("state"))
+    s = spark.createDataFrame(steps, "session_id string, step_idx int, raw string, succeeded boolean, refs array<string>").withColumn("action", F.from_json("raw", schemas.ACTION))
+    played = sessions.multi_step(r, s)
+    got = {(x["session_id"], x["step_idx"]): (x["outcome"], x["current_about"], x["calls_left"]) for x in played.collect()}
+    assert got == {
+        ("a", 0): (None, "own", 3), ("a", 1): (None, "own", 2), ("a", 2): ("contract_violation", "own", 1), ("b", 0): (None, "own", 1), ("b", 1): ("budget_exhausted", "own", 0),
+        ("c", 0): (None, "own", 9), ("c", 1): (None, "own", 8), ("c", 2): (None, "other", 7), ("c", 3): ("completed", "other", 6), ("d", 0): (None, "own", 9),
+    }
+    ends = {x["session_id"]: (x["outcome"], x["steps"], x["calls_left"], x["about"]) for x in sessions.session_outcomes(played).collect()}
+    assert ends == {"a": ("contract_violation", 2, 1, "own"), "b": ("budget_exhausted", 1, 0, "own"), "c": ("completed", 3, 6, "other"), "d": ("unfinished", 1, 8, "own")}
+    assert sessions.session_events(played).filter("session_id = 'c'").count() == 8
+
+
+def test_a_topic_that_is_left_fails_the_build(spark):
+    t = json.dumps({"step_id": "s", "goal": "look at incident:7", "mode": "read", "visible_state": {}, "target_action": {"kind": "stop"}})
+    rows = spark.createDataFrame([(1, t)], "line_no long, raw string")
+    with pytest.raises(Exception, match="topic's prefix is left in step s"):
+        sft_prep.prepare(rows, "system").collect()
+    with pytest.raises(ValueError, match="lacks tools"):
+        sft_prep.prepare(rows, "system", profile="read")
+
+
+def test_a_training_set_that_holds_all_eval_rows_is_an_error(spark):
+    rows = spark.createDataFrame([("a",), ("b",)], "digest string")
+    with pytest.raises(ValueError):
+        joins.without_overlap(rows, rows.limit(1), "digest")
+    kept, dropped = joins.without_overlap(rows, spark.createDataFrame([("b",), ("c",)], "digest string"), "digest")
+    assert [r[0] for r in kept.collect()] == ["c"] and [r[0] for r in dropped.collect()] == ["b"]
+
+
+def test_artifacts_of_a_training_set(spark, tmp_path):
+    made = [{"step_id": f"s{i}", "about": f"u{i % 5}", "mode": "read", "task_family": "t", "goal": f"look {i}", "visible_state": {"known_refs": [f"docs:{i}"]}, "target_action": {"kind": "stop", "reason": "answer_ready", "evidence": [f"docs:{i + i % 2}"]}} for i in range(20)]
+    tagged = sft_prep.prepare(spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(made)], "line_no long, raw string"), "system", ratio=0.3).cache()
+    sft_prep.write_artifacts(tagged, str(tmp_path / "out"))
+    found = {p.name.split("=")[1]: [json.loads(x) for f in p.glob("*.txt") for x in f.read_text().splitlines()] for p in (tmp_path / "out").glob("artifact=*")}
+    assert {k: len(v) for k, v in found.items() if "train" not in k and "eval" not in k} == {"all": 10, "all_trajectories": 10, "all_model_trajectories": 10, "openai_all": 10, "debug_audit": 20, "dropped_non_visible_target_refs": 10}
+    for form in ("{}", "{}_trajectories", "{}_model_trajectories", "openai_{}"):
+        assert len(found[form.format("train")]) + len(found[form.format("eval")]) == 10
+    assert all(set(x) == {"messages"} and [m["role"] for m in x["messages"]] == ["system", "user", "assistant"] for x in found["openai_all"])
+    assert {x["visible_state"]["known_refs"][0] for x in found["all_model_trajectories"]} == {"ref_0001"} and {x["about"] for x in found["all_model_trajectories"]} == {"about_0001"}
+    assert {x["status"] for x in found["debug_audit"]} == {"kept", "dropped"}
