@@ -40,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """A table as read, with __at: a row's place by file and row, which settles what an ORDER BY leaves open."""
+    row = F.col("_metadata.row_index")
+    return rows.withColumn("__at", F.struct(F.col("_metadata.file_path"), row) if len(rows.inputFiles()) > 1 else row)
+
+
 # Predictions joined to truths, scored, reported by tool with a null bucket
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, F.lit("tool_call")).otherwise(F.lit("stop")).alias("truth_kind"), "toxic")
@@ -599,7 +605,8 @@ def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 y AS (SELECT l_orderkey, list_concat(list_transform(p[1:2], lambda z: 'n' || z), list_transform(p[3:3], lambda z: 'bug:' || z)) AS seen, list_concat(list_transform(p[2:4], lambda z: 'n' || z), list_transform(s[1:1], lambda z: 'n' || z)) AS wanted FROM x)
 SELECT l_orderkey, array_to_string(list_sort(list_distinct(seen)), ',') AS visible, array_to_string(list_sort(list_distinct(wanted)), ',') AS needed, len(list_filter(list_distinct(wanted), lambda z: NOT list_contains(seen, z))) AS missing FROM y""")
 def target_refs_visible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("l"))
+    # lines of one number and part keep the table's order
+    lines = placed(table(spark, sf_dir, "lineitem")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "__at", "l_suppkey"))).alias("l"))
     named = lambda mark, column, a, n: F.transform(F.slice(F.transform("l", lambda z: z[column]), a, n), lambda z: F.concat(F.lit(mark), z.cast("string")))
     state = F.struct(named("n", "l_partkey", 1, 1).alias("known_refs"), F.struct(F.array(F.struct(named("n", "l_partkey", 2, 1).alias("refs"))).alias("trace_paths")).alias("read_context"), F.struct(F.array(named("bug:", "l_partkey", 3, 1)).alias("deep"), F.lit("n0").alias("no_ref")).alias("draft_write"))
     relations = F.transform(named("n", "l_partkey", 2, 3), lambda r: F.struct(r.alias("from"), F.lit(None).cast("string").alias("to")))

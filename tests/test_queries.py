@@ -45,6 +45,24 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
     assert rows(got) == rows(wanted)
 
 
+@pytest.mark.parametrize("files", [1, 2])
+def test_lines_of_one_number_and_part_keep_the_tables_order(spark, tmp_path, files):
+    lines = pd.DataFrame([(o, 1, 7, s) for o in range(40) for s in (90 - o, 50, 8 + 2 * o)], columns=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    path = tmp_path / "lineitem.parquet"
+    if files == 1:
+        lines.to_parquet(path)
+    else:
+        path.mkdir()
+        for i in range(files):
+            lines[i * 61 : (i + 1) * 61 if i + 1 < files else None].to_parquet(path / f"{i}.parquet")
+    con = duckdb.connect()
+    con.execute("SET threads = 1")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{path}{'/*.parquet' * (files > 1)}')")
+    got = queries.target_refs_visible(spark, str(tmp_path)).toPandas()
+    assert rows(got) == rows(con.execute(queries.SQL["target_refs_visible"]).df())
+    assert set(got[got.l_orderkey == 0].needed) == {"n7,n90"}
+
+
 def test_capability_cover_meets_the_minimum(spark, sf_dir):
     chosen = [r["grp"] for r in queries.capability_cover(spark, sf_dir).collect()]
     e = queries.table(spark, sf_dir, "events").toPandas()
