@@ -3,12 +3,16 @@ missing key, a null and a wrong type differ, and a boolean is no number."""
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantVal
 
+from curlew.functions import actions
 from curlew.functions.responses import variant
-from curlew.schemas import ARGUMENT_KEYS, BOUNDS, MOST_INGESTED, MOST_RELATED
-from curlew.vocabulary import ALL_TOOLS, CLASSES, CONFIDENCES, CURSOR_KEYS, ESCALATE_REASONS, RELATION_CLASSES, SOURCE_KINDS, STOP_REASONS
+from curlew.vocabulary import CURSOR_KEYS
 
 
 def at(v: Column, path: str) -> Column:
@@ -42,11 +46,6 @@ def text_problem(v: Column, name: str, optional: bool = False) -> Column:
     return F.when(v.isNull(), F.lit(None) if optional else F.lit(f"missing_{name}")).when(bad, f"invalid_{name}")
 
 
-def size_problem(v: Column, name: str, most: int, optional: bool = True) -> Column:
-    n = F.try_variant_get(v, "$", "bigint")
-    return F.when(v.isNull(), F.lit(None) if optional else F.lit(f"missing_{name}")).when((kind(v) != "integer") | (n < 1), f"invalid_{name}").when(n > most, f"{name}_over_{most}")
-
-
 def texts_problem(v: Column, name: str, most: int | None = None) -> Column:
     """An optional array of non-empty strings; the first bad element's index is named."""
     items = F.try_variant_get(v, "$", "array<variant>")
@@ -68,121 +67,20 @@ def cursor_problem(c: Column) -> Column:
     )
 
 
-def _first_bad(items: Column, problem) -> Column:
-    """The first element's problem with its index, or null."""
-    found = F.filter(F.transform(items, lambda x, i: F.struct(problem(x).alias("p"), i.alias("i"))), lambda z: z["p"].isNotNull())
-    first = F.try_element_at(found, F.lit(1))
-    return F.concat(first["p"], F.lit("["), first["i"], F.lit("]"))
-
-
-def whole_problem(v: Column, name: str) -> Column:
-    """An optional whole number from 1 up."""
-    return F.when(v.isNotNull() & ((kind(v) != "integer") | (F.try_variant_get(v, "$", "bigint") < 1)), f"invalid_{name}")
-
-
-def map_problem(v: Column, name: str) -> Column:
-    """An optional object with named strings for values."""
-    values = F.try_variant_get(v, "$", "map<string,variant>")
-    bad = F.exists(F.map_entries(values), lambda x: (x["key"] == "") | F.coalesce(kind(x["value"]) != "string", F.lit(True)))
-    return F.when(v.isNotNull() & F.when(kind(v) != "object", True).otherwise(F.coalesce(bad, F.lit(False))), f"invalid_{name}")
-
-
-def relation_problem(r: Column) -> Column:
-    """A relation that an action writes: a name of the closed table, a class, and proof unless the class is structural."""
-    name, cls = F.try_variant_get(r, "$.rel", "string"), F.try_variant_get(r, "$.class", "string")
-    given = lambda k: F.coalesce((kind(at(r, f"$.{k}")) == "string") & (F.length(F.trim(F.try_variant_get(r, f"$.{k}", "string"))) > 0), F.lit(False))
-    confidence = at(r, "$.confidence")
-    return F.coalesce(
-        F.when(kind(r) != "object", "invalid_relation"), exact_keys(r, ("class", "from", "rel", "to"), ("confidence", "evidence", "sequence", "why"), "relation_keys"),
-        *(text_problem(at(r, f"$.{k}"), f"relation_{k}") for k in ("from", "to", "rel", "class")),
-        F.when(~name.isin(*RELATION_CLASSES), "invalid_relation_rel"), F.when(~cls.isin(*CLASSES), "invalid_relation_class"),
-        *(text_problem(at(r, f"$.{k}"), f"relation_{k}", True) for k in ("why", "evidence")),
-        F.when((cls != "structural") & ~given("why") & ~given("evidence"), "unproven_relation"), F.when((cls != "structural") & ~given("confidence"), "missing_relation_confidence"),
-        F.when(confidence.isNotNull() & ~F.coalesce(F.try_variant_get(confidence, "$", "string").isin(*CONFIDENCES), F.lit(False)), "invalid_relation_confidence"),
-        whole_problem(at(r, "$.sequence"), "relation_sequence"),
-    )
-
-
-def provenance_problem(p: Column) -> Column:
-    return F.coalesce(
-        F.when(kind(p) != "object", "invalid_provenance"), exact_keys(p, ("observed_at", "source_agent", "source_kind"), ("causation_id", "correlation_id"), "provenance_keys"),
-        *(text_problem(at(p, f"$.{k}"), f"provenance_{k}") for k in ("source_agent", "observed_at")), *(text_problem(at(p, f"$.{k}"), f"provenance_{k}", True) for k in ("correlation_id", "causation_id")),
-        F.when(~F.coalesce(F.try_variant_get(p, "$.source_kind", "string").isin(*SOURCE_KINDS), F.lit(False)), "invalid_provenance_source_kind"),
-    )
-
+def action_problem(action: Column, allowed: Column | None = None) -> Column:
+    """Of an action as VARIANT: its first problem, or null. allowed: array of tools that the row may use.
 
-def memory_problem(m: Column) -> Column:
-    arrays = {n: at(m, f"$.{n}") for n in ("dimensions", "entries", "relations", "evidence")}
-    items = {n: F.try_variant_get(v, "$", "array<variant>") for n, v in arrays.items()}
-    needed = [F.when(arrays[n].isNull(), f"missing_memory_{n}") for n in ("dimensions", "entries")]
-    typed = [F.when(v.isNotNull() & (kind(v) != "array"), f"invalid_memory_{n}") for n, v in arrays.items()]
-    shape = F.coalesce(F.when(m.isNull(), "missing_memory").when(kind(m) != "object", "invalid_memory"), *needed, *typed)
-    entry = lambda e: F.coalesce(
-        F.when(kind(e) != "object", "invalid_entry"), exact_keys(e, ("coordinates", "id", "kind", "text"), ("metadata",), "entry_keys"),
-        text_problem(at(e, "$.id"), "entry_id"), text_problem(at(e, "$.kind"), "entry_kind"), text_problem(at(e, "$.text"), "entry_text"),
-        F.when(F.coalesce(F.size(F.try_variant_get(e, "$.coordinates", "array<variant>")), F.lit(0)) < 1, "missing_entry_coordinates"),
-        _first_bad(F.try_variant_get(e, "$.coordinates", "array<variant>"), coordinate), map_problem(at(e, "$.metadata"), "entry_metadata"),
-    )
-    times = ("observed_at", "occurred_at", "ingested_at", "valid_from", "valid_until")
-    coordinate = lambda c: F.coalesce(
-        F.when(kind(c) != "object", "invalid_coordinate"), exact_keys(c, ("dimension", "scope_id"), ("sequence", "rank", *times, "metadata"), "coordinate_keys"),
-        text_problem(at(c, "$.dimension"), "coordinate_dimension"), text_problem(at(c, "$.scope_id"), "coordinate_scope_id"),
-        *(whole_problem(at(c, f"$.{k}"), f"coordinate_{k}") for k in ("sequence", "rank")), *(text_problem(at(c, f"$.{k}"), f"coordinate_{k}", True) for k in times),
-        map_problem(at(c, "$.metadata"), "coordinate_metadata"),
-    )
-    rel = lambda r: relation_problem(r)
-    evidence = lambda x: F.coalesce(
-        F.when(kind(x) != "object", "invalid_evidence"), exact_keys(x, ("id", "text"), ("supports", "source", "time", "metadata"), "evidence_keys"),
-        text_problem(at(x, "$.id"), "evidence_id"), texts_problem(at(x, "$.supports"), "evidence_supports"), text_problem(at(x, "$.text"), "evidence_text"),
-        *(text_problem(at(x, f"$.{k}"), f"evidence_{k}", True) for k in ("source", "time")), map_problem(at(x, "$.metadata"), "evidence_metadata"),
-    )
-    dimension = lambda d: F.coalesce(
-        F.when(kind(d) != "object", "invalid_dimension"), exact_keys(d, ("id", "kind"), ("title", "metadata"), "dimension_keys"),
-        text_problem(at(d, "$.id"), "dimension_id"), text_problem(at(d, "$.kind"), "dimension_kind"), text_problem(at(d, "$.title"), "dimension_title", True), map_problem(at(d, "$.metadata"), "dimension_metadata"),
-    )
-    inner = [_first_bad(items[n], f) for n, f in (("dimensions", dimension), ("entries", entry), ("relations", rel), ("evidence", evidence))]
-    over = [F.when(F.size(items[n]) > most, f"memory_{n}_over_{most}") for n, most in MOST_INGESTED.items()]
-    return F.coalesce(shape, F.when(F.size(items["entries"]) == 0, "empty_memory_entries"), *inner, *over)
-
-
-def arguments_problem(tool: Column, a: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for name, (required, optional) in ARGUMENT_KEYS.items():
-        checks = [exact_keys(a, required, optional, "argument_keys")]
-        for key in (*required, *optional):
-            v = at(a, f"$.{key}")
-            if key in BOUNDS:
-                checks.append(size_problem(v, key, BOUNDS[key], key in optional))
-            elif key == "cursor":
-                checks.append(cursor_problem(v))
-            elif key == "cursor_key":
-                checks.append(F.when(~F.coalesce(F.try_variant_get(v, "$", "string").isin(*CURSOR_KEYS), F.lit(False)), "invalid_cursor_key"))
-            elif key == "dimensions":
-                checks.append(texts_problem(v, "dimensions"))
-            elif key == "related":
-                checks.append(texts_problem(v, "related", MOST_RELATED))
-            elif key == "memory":
-                checks.append(memory_problem(v))
-            elif key == "dry_run":
-                checks.append(F.when(v.isNull(), "missing_dry_run").when(kind(v) != "boolean", "invalid_dry_run"))
-            elif key == "provenance":
-                checks.append(F.when(v.isNotNull(), provenance_problem(v)))
-            else:
-                checks.append(text_problem(v, key, key in optional))
-        out = F.when(tool == name, F.coalesce(*checks)).otherwise(out)
-    return out
+    Arrow batches: as one expression the check is too large to be compiled. An action comes as JSON text, beside which its VARIANT stands
+    only where the text may hide a decimal: 5.0 is written as 5, and would pass for a whole number.
+    """
 
+    def run(texts: pa.Array, exact: pa.Array, tools: pa.Array) -> pa.Array:
+        values = (None if t is None else json.loads(t) if x is None else VariantVal(x["value"], x["metadata"]).toPython() for t, x in zip(texts.to_pylist(), exact.to_pylist(), strict=True))
+        return pa.array([actions.action_problem(v, ok) for v, ok in zip(values, tools.to_pylist(), strict=True)], pa.string())
 
-def action_problem(action: Column, allowed: Column | None = None) -> Column:
-    """Of an action as VARIANT: its first problem, or null. allowed: array of tools that the row may use."""
-    tool, args = F.try_variant_get(action, "$.tool", "string"), at(action, "$.arguments")
-    k = F.try_variant_get(action, "$.kind", "string")
-    outside = F.lit(None).cast("string") if allowed is None else F.when(~F.array_contains(allowed, tool), "tool_not_allowed")
-    call = F.coalesce(exact_keys(action, ("arguments", "kind", "tool"), (), "action_keys"), F.when(~F.coalesce(tool.isin(*ALL_TOOLS), F.lit(False)), "unknown_tool"), outside, F.when(kind(args) != "object", "arguments_not_object"), arguments_problem(tool, args))
-    reason = F.try_variant_get(action, "$.reason", "string")
-    stop = F.coalesce(exact_keys(action, ("kind", "reason"), ("answer", "evidence"), "action_keys"), F.when(~F.coalesce(reason.isin(*STOP_REASONS), F.lit(False)), "invalid_stop_reason"), text_problem(at(action, "$.answer"), "answer", True), texts_problem(at(action, "$.evidence"), "evidence"))
-    escalate = F.coalesce(exact_keys(action, ("kind", "reason", "target_model"), (), "action_keys"), F.when(~F.coalesce(reason.isin(*ESCALATE_REASONS), F.lit(False)), "invalid_escalate_reason"), text_problem(at(action, "$.target_model"), "target_model"))
-    return F.when(action.isNull() | (kind(action) != "object"), "action_not_object").when(k == "tool_call", call).when(k == "stop", stop).when(k == "escalate", escalate).otherwise("unknown_action_kind")
+    hides = F.schema_of_variant(action).rlike("DECIMAL|DOUBLE|FLOAT|VARIANT")
+    tools = F.lit(None).cast("array<string>") if allowed is None else allowed
+    return F.arrow_udf(run, "string")(F.to_json(action), F.when(hides, action), tools)
 
 
 def response_problem(text: Column) -> Column:

@@ -169,6 +169,16 @@ def test_shape_codes(spark):
     assert [got[i] for i in range(len(ACTIONS))] == [p for _, p in ACTIONS]
 
 
+def test_shape_check_is_a_small_plan_and_decimals_are_no_whole_numbers(spark):
+    near = '{"kind":"tool_call","tool":"kernel_near","arguments":{"anchor":"DECIMAL","limit":%s}}'
+    cases = [(near % "5", None), (near % "5.0", "invalid_limit"), (near % "5e0", "invalid_limit"), (near % 2**63, "invalid_limit"), (near % 2000, "limit_over_64"), ("5.0", "action_not_object"), ("null", "action_not_object"), ("{", "action_not_object")]
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(cases)], "i int, s string").select("i", responses.variant(F.col("s")).alias("v"))
+    found = df.select("i", shapes.action_problem(F.col("v")).alias("p"))
+    assert [r["p"] for r in found.orderBy("i").collect()] == [p for _, p in cases]
+    # as one expression the check took a millisecond a row
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 10_000
+
+
 @pytest.mark.parametrize("s, code", [("", "empty_response"), ('{"action":{"a":1}}', None), ('{"action":{', "incomplete_json"), ('{"action":{}} more', "extra_content_after_json"), ("hello", "invalid_json"), ("[1]", "json_not_object"), ('{"x":1}', "missing_or_extra_top_level_fields"), ('{"action":3}', "action_not_object")])
 def test_response_codes(spark, s, code):
     assert value(spark, shapes.response_problem(F.col("s")), s=s) == code
