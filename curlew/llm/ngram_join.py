@@ -301,13 +301,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     about = facts.filter("kind = 0")
     total = facts.filter("kind = 3").agg(F.sum("n")).first()[0] or 0
     level = np.zeros(BUCKETS, np.uint8)
-    for row in facts.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).toPandas().itertuples():
-        level[row.a] = min(255, int(4 * np.log2(1 + row.n)))
+    for row in facts.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).toArrow().to_pylist():
+        level[row["a"]] = min(255, int(4 * np.log2(1 + row["n"])))
     # at most (shingles per document) / share shingles can be this frequent
-    often = facts.filter("kind = 2").groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(8 * BLOCK, share * total)).toPandas()
-    hot = often["a"].to_numpy(np.int64).view(np.uint64)
+    often = facts.filter("kind = 2").groupBy("a").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(8 * BLOCK, share * total)).toArrow()
+    hot = often.column("a").to_numpy().view(np.uint64)
     order = np.argsort(hot)
-    hot, salts = hot[order], np.ceil(often["n"].to_numpy(np.int64)[order] / (4 * BLOCK)).astype(np.int64)
+    hot, salts = hot[order], np.ceil(often.column("n").to_numpy()[order] / (4 * BLOCK)).astype(np.int64)
 
     # exact copies of a set: a forest of depth one
     valid = about.filter("doc is not null and n > 0")

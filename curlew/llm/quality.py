@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from curlew.llm.workspace import bounded_batches
 BUCKETS = 1 << 16
 FIT_ROWS = 4096
 SCALE = 30.0
+#: Features that are multiplied at once in the fit.
+BLOCK = 1 << 18
 
 
 def _hashed(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -58,8 +61,11 @@ def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def fit_ordinal(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, y: np.ndarray, grades: int, steps: int = 250, rate: float = 0.3, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ascending thresholds by Adam on the whole sample; y in 0..grades-1, each present."""
+    """Weights and ascending thresholds by Adam on the whole sample; y in 0..grades-1, each present. rows ascend; sums are taken in blocks
+    of whole rows, so that no array beside the three is as long as they are."""
     n = len(y)
+    starts = np.append(np.searchsorted(rows, rows[::BLOCK]), len(rows))
+    cuts = [slice(a, b) for a, b in zip(starts, starts[1:], strict=False) if a < b]
     upto = np.cumsum(np.bincount(y, minlength=grades))[:-1] / n
     first = np.log(upto / (1 - upto))
     # thresholds are the first one and logarithms of the gaps, so that they stay in order
@@ -69,13 +75,19 @@ def fit_ordinal(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, y: np
         w, raw = params
         gaps = np.exp(raw[1:])
         edges = np.concatenate([[-np.inf], raw[0] + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
-        score = np.bincount(rows, shares * w[buckets], minlength=n)
+        score = np.zeros(n)
+        for x in cuts:
+            at = rows[x.start]
+            part = np.bincount(rows[x] - at, shares[x] * w[buckets[x]])
+            score[at : at + len(part)] = part
         low, high = 1 / (1 + np.exp(-np.clip(edges[y] - score, -40, 40))), 1 / (1 + np.exp(-np.clip(edges[y + 1] - score, -40, 40)))
         low[y == 0], high[y == grades - 1] = 0.0, 1.0
         p = np.maximum(high - low, 1e-9)
         d_low, d_high = low * (1 - low) / p, high * (1 - high) / p
         slope = (d_high - d_low) / n
-        g_w = np.bincount(buckets, shares * slope[rows], minlength=BUCKETS) + ridge * w
+        g_w = ridge * w
+        for x in cuts:
+            g_w += np.bincount(buckets[x], shares[x] * slope[rows[x]], minlength=BUCKETS)
         g_edge = (np.bincount(y, d_low, minlength=grades)[1:] - np.bincount(y, d_high, minlength=grades)[:-1]) / n
         after = np.cumsum(g_edge[::-1])[::-1]
         g_raw = np.concatenate([after[:1], after[1:] * gaps])
@@ -92,15 +104,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     """docs (doc, text), labels (doc, grade): (grades, weights, thresholds); weights are None with fewer than two grades."""
     known = labels.filter("doc is not null and grade is not null").groupBy("doc").agg(F.max("grade").alias("grade"))
     chosen = known.orderBy(F.xxhash64("doc"), "doc").limit(fit_rows)
-    sample = docs.join(F.broadcast(chosen), "doc").select("text", "grade").mapInArrow(_collect_features, "grade int, buckets binary, shares binary").limit(fit_rows).toPandas()
-    grades = sorted(sample["grade"].unique().tolist())
+    sample = docs.join(F.broadcast(chosen), "doc").select("text", "grade").mapInArrow(_collect_features, "grade int, buckets binary, shares binary").limit(fit_rows).toArrow()
+    graded = sample.column("grade").to_numpy()
+    grades = np.unique(graded).tolist()
     if len(grades) < 2:
         return grades or [0], None, None
-    buckets = [np.frombuffer(b, np.int32) for b in sample["buckets"]]
-    rows = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
-    shares = np.concatenate([np.frombuffer(b, np.float32) for b in sample["shares"]]).astype(float)
-    y = np.searchsorted(grades, sample["grade"].to_numpy())
-    w, thresholds = fit_ordinal(rows, np.concatenate(buckets).astype(np.int64), shares, y, len(grades))
+    buckets, shares = (np.concatenate([textbytes.text_buffer(c)[0].view(kind) for c in sample.column(name).chunks]) for name, kind in (("buckets", np.int32), ("shares", np.float32)))
+    rows = np.repeat(np.arange(len(graded), dtype=np.int32), pc.binary_length(sample.column("buckets")).to_numpy() // 4)
+    del sample
+    w, thresholds = fit_ordinal(rows, buckets, shares, np.searchsorted(grades, graded), len(grades))
+    pa.default_memory_pool().release_unused()
     return grades, w, thresholds
 
 

@@ -275,6 +275,24 @@ def test_thresholds_are_in_order():
     assert (np.diff(edges) > 0).all() and (np.diff(w[:4]) > 0).all()
 
 
+def test_ordinal_fit_works_in_blocks_of_whole_rows():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 2, 3000)
+    rows = np.repeat(np.arange(3000, dtype=np.int32), np.where(np.arange(3000) % 7 == 0, 0, 800))
+    buckets = np.where(rng.random(len(rows)) < 0.5, y[rows], rng.integers(2, 5000, len(rows))).astype(np.int32)
+    shares = np.full(len(rows), 0.04, np.float32)
+    tracemalloc.start()
+    w, edges = quality.fit_ordinal(rows, buckets, shares, y, 2, steps=20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert w[1] > 0 > w[0] and len(edges) == 1
+    assert peak < 8 * len(rows)  # less than one array of as many numbers as there are features
+    assert not quality.fit_ordinal(rows[:0], buckets[:0], shares[:0], y, 2, steps=2)[0].any()
+
+
+
 def test_toxicity(spark, rated, docs, no_docs):
     rows, labels, truth = rated
     got = {r["doc_id"]: r for r in toxicity.toxicity(rows, labels).collect()}
