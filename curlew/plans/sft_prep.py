@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from curlew.functions import capabilities, labels, responses, walks
 from curlew.operators import dedup, joins, reports, splits
+from curlew.sources import sinks
 from curlew.vocabulary import CAPABILITIES, CLOSED_TOOLS, PROFILE_TOOLS
 
 TOPIC_LEFT = "topic_prefix_left"
@@ -90,13 +91,15 @@ def prepare(trajectories: DataFrame, system: str, ratio: float = 0.15, seed: int
 
     Groups go to one split as a whole. With a profile, eval first gets groups that cover its capabilities. Rows beyond
     most_copies of one digest go, and eval rows whose messages train has. A topic's prefix that is left in what a model sees fails
-    the job, wherever it is: such a corpus mustn't be trained on. So does a prompt that doesn't fit the profile.
+    the job, wherever it is: such a corpus mustn't be trained on. So does a prompt that doesn't fit the profile. Rows and groups are
+    stored where driver and executors share files, since each is read many times.
     """
     if profile and (problem := prompt_problem(profile, system)):
         raise ValueError(problem)
     made = rows(trajectories, system, group_key, **options)
     leak = F.concat(F.lit("a topic's prefix is left in step "), F.coalesce("step_id", F.lit("without an id")))
     made = made.withColumn("drop_reason", F.when(F.col("drop_reason") == TOPIC_LEFT, F.raise_error(leak)).otherwise(F.col("drop_reason"))).withColumn("digest", F.sha2("messages", 256))
+    made = sinks.stored(made, "training-rows")
     kept = made.filter("drop_reason is null")
     if most_copies is not None:
         capped = dedup.cap_duplicates(kept, "digest", "line_no", most_copies)
@@ -114,7 +117,7 @@ def prepare(trajectories: DataFrame, system: str, ratio: float = 0.15, seed: int
         table = kept.groupBy("grp").agg(F.count("*").alias("rows")).join(counts, "grp", "left").orderBy(stable_shuffle_key(json_string(F.col("grp")), seed)).collect()
         chosen = splits.capability_cover([(r["grp"], r["rows"], r["caps"] or {}) for r in table], required)
         groups = groups.withColumn("split", F.when(F.col("grp").isin(*chosen), "eval").otherwise(F.col("split"))) if chosen else groups
-    tagged = made.join(groups, "grp", "left").withColumn("split", F.when(F.col("drop_reason").isNull(), F.col("split")))
+    tagged = made.join(sinks.stored(groups, "training-groups"), "grp", "left").withColumn("split", F.when(F.col("drop_reason").isNull(), F.col("split")))
     held = tagged.filter("split = 'eval'")
     stays, gone = joins.overlap(tagged.filter("split = 'train'"), held, "digest")
     columns = [*made.columns, "split"]

@@ -7,8 +7,6 @@ nested values, sessions, JSON payloads.
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -940,12 +938,7 @@ def compiled_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the readers, over files that the sinks write
 def _written(spark: SparkSession, rows: DataFrame, order: str, name: str) -> str:
     """The folder of lines (raw) of rows in order, among what driver and executors share; in local mode without it a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = f"file://{tempfile.gettempdir()}/curlew-lines"
-    path = f"{shared}/{name}-{uuid.uuid4().hex}"
+    path = sinks.shared_path(spark, name)
     sinks.write_lines(rows, path, order=order)
     return path
 

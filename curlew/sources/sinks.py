@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +33,23 @@ def write_lines(df: DataFrame, path: str, column: str = "raw", order: str | None
     out.select(F.col(column).alias("value")).write.mode(mode).text(path)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path among what driver and executors share; in local mode without it a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"file://{tempfile.gettempdir()}/curlew-lines"
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of its own: what reads it several times neither computes nor plans it again."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_lines(df: DataFrame, path: str, column: str = "raw") -> None:
     write_lines(df, path, column, mode="append")
 

@@ -345,3 +345,10 @@ def test_artifacts_of_a_training_set(spark, tmp_path):
     assert all(set(x) == {"messages"} and [m["role"] for m in x["messages"]] == ["system", "user", "assistant"] for x in found["openai_all"])
     assert {x["visible_state"]["known_refs"][0] for x in found["all_model_trajectories"]} == {"ref_0001"} and {x["about"] for x in found["all_model_trajectories"]} == {"about_0001"}
     assert {x["status"] for x in found["debug_audit"]} == {"kept", "dropped"}
+
+
+def test_training_rows_are_made_once(spark):
+    raw = json.dumps({"step_id": "s1", "about": "a", "goal": "g", "visible_state": {}, "target_action": {"kind": "stop", "reason": "answer_ready"}})
+    tagged = sft_prep.prepare(spark.createDataFrame([(1, raw)], "line_no long, raw string"), "system")
+    assert "MapInArrow" not in tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert tagged.count() == 1
