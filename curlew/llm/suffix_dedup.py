@@ -7,7 +7,12 @@ How strings are dealt to shards. Every `length`-byte window has an anchor: its l
 windows have equal anchors, so all windows around the same anchor go to one shard, as one segment of text. Only segments
 whose anchor occurs in different surroundings reach a suffix array. Segments that are equal as a whole are settled before:
 all but the earliest are repeats, first within a task, then over all tasks, so that copies and common passages are dealt
-once a task at most. Windows of an anchor with very many different segments are dealt one by one, by their own hash.
+once a task at most.
+
+What is open then is mostly text that shares an anchor and nothing more, and grows faster than the corpus. Its bytes are kept
+as runs, and cut and settled once more by pieces of four fifths of the length; only segments of that second cut whose piece occurs
+in different surroundings reach a suffix array. Windows of such a piece with very many different segments are dealt one by one,
+by their own hash.
 
 Texts are UTF-8 bytes, null counts as empty, and matches never cross documents. The order is by id, then by start. Rows with
 a null id come back uncut and cut nothing else. Equal rows under one id are one document and get the same result; different texts
@@ -32,23 +37,24 @@ from curlew.operators.splits import global_sums, range_bucket
 PIECE_BYTES = 32
 CHUNK = 1 << 19
 HELD = 1 << 21
-FEW = 2048
+FEW = 8192
 SHARD_BYTES = 1 << 21
 
 SEGMENT = "kind byte, key long, seg long, doc long, lo long, cnt long"
+RUNS = "doc long, at array<long>, size array<long>, data binary"
 
 
-def _segments_of(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _segments_of(data: np.ndarray, offsets: np.ndarray, length: int, piece: int = PIECE_BYTES) -> Iterator[tuple[np.ndarray, ...]]:
     """(anchor, segment hash, row, first window's start in the row, windows) for all windows of the rows."""
-    width = length - PIECE_BYTES + 1
+    width = length - piece + 1
     ends = offsets[1:]
     for c in range(0, max(0, len(data) - length + 1), CHUNK):
         e = min(c + CHUNK, len(data) - length + 1)
         part = data[c : e + length - 1]
         p = textbytes.prefix_hash(part)
         _, down = textbytes.powers(len(part))
-        m = len(part) - PIECE_BYTES + 1
-        pieces = textbytes.mix((p[PIECE_BYTES:] - p[:-PIECE_BYTES]) * down[:m])
+        m = len(part) - piece + 1
+        pieces = textbytes.mix((p[piece:] - p[:-piece]) * down[:m])
         least = (pieces & ~np.uint64((1 << 20) - 1)) | np.arange(m, dtype=np.uint64)
         size = 1
         while size * 2 <= width:
@@ -98,7 +104,30 @@ def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatc
     return _batch(1, textbytes.mix(doc.astype(np.uint64)).view(np.int64), np.zeros(len(doc)), doc, start, end)
 
 
-def _cut_segments(length: int):
+def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Rows (doc, text): documents, where in them the strings start, the strings' bytes and offsets. Null ids are left out."""
+    known = batch.column(0).is_valid()
+    if not known.to_numpy(zero_copy_only=False).all():
+        batch = batch.filter(known)
+    return batch.column(0).to_numpy(), np.zeros(batch.num_rows, np.int64), *textbytes.text_buffer(batch.column(1))
+
+
+def _flat(lists: pa.Array, *fields: str) -> tuple[np.ndarray, ...]:
+    """Bounds of the rows' lists, and their values: those of the fields, if they are structs."""
+    bounds = lists.offsets.to_numpy()
+    values = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+    return bounds - bounds[0], *((values.field(f) if f else values).to_numpy(zero_copy_only=False) for f in fields or ("",))
+
+
+def _runs(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """The same of rows of RUNS."""
+    bounds, at = _flat(batch.column(1))
+    _, size = _flat(batch.column(2))
+    data, _ = textbytes.text_buffer(batch.column(3))
+    return np.repeat(batch.column(0).to_numpy(), np.diff(bounds)), at, data, np.concatenate([[0], np.cumsum(size)])
+
+
+def _cut_segments(length: int, piece: int, strings=_texts):
     """Task: kind 0, the earliest of each different segment of the task; kind 1, spans (lo to cnt) of those that follow it."""
 
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -118,13 +147,9 @@ def _cut_segments(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            known = batch.column(0).is_valid()
-            if not known.to_numpy(zero_copy_only=False).all():
-                batch = batch.filter(known)
-            ids = batch.column(0).to_numpy()
-            data, offsets = textbytes.text_buffer(batch.column(1))
-            for key, seg, row, lo, cnt in _segments_of(data, offsets, length):
-                held.append((key.view(np.int64), seg.view(np.int64), ids[row], lo, cnt))
+            ids, at, data, offsets = strings(batch)
+            for key, seg, row, lo, cnt in _segments_of(data, offsets, length, piece):
+                held.append((key.view(np.int64), seg.view(np.int64), ids[row], at[row] + lo, cnt))
                 n += len(key)
                 if n > HELD:
                     yield from settle(held)
@@ -188,24 +213,55 @@ def _meet_segments(length: int):
     return run
 
 
-def _slices(length: int, shards: int):
-    """Task: (shard, doc, lo, bytes) of the segments of each text; those of crowded anchors window by window."""
+def _open_runs(length: int):
+    """Task: (doc, text, segments (lo, cnt)) -> RUNS, the bytes of a text's open segments; those that follow each other are one run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = textbytes.text_buffer(batch.column(1))
-            ids, lists = batch.column(0).to_numpy(), batch.column(2)
-            bounds, flat = lists.offsets.to_numpy(), lists.values
-            key, lo, cnt = (flat.field(f).to_numpy() for f in ("key", "lo", "cnt"))
-            crowded = flat.field("crowded").to_numpy(zero_copy_only=False)
+            bounds, lo, cnt = _flat(batch.column(2), "lo", "cnt")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            order = np.lexsort((lo, row))
+            row, lo, end = row[order], lo[order], (lo + cnt)[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (lo[1:] != end[:-1])
+            firsts = np.flatnonzero(new)
+            row, lo, end = row[firsts], lo[firsts], end[np.append(firsts[1:], len(new)) - 1] - 1 + length
+            size = np.minimum(end, np.diff(offsets)[row]) - lo
+            row, lo, size = (x[size >= length] for x in (row, lo, size))
+            start, view = offsets[row] + lo, memoryview(data)
+            kept = b"".join([view[a:b] for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)])
+            parts = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            upto = np.concatenate([[0], np.cumsum(size)])[parts].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    *(pa.ListArray.from_arrays(pa.array(parts), pa.array(x.astype(np.int64))) for x in (lo, size)),
+                    pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(upto), pa.py_buffer(kept)]),
+                ],
+                names=["doc", "at", "size", "data"],
+            )
+
+    return run
+
+
+def _slices(length: int, shards: int):
+    """Task: (shard, doc, lo, bytes) of the segments of each row of RUNS; those of crowded anchors window by window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            _, at, data, offsets = _runs(batch)
+            runs, _ = _flat(batch.column(1))
+            bounds, key, lo, cnt, crowded = _flat(batch.column(4), "key", "lo", "cnt", "crowded")
             out: list[tuple] = []
             held = 0
             for q in range(len(ids)):
-                text = data[offsets[q] : offsets[q + 1]]
+                own = runs[q] + np.searchsorted(at[runs[q] : runs[q + 1]], lo[bounds[q] : bounds[q + 1]], "right") - 1
+                starts = offsets[own] + lo[bounds[q] : bounds[q + 1]] - at[own]
                 for s in range(bounds[q], bounds[q + 1]):
-                    part = text[lo[s] : lo[s] + cnt[s] - 1 + length]
-                    if len(part) < length:
-                        continue
+                    start = starts[s - bounds[q]]
+                    part = data[start : start + cnt[s] - 1 + length]
                     if crowded[s]:
                         p = textbytes.prefix_hash(part)
                         _, down = textbytes.powers(len(part))
@@ -318,18 +374,26 @@ def _cut(with_text: bool):
     return run
 
 
+def _met(ws: Workspace, cut: DataFrame, length: int, name: str) -> DataFrame:
+    """Segments of all tasks -> spans (kind 1), and the open segments (kind 0)."""
+    return ws.write(cut.repartition("key").sortWithinPartitions("kind", "key", "seg", "doc", "lo").mapInArrow(_meet_segments(length), SEGMENT), name)
+
+
 def repeated_spans(docs: DataFrame, ws: Workspace, length: int = 100) -> DataFrame:
     """docs (doc long, text string) -> (doc, s, e): byte spans that repeat earlier strings; spans may touch or overlap."""
-    met = docs.mapInArrow(_cut_segments(length), SEGMENT).repartition("key").sortWithinPartitions("kind", "key", "seg", "doc", "lo")
-    found = ws.write(met.mapInArrow(_meet_segments(length), SEGMENT), "met")
-    open_segments = found.filter("kind = 0").select("key", F.col("seg").alias("part"), "doc", "lo", "cnt")
+    found = _met(ws, docs.mapInArrow(_cut_segments(length, PIECE_BYTES), SEGMENT), length, "met")
+    asked = found.filter("kind = 0").groupBy("doc").agg(F.collect_list(F.struct("lo", "cnt")).alias("asked"))
+    runs = ws.write(docs.join(asked, "doc").select("doc", "text", "asked").mapInArrow(_open_runs(length), RUNS), "runs")
+    again = _met(ws, runs.mapInArrow(_cut_segments(length, max(PIECE_BYTES, length * 4 // 5), _runs), SEGMENT), length, "met-again")
+    open_segments = again.filter("kind = 0").select("key", F.col("seg").alias("part"), "doc", "lo", "cnt")
     crowds = open_segments.filter("part > 0").select("key").distinct().withColumn("crowded", F.lit(True))
-    size = open_segments.agg(F.sum(F.col("cnt") + length)).first()[0] or 0
+    marked = open_segments.join(crowds, "key", "left").select("key", "doc", "lo", "cnt", F.coalesce("crowded", F.lit(False)).alias("crowded"))
+    size = marked.agg(F.sum(F.when(F.col("crowded"), F.col("cnt") * (length + 1)).otherwise(F.col("cnt") + length))).first()[0] or 0
     shards = max(1, math.ceil(size / SHARD_BYTES))
-    asked = open_segments.join(crowds, "key", "left").groupBy("doc").agg(F.collect_list(F.struct("key", "lo", "cnt", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("asked"))
-    slices = docs.join(asked, "doc").select("doc", "text", "asked").mapInArrow(_slices(length, shards), "shard int, doc long, lo long, bytes binary")
+    asked = marked.groupBy("doc").agg(F.collect_list(F.struct("key", "lo", "cnt", "crowded")).alias("asked"))
+    slices = runs.join(asked, "doc").select("doc", "at", "size", "data", "asked").mapInArrow(_slices(length, shards), "shard int, doc long, lo long, bytes binary")
     sorted_ = slices.repartition("shard").sortWithinPartitions("shard", "doc", "lo").mapInArrow(_sort_shards(length), SEGMENT)
-    both = found.filter("kind = 1").union(sorted_)
+    both = found.filter("kind = 1").union(again.filter("kind = 1")).union(sorted_)
     return ws.write(both.select("doc", F.col("lo").alias("s"), F.col("cnt").alias("e")), "spans")
 
 

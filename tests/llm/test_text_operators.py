@@ -9,6 +9,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from curlew.llm import ngram_join, packing, rtree, secret_scan, suffix, suffix_dedup, textbytes
 
@@ -150,6 +151,30 @@ def test_crowded_anchors_go_by_window(docs, texts, monkeypatch):
     assert {int(r.doc_id): r.kept_sha256 for r in got.itertuples()} == {i: w[3] for i, w in wanted.items()}
 
 
+@pytest.mark.parametrize("few", [8192, 2])
+def test_texts_that_share_an_anchor_only_stay_out_of_the_suffix_arrays(spark, monkeypatch, few):
+    """A phrase in ever other surroundings repeats no string of the length; a passage with other surroundings does."""
+    rng = random.Random(6)
+    other = lambda n: "".join(rng.choices(string.ascii_letters, k=n))
+    phrase, passage = other(70), other(130)
+    rows = [(i, other(90) + (phrase if i < 60 else passage) + other(90)) for i in range(64)]
+    tables = {}
+
+    class Spy(suffix_dedup.Workspace):
+        def write(self, df, name="t"):
+            tables[name] = super().write(df, name)
+            return tables[name]
+
+    monkeypatch.setattr(suffix_dedup, "Workspace", Spy)
+    monkeypatch.setattr(suffix_dedup, "FEW", few)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    wanted = cut(rows, 100)
+    assert {r["doc_id"]: r["kept_sha256"] for r in got} == {i: w[3] for i, w in wanted.items()}
+    before, left = (set(r["doc"] for r in tables[name].filter("kind = 0").collect()) for name in ("met", "met-again"))
+    assert len(before) > 50 and left <= {60, 61, 62, 63}
+    assert bool(tables["met-again"].filter("kind = 0 and seg > 0").count()) == (few == 2)
+
+
 def test_suffix_dedup_of_nothing(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
